@@ -159,20 +159,23 @@ _SQL_KLINE_PAYLOAD = """'{"e":"kline","E":' || ms || ',"s":"' || symbol || '","k
     || ',"q":"' || quote_volume || '","V":"' || quantity || '","Q":"' || quote_volume || '"}}'"""
 
 
+def _payload(kind: Column) -> Column:
+    return F.when(kind == 0, _trade_payload()).when(kind == 1, _ticker_payload()).otherwise(_kline_payload())
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw frame per event: trades, tickers and candles, some of them damaged."""
     kind, fault = F.col("event_id") % 4, F.col("event_id") % 50
     suffix = F.when(kind == 0, "aggTrade").when(kind == 1, "bookTicker").otherwise(_text("kline_", F.col("interval")))
-    payload = F.when(kind == 0, _trade_payload()).when(kind == 1, _ticker_payload()).otherwise(_kline_payload())
-    damaged_payload = (
+    stream = F.when(fault == 13, "depth").when(fault == 14, "x@aggTrade").otherwise(suffix)
+    payload, text = F.col("payload"), F.col("text")
+    damaged = (
         F.when(fault == 19, F.replace(payload, F.col("price").cast("string"), F.lit("abc")))
         .when(fault == 23, F.replace(payload, F.lit('"s":'), F.lit('"z":')))
         .when(fault == 29, F.replace(payload, _text('"', F.col("price"), '"'), F.col("price").cast("string")))
         .when(fault == 30, F.replace(payload, F.lit('"s":'), F.lit('"ignored":[{"x":1}],"s":')))
         .otherwise(payload)
     )
-    stream = F.when(fault == 13, "depth").when(fault == 14, "x@aggTrade").otherwise(suffix)
-    text = _text('{"stream":"', F.lower("symbol"), "@", stream, '","data":', damaged_payload, "}")
     value = (
         F.when(fault == 7, F.substr(text, F.lit(1), F.length(text) - 5))
         .when(fault == 31, _text('{"stream":"!serverShutdown","data":{"e":"serverShutdown","E":', F.col("ms"), "}}"))
@@ -182,7 +185,12 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(fault == 43, " ")
         .otherwise(text)
     )
-    return base_events(spark, sf_dir).select("event_id", value.alias("value"))
+    return (
+        base_events(spark, sf_dir)
+        .select("event_id", "ms", "symbol", "interval", "price", _payload(kind).alias("payload"))
+        .select("event_id", "ms", _text('{"stream":"', F.lower("symbol"), "@", stream, '","data":', damaged, "}").alias("text"))
+        .select("event_id", value.alias("value"))
+    )
 
 
 SQL_FRAMES = SQL_BASE + f""",
@@ -215,21 +223,24 @@ def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic record per event, some empty or damaged, in the topic source's columns."""
     kind, fault = F.col("event_id") % 4, F.col("event_id") % 40
     event_type = F.when(kind == 0, "agg_trade").when(kind == 1, "book_ticker").otherwise("kline")
-    payload = F.when(kind == 0, _trade_payload()).when(kind == 1, _ticker_payload()).otherwise(_kline_payload())
     text = _text(
         '{"event_type":"', F.when(fault == 3, "candle").otherwise(event_type), '","schema_version":',
-        F.when(fault == 5, 2).otherwise(1), ',"payload":', payload, "}",
+        F.when(fault == 5, 2).otherwise(1), ',"payload":', F.col("payload"), "}",
     )
     value = (
-        F.when(fault == 9, F.substr(text, F.lit(1), F.length(text) - 5))
-        .when(fault == 11, F.replace(text, F.lit('"s":'), F.lit('"z":')))
-        .when(fault != 17, text)
+        F.when(fault == 9, F.substr(F.col("text"), F.lit(1), F.length("text") - 5))
+        .when(fault == 11, F.replace(F.col("text"), F.lit('"s":'), F.lit('"z":')))
+        .when(fault != 17, F.col("text"))
     )
-    return base_events(spark, sf_dir).select(
-        F.encode("symbol", "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"), _topic(kind).alias("topic"),
-        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
-        F.timestamp_millis("ms").alias("timestamp"),
-        F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
+    lineage = ["event_id", "ms", "symbol", "kafka_partition", "kafka_offset"]
+    return (
+        base_events(spark, sf_dir).select(*lineage, _payload(kind).alias("payload")).select(*lineage, text.alias("text"))
+        .select(
+            F.encode("symbol", "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"),
+            _topic(kind).alias("topic"), F.col("kafka_partition").alias("partition"),
+            F.col("kafka_offset").alias("offset"), F.timestamp_millis("ms").alias("timestamp"),
+            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
+        )
     )
 
 

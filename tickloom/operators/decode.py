@@ -82,15 +82,16 @@ def _parse_wrapped(df: DataFrame, text: Column, head: list[tuple[str, str]], pay
     )
 
 
-def _raw(field: Field, parent: str) -> tuple[Column, str]:
-    if parent.endswith(".kline"):
-        return F.col(f"{parent}.{field.name}"), _SQL_TYPES[field.kind]
+def _raw(field: Field, payload: Column) -> tuple[Column, str]:
+    """Parsed column and its type; kline fields sit in the nested struct."""
+    if field.in_candle:
+        return payload["kline"][field.name], _SQL_TYPES[field.kind]
     name, sql_type = _PAYLOAD_NAMES[field.wire]
-    return F.col(f"{parent}.{name}"), sql_type
+    return payload[name], sql_type
 
 
-def _is_bad(field: Field, parent: str) -> Column:
-    value, sql_type = _raw(field, parent)
+def _is_bad(field: Field, payload: Column) -> Column:
+    value, sql_type = _raw(field, payload)
     if field.kind == "text":
         return ~_is_string(value)
     if field.kind == "decimal":
@@ -100,27 +101,61 @@ def _is_bad(field: Field, parent: str) -> Column:
     return value.isNull()
 
 
-def _value(field: Field, parent: str) -> Column:
-    value, sql_type = _raw(field, parent)
-    if field.kind == "decimal":
-        value = canonical_decimal_text(value.cast("string"))
-    elif field.kind == "text":
-        value = value.cast("string")
-    elif sql_type == "variant":
-        value = F.try_variant_get(value, "$", "bigint")
-    return value.alias(field.name)
+def _first_bad(fields: tuple[Field, ...], payload: Column) -> Column:
+    return F.coalesce(*[F.when(_is_bad(f, payload), f.wire) for f in fields])
+
 
+def _values(fields: tuple[Field, ...], payload: Column, canonical: bool) -> Column:
+    columns = []
+    for field in fields:
+        value, sql_type = _raw(field, payload)
+        if field.kind in ("text", "decimal"):
+            value = value.cast("string")
+            if field.kind == "decimal" and not canonical:
+                value = canonical_decimal_text(value)
+        elif sql_type == "variant":
+            value = F.try_variant_get(value, "$", "bigint")
+        columns.append(value.alias(field.name))
+    return F.struct(*columns)
+
+
+def _rarely(payload: Column, expression) -> Column:
+    """Evaluate ``expression`` inside a lambda, keeping it out of the compiled row loop."""
+    return F.get(F.transform(F.array(payload), expression), 0)
+
+
+# One JSON text of a payload's variants, matched once, settles the usual row: all
+# strings present and of string type, decimals plain, canonical and in range.
+# Whatever does not match is looked at field by field.
+_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_JSON_DECIMAL = r'"-?(?:0|[1-9][0-9]{0,27})(?:\.[0-9]{1,28})?"'
+_JSON_LONG = r"-?[0-9]{1,18}"
+_PATTERNS = {"text": _JSON_STRING, "decimal": _JSON_DECIMAL, "long": _JSON_LONG}
+
+
+def _is_usual(fields: tuple[Field, ...], payload: Column) -> Column:
+    variants, pattern, typed = [], [], []
+    for field in fields:
+        value, sql_type = _raw(field, payload)
+        if sql_type == "variant":
+            key = f"v{len(variants)}"
+            variants.append(value.alias(key))
+            pattern.append(f'"{key}":{_PATTERNS[field.kind]}')
+        else:
+            typed.append(value.isNotNull())
+    matches = F.to_json(F.struct(*variants)).rlike("^\\{" + ",".join(pattern) + "\\}$")
+    return reduce(lambda left, right: left & right, typed, F.coalesce(matches, F.lit(False)))
 
-def _first_bad(groups: list[tuple[tuple[Field, ...], str]]) -> Column:
-    return F.coalesce(*[F.when(_is_bad(f, parent), f.wire) for fields, parent in groups for f in fields])
 
+_FIELDS = {AGG_TRADE: TRADE_FIELDS, BOOK_TICKER: TICKER_FIELDS, KLINE: (*KLINE_EVENT_FIELDS, *KLINE_FIELDS)}
 
-_PARENT = "parsed.payload"
-_GROUPS = {
-    AGG_TRADE: [(TRADE_FIELDS, _PARENT)],
-    BOOK_TICKER: [(TICKER_FIELDS, _PARENT)],
-    KLINE: [(KLINE_EVENT_FIELDS, _PARENT), (KLINE_FIELDS, f"{_PARENT}.kline")],
-}
+
+def _by_kind(expression, kinds=_FIELDS) -> Column:
+    """CASE over the routed kind."""
+    chain = F
+    for kind in kinds:
+        chain = chain.when(F.col("_kind") == kind, expression(kind))
+    return chain
 
 
 def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: dict[str, str]) -> DataFrame:
@@ -129,36 +164,40 @@ def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: di
     The explode over one element keeps filters on the result from being pushed
     below it, where each would parse the text once more.
     """
-    bad = reduce(
-        lambda chain, name: chain.when(F.col("_kind") == name, _first_bad(_GROUPS[name])),
-        _GROUPS, F.when(F.lit(False), F.lit(None).cast("string")),
-    )
-    reason = reduce(
-        lambda chain, name: chain.when(F.col("_kind") == name, F.lit(prefix[name])),
-        _GROUPS, F.when(F.lit(False), F.lit(None).cast("string")),
-    )
+    payload = F.col("parsed.payload")
     checked = (
         df.withColumn("_kind", kind)
         .withColumn("_wrapper_error", wrapper_error)
-        .withColumn("_bad", F.when(F.col("_wrapper_error").isNull(), bad))
+        .withColumn(
+            "_usual", F.when(F.col("_wrapper_error").isNull(), _by_kind(lambda k: _is_usual(_FIELDS[k], payload)))
+        )
+        .withColumn(
+            "_bad",
+            F.when(~F.col("_usual"), _by_kind(lambda k: _rarely(payload, lambda p: _first_bad(_FIELDS[k], p)))),
+        )
         .withColumn(
             "error",
             F.coalesce(
                 F.col("_wrapper_error"),
-                F.when(
-                    F.col("_bad").isNotNull(),
-                    F.concat(reason, F.lit("field `"), F.col("_bad"), F.lit("` is missing or has a wrong value")),
-                ),
+                F.when(F.col("_bad").isNotNull(), F.concat(
+                    _by_kind(lambda k: F.lit(prefix[k])),
+                    F.lit("field `"), F.col("_bad"), F.lit("` is missing or has a wrong value"),
+                )),
             ),
         )
         .withColumn("kind", F.when(F.col("error").isNull(), F.col("_kind")))
     )
-    events = [
-        F.when(F.col("kind") == name, F.struct(*[_value(f, parent) for fields, parent in groups for f in fields])).alias(name)
-        for name, groups in _GROUPS.items()
-    ]
+
+    def event(name: str) -> Column:
+        is_kind, fields = F.col("kind") == name, _FIELDS[name]
+        return (
+            F.when(is_kind & F.col("_usual"), _values(fields, payload, canonical=True))
+            .when(is_kind, _rarely(payload, lambda p: _values(fields, p, canonical=False)))
+            .alias(name)
+        )
+
     keep = [c for c in df.columns if c != "parsed" and not c.startswith("_")]
-    decoded = F.struct(F.col("kind"), F.col("error"), *events)
+    decoded = F.struct("kind", "error", *map(event, _FIELDS))
     return checked.select(*keep, F.explode(F.array(decoded)).alias("_decoded")).select(*keep, "_decoded.*")
 
 
@@ -189,7 +228,7 @@ def decode_frames(frames: DataFrame, text: str = "value") -> DataFrame:
         F.when(stream.isNull() | ~has_data, F.lit("invalid JSON"))
         .when(F.col("_kind").isNull(), F.concat(F.lit("unrecognized stream `"), stream, F.lit("`")))
     )
-    prefix = dict.fromkeys(_GROUPS, "invalid JSON: ")
+    prefix = dict.fromkeys(_FIELDS, "invalid JSON: ")
     return _with_payload(parsed, kind, wrapper_error, prefix)
 
 

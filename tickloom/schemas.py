@@ -78,11 +78,12 @@ LAKE_DECIMAL = T.DecimalType(38, 8)
 
 @dataclass(frozen=True)
 class Field:
-    """One required payload field: wire key, column name and JSON kind."""
+    """One required payload field: wire key, column name, JSON kind, candle part."""
 
     wire: str
     name: str
     kind: str  # text | decimal | long | boolean
+    in_candle: bool = False
 
 
 TRADE_FIELDS = (
@@ -114,22 +115,22 @@ KLINE_EVENT_FIELDS = (
 )
 
 KLINE_FIELDS = (
-    Field("t", "open_time", "long"),
-    Field("T", "close_time", "long"),
-    Field("s", "symbol", "text"),
-    Field("i", "interval", "text"),
-    Field("f", "first_trade_id", "long"),
-    Field("L", "last_trade_id", "long"),
-    Field("o", "open", "decimal"),
-    Field("c", "close", "decimal"),
-    Field("h", "high", "decimal"),
-    Field("l", "low", "decimal"),
-    Field("v", "volume", "decimal"),
-    Field("n", "trade_count", "long"),
-    Field("x", "is_closed", "boolean"),
-    Field("q", "quote_volume", "decimal"),
-    Field("V", "taker_buy_base_volume", "decimal"),
-    Field("Q", "taker_buy_quote_volume", "decimal"),
+    Field("t", "open_time", "long", True),
+    Field("T", "close_time", "long", True),
+    Field("s", "symbol", "text", True),
+    Field("i", "interval", "text", True),
+    Field("f", "first_trade_id", "long", True),
+    Field("L", "last_trade_id", "long", True),
+    Field("o", "open", "decimal", True),
+    Field("c", "close", "decimal", True),
+    Field("h", "high", "decimal", True),
+    Field("l", "low", "decimal", True),
+    Field("v", "volume", "decimal", True),
+    Field("n", "trade_count", "long", True),
+    Field("x", "is_closed", "boolean", True),
+    Field("q", "quote_volume", "decimal", True),
+    Field("V", "taker_buy_base_volume", "decimal", True),
+    Field("Q", "taker_buy_quote_volume", "decimal", True),
 )
 
 
