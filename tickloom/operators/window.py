@@ -37,7 +37,7 @@ def _newest(df: DataFrame, keys: Sequence[str], at_most: int) -> DataFrame:
 
 
 def _simulate(keep: int, slack: int):
-    """Replay arrivals sorted by (symbol, position); memory holds one window."""
+    """Replay arrivals numbered per symbol, in order; memory holds one window."""
 
     def held_rows(symbol: str, times: list[int]) -> pd.DataFrame:
         return pd.DataFrame({"symbol": [symbol] * len(times), "open_time": times})
@@ -45,8 +45,8 @@ def _simulate(keep: int, slack: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, times = None, []
         for batch in batches:
-            for symbol, open_time in zip(batch["symbol"], batch["open_time"]):
-                if symbol != current:
+            for symbol, open_time, step in zip(batch["symbol"], batch["open_time"], batch["_step"]):
+                if step == 1:
                     if times:
                         yield held_rows(current, times)
                     current, times = symbol, []
@@ -62,7 +62,37 @@ def _simulate(keep: int, slack: int):
     return run
 
 
-def update_window(
+def _position(partition: str, offset: str) -> Column:
+    return F.struct(F.col(partition).cast("int").alias("partition"), F.col(offset).cast("bigint").alias("offset"))
+
+
+def reduce_arrivals(
+    held: DataFrame, arrivals: DataFrame, *, partition: str = "kafka_partition", offset: str = "kafka_offset"
+) -> DataFrame:
+    """One row per (symbol, open_time) over held rows and arrivals: the newest
+    ``_row``, its first and last arrival, and whether it was held before."""
+    values = [c for c in held.columns if c not in ("symbol", "open_time")]
+    position = _position(partition, offset)
+    none = F.lit(None).cast("struct<partition:int,offset:bigint>")
+    batch = arrivals.groupBy("symbol", "open_time").agg(
+        F.max_by(F.struct(*values), position).alias("_row"),
+        F.min(position).alias("_first"),
+        F.max(position).alias("_last"),
+    ).withColumn("_held", F.lit(False))
+    before = held.select(
+        "symbol", "open_time", F.struct(*values).alias("_row"), none.alias("_first"), none.alias("_last"),
+        F.lit(True).alias("_held"),
+    )
+    return before.unionByName(batch).groupBy("symbol", "open_time").agg(
+        F.max_by("_row", ~F.col("_held")).alias("_row"),
+        F.max("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        F.bool_or("_held").alias("_held"),
+    )
+
+
+def window_after(
+    reduced: DataFrame,
     held: DataFrame,
     arrivals: DataFrame,
     keep: int = WINDOW_KEEP,
@@ -71,10 +101,9 @@ def update_window(
     partition: str = "kafka_partition",
     offset: str = "kafka_offset",
 ) -> DataFrame:
-    """Window after ``arrivals`` on top of the rows ``held`` before them.
+    """Window rows after ``arrivals``, given the same reduced once.
 
-    Exact for any arrival order. Arrivals are first reduced to one row per
-    (symbol, open_time). Then, per symbol:
+    Exact for any arrival order. Per symbol:
 
     * no trim can happen: everything is held;
     * times arrived in order: the number held has a closed form, always the newest;
@@ -83,28 +112,9 @@ def update_window(
 
     The last case runs a symbol's replay in one task because each step depends on
     the one before. It carries two columns per arrival of such symbols only.
+    ``reduced`` is used several times, so persist it where that pays.
     """
-    columns = held.columns
-    values = [c for c in columns if c not in ("symbol", "open_time")]
-    position = F.struct(partition, offset)
-    batch = arrivals.groupBy("symbol", "open_time").agg(
-        F.max_by(F.struct(*values), position).alias("_row"),
-        F.min(position).alias("_first"),
-        F.max(position).alias("_last"),
-    ).withColumn("_held", F.lit(False))
-    position_type = batch.schema["_first"].dataType
-    before = held.select(
-        "symbol", "open_time", F.struct(*values).alias("_row"),
-        F.lit(None).cast(position_type).alias("_first"), F.lit(None).cast(position_type).alias("_last"),
-        F.lit(True).alias("_held"),
-    )
-    merged = before.unionByName(batch).groupBy("symbol", "open_time").agg(
-        F.max_by("_row", ~F.col("_held")).alias("_row"),
-        F.max("_first").alias("_first"),
-        F.max("_last").alias("_last"),
-        F.bool_or("_held").alias("_held"),
-    )
-
+    columns, merged = held.columns, reduced
     totals = merged.groupBy("symbol").agg(
         F.count_if("_held").alias("_before"),
         F.count_if(~F.col("_held")).alias("_inserts"),
@@ -134,13 +144,16 @@ def update_window(
         .select("symbol", "open_time", "_row")
     )
 
-    start = F.struct(F.lit(-1).alias(partition), F.col("open_time").alias(offset)).cast(position_type)
+    start = F.struct(F.lit(-1).alias("partition"), F.col("open_time").alias("offset"))
+    # Numbering the steps is what sorts them: a window needs one partition per symbol
+    # in this order, which a plain repartition and local sort do not guarantee once
+    # the plan is changed at run time.
+    in_arrival_order = Window.partitionBy("symbol").orderBy("_at", "open_time")
     sequence = (
         held.select("symbol", "open_time", start.alias("_at"))
-        .unionByName(arrivals.select("symbol", "open_time", position.cast(position_type).alias("_at")))
+        .unionByName(arrivals.select("symbol", "open_time", _position(partition, offset).alias("_at")))
         .join(out_of_order, "symbol", "left_semi")
-        .repartition("symbol").sortWithinPartitions("symbol", "_at")
-        .select("symbol", "open_time")
+        .select("symbol", "open_time", F.row_number().over(in_arrival_order).alias("_step"))
     )
     replayed = merged.select("symbol", "open_time", "_row").join(
         sequence.mapInPandas(_simulate(keep, slack), "symbol string, open_time bigint"),
@@ -149,6 +162,13 @@ def update_window(
     return in_order.unionByName(replayed).select("symbol", "open_time", "_row.*").select(*columns)
 
 
+def update_window(
+    held: DataFrame, arrivals: DataFrame, keep: int = WINDOW_KEEP, slack: int = WINDOW_SLACK
+) -> DataFrame:
+    """Window after ``arrivals`` on top of the rows ``held`` before them."""
+    return window_after(reduce_arrivals(held, arrivals), held, arrivals, keep, slack)
+
+
 def visible_slice(
     candles: DataFrame,
     keys: Sequence[str] = ("symbol", "interval"),

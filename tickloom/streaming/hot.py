@@ -10,7 +10,7 @@ from tickloom.functions.market import composite_key
 from tickloom.operators.decode import decode_envelopes
 from tickloom.operators.encode import dead_letters
 from tickloom.operators.latest import latest_per_key, upsert
-from tickloom.operators.window import update_window
+from tickloom.operators.window import reduce_arrivals, window_after
 from tickloom.schemas import (
     AGG_TRADE, BOOK_TICKER, KLINE, LIVE_BOOK_TICKER, LIVE_KLINE, LIVE_KLINE_SECOND, LIVE_TRADE,
     WINDOW_INTERVAL, WINDOW_KEEP, WINDOW_SLACK,
@@ -76,10 +76,12 @@ class LiveTables:
             (self.kline, current_candles(decoded), ["symbol", "bar_interval"]),
         ):
             snapshot.write(upsert(snapshot.read(before=version), updates, keys), version)
-        window = update_window(
-            self.kline_second.read(before=version), window_arrivals(decoded), self._keep, self._slack
-        )
-        self.kline_second.write(window, version)
+        held, arrivals = self.kline_second.read(before=version), window_arrivals(decoded)
+        reduced = reduce_arrivals(held, arrivals).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.kline_second.write(window_after(reduced, held, arrivals, self._keep, self._slack), version)
+        finally:
+            reduced.unpersist()
 
     def register_views(self, spark: SparkSession) -> None:
         """Temp views over the newest versions, for ad-hoc SQL."""
