@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share when the scan has fewer splits than that."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One market update per event."""
     slot = F.expr("pmod(user_id, 4)")
@@ -186,7 +192,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     return (
-        base_events(spark, sf_dir)
+        spread(base_events(spark, sf_dir))
         .select("event_id", "ms", "symbol", "interval", "price", _payload(kind).alias("payload"))
         .select("event_id", "ms", _text('{"stream":"', F.lower("symbol"), "@", stream, '","data":', damaged, "}").alias("text"))
         .select("event_id", value.alias("value"))
@@ -234,7 +240,7 @@ def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lineage = ["event_id", "ms", "symbol", "kafka_partition", "kafka_offset"]
     return (
-        base_events(spark, sf_dir).select(*lineage, _payload(kind).alias("payload")).select(*lineage, text.alias("text"))
+        spread(base_events(spark, sf_dir)).select(*lineage, _payload(kind).alias("payload")).select(*lineage, text.alias("text"))
         .select(
             F.encode("symbol", "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"),
             _topic(kind).alias("topic"), F.col("kafka_partition").alias("partition"),
@@ -281,7 +287,7 @@ def rest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     row_text = F.when(fault == 19, F.substring_index(text, ",", 7)).otherwise(text)
     row_text = F.when(fault == 19, _text(row_text, "]")).otherwise(row_text)
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         key.alias("row_id"), F.col("o_orderstatus").alias("symbol"), F.lit("1d").alias("interval"),
         row_text.alias("row_text"),
     )

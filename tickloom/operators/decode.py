@@ -23,15 +23,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.decimals import canonical_decimal_text, is_plain_decimal, to_lake_decimal
+from tickloom.functions.decimals import canonical_decimal_text, to_lake_decimal
 from tickloom.functions.market import topic_for
+from tickloom.functions.strict_json import JSON_OPTIONS, USUAL, has_type, is_wrong, long_value, rarely
 from tickloom.schemas import (
     AGG_TRADE, AGG_TRADE_SUFFIX, BOOK_TICKER, BOOK_TICKER_SUFFIX, BOOK_TICKERS, CONTROL, Field,
     KLINE, KLINE_EVENT_FIELDS, KLINE_FIELDS, KLINE_SUFFIX_PREFIX, KLINES, LakeTable, SCHEMA_VERSION,
     SHUTDOWN_STREAM, SNIPPET_LENGTH, TICKER_FIELDS, TRADE_FIELDS, TRADES,
 )
 
-_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _SQL_TYPES = {"text": "variant", "decimal": "variant", "long": "bigint", "boolean": "boolean"}
 
 
@@ -62,17 +62,13 @@ def _payload_type(renamed: bool) -> str:
     return _struct_type([*own, ("kline" if renamed else "k", kline)])
 
 
-def _is_string(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
-
-
 def _parse_wrapped(df: DataFrame, text: Column, head: list[tuple[str, str]], payload_key: str) -> DataFrame:
     """Add ``parsed``: the wrapper as a struct of ``head`` and ``payload``, or NULL."""
     wire = _struct_type([*head, (payload_key, _payload_type(renamed=False))])
     renamed = _struct_type([*head, ("payload", _payload_type(renamed=True))])
-    whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{wire}>", _JSON_OPTIONS)
+    whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{wire}>", JSON_OPTIONS)
     nested = F.from_json(
-        F.concat(F.lit('{"w":'), text, F.lit("}")), f"w struct<{head[0][0]}:{head[0][1]}>", _JSON_OPTIONS
+        F.concat(F.lit('{"w":'), text, F.lit("}")), f"w struct<{head[0][0]}:{head[0][1]}>", JSON_OPTIONS
     )
     single = (F.size("_whole") == 1) & (~F.contains(text, F.lit("]")) | nested["w"].isNotNull())
     return (
@@ -92,13 +88,7 @@ def _raw(field: Field, payload: Column) -> tuple[Column, str]:
 
 def _is_bad(field: Field, payload: Column) -> Column:
     value, sql_type = _raw(field, payload)
-    if field.kind == "text":
-        return ~_is_string(value)
-    if field.kind == "decimal":
-        return ~(_is_string(value) & F.coalesce(is_plain_decimal(value.cast("string")), F.lit(False)))
-    if sql_type == "variant":
-        return F.coalesce(F.schema_of_variant(value) != "BIGINT", F.lit(True))
-    return value.isNull()
+    return is_wrong(value, field.kind) if sql_type == "variant" else value.isNull()
 
 
 def _first_bad(fields: tuple[Field, ...], payload: Column) -> Column:
@@ -114,25 +104,11 @@ def _values(fields: tuple[Field, ...], payload: Column, canonical: bool) -> Colu
             if field.kind == "decimal" and not canonical:
                 value = canonical_decimal_text(value)
         elif sql_type == "variant":
-            value = F.try_variant_get(value, "$", "bigint")
+            value = long_value(value)
         columns.append(value.alias(field.name))
     return F.struct(*columns)
 
 
-def _rarely(payload: Column, expression) -> Column:
-    """Evaluate ``expression`` inside a lambda, keeping it out of the compiled row loop."""
-    return F.get(F.transform(F.array(payload), expression), 0)
-
-
-# One JSON text of a payload's variants, matched once, settles the usual row: all
-# strings present and of string type, decimals plain, canonical and in range.
-# Whatever does not match is looked at field by field.
-_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_JSON_DECIMAL = r'"-?(?:0|[1-9][0-9]{0,27})(?:\.[0-9]{1,28})?"'
-_JSON_LONG = r"-?[0-9]{1,18}"
-_PATTERNS = {"text": _JSON_STRING, "decimal": _JSON_DECIMAL, "long": _JSON_LONG}
-
-
 def _is_usual(fields: tuple[Field, ...], payload: Column) -> Column:
     variants, pattern, typed = [], [], []
     for field in fields:
@@ -140,7 +116,7 @@ def _is_usual(fields: tuple[Field, ...], payload: Column) -> Column:
         if sql_type == "variant":
             key = f"v{len(variants)}"
             variants.append(value.alias(key))
-            pattern.append(f'"{key}":{_PATTERNS[field.kind]}')
+            pattern.append(f'"{key}":{USUAL[field.kind]}')
         else:
             typed.append(value.isNotNull())
     matches = F.to_json(F.struct(*variants)).rlike("^\\{" + ",".join(pattern) + "\\}$")
@@ -173,7 +149,7 @@ def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: di
         )
         .withColumn(
             "_bad",
-            F.when(~F.col("_usual"), _by_kind(lambda k: _rarely(payload, lambda p: _first_bad(_FIELDS[k], p)))),
+            F.when(~F.col("_usual"), _by_kind(lambda k: rarely(payload, lambda p: _first_bad(_FIELDS[k], p)))),
         )
         .withColumn(
             "error",
@@ -192,7 +168,7 @@ def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: di
         is_kind, fields = F.col("kind") == name, _FIELDS[name]
         return (
             F.when(is_kind & F.col("_usual"), _values(fields, payload, canonical=True))
-            .when(is_kind, _rarely(payload, lambda p: _values(fields, p, canonical=False)))
+            .when(is_kind, rarely(payload, lambda p: _values(fields, p, canonical=False)))
             .alias(name)
         )
 
@@ -209,7 +185,7 @@ def decode_frames(frames: DataFrame, text: str = "value") -> DataFrame:
     """
     value = F.col(text).cast("string")
     parsed = _parse_wrapped(frames, value, [("stream", "variant")], "data")
-    stream = F.when(_is_string(F.col("parsed.stream")), F.col("parsed.stream").cast("string"))
+    stream = F.when(has_type(F.col("parsed.stream"), "STRING"), F.col("parsed.stream").cast("string"))
     parsed = parsed.withColumn("_stream", stream)
     stream = F.col("_stream")
     at = F.instr(stream, "@")
@@ -241,7 +217,7 @@ def decode_envelopes(records: DataFrame, strict_version: bool = False) -> DataFr
     value = F.col("value").cast("string")
     present = records.filter(F.col("value").isNotNull())
     parsed = _parse_wrapped(present, value, [("event_type", "variant"), ("schema_version", "variant")], "payload")
-    event_type = F.when(_is_string(F.col("parsed.event_type")), F.col("parsed.event_type").cast("string"))
+    event_type = F.when(has_type(F.col("parsed.event_type"), "STRING"), F.col("parsed.event_type").cast("string"))
     parsed = parsed.withColumn("_event_type", event_type)
     event_type = F.col("_event_type")
     has_payload = F.col("parsed.payload").isNotNull() | F.coalesce(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.functions.decimals import canonical_decimal_text, is_plain_decimal
+from tickloom.functions.decimals import canonical_decimal_text
+from tickloom.functions.strict_json import JSON_OPTIONS, USUAL, is_wrong, long_value, rarely
 from tickloom.schemas import KLINE, KLINE_EVENT_FIELDS, KLINE_FIELDS
 
 # Positions in a historical row; trade ids are not provided there.
@@ -14,7 +15,6 @@ ROW_POSITIONS = {
 }
 NO_TRADE_ID = -1
 
-_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _KINDS = {f.name: f.kind for f in KLINE_FIELDS}
 
 
@@ -29,7 +29,7 @@ def read_responses(spark: SparkSession, root: str) -> DataFrame:
 def response_rows(responses: DataFrame) -> DataFrame:
     """One positional ``row`` per candle; a response that is no array of rows is skipped."""
     wrapped = F.from_json(
-        F.concat(F.lit('{"rows":'), F.col("value"), F.lit("}")), "rows array<array<variant>>", _JSON_OPTIONS
+        F.concat(F.lit('{"rows":'), F.col("value"), F.lit("}")), "rows array<array<variant>>", JSON_OPTIONS
     )
     return responses.select("symbol", "interval", F.explode(wrapped["rows"]).alias("row"))
 
@@ -37,56 +37,61 @@ def response_rows(responses: DataFrame) -> DataFrame:
 def parse_row_text(rows: DataFrame, text: str = "row_text") -> DataFrame:
     """``row`` from the JSON text of a single positional row."""
     wrapped = F.from_json(
-        F.concat(F.lit('{"row":'), F.col(text), F.lit("}")), "row array<variant>", _JSON_OPTIONS
+        F.concat(F.lit('{"row":'), F.col(text), F.lit("}")), "row array<variant>", JSON_OPTIONS
     )
     return rows.withColumn("row", wrapped["row"])
 
 
-def _at(name: str) -> Column:
-    return F.get(F.col("row"), F.lit(ROW_POSITIONS[name]))
+# Fields past the last position are not looked at.
+_USUAL_ROW = r"^\[" + ",".join(USUAL[_KINDS[name]] for name in ROW_POSITIONS) + r"[,\]]"
 
 
-def _is_bad(name: str) -> Column:
-    value = _at(name)
-    if _KINDS[name] == "long":
-        return F.coalesce(F.schema_of_variant(value) != "BIGINT", F.lit(True))
-    return ~(
-        F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
-        & F.coalesce(is_plain_decimal(value.cast("string")), F.lit(False))
-    )
+def _at(row: Column, name: str) -> Column:
+    return F.get(row, F.lit(ROW_POSITIONS[name]))
 
 
-def _value(name: str) -> Column:
-    if _KINDS[name] == "long":
-        return F.try_variant_get(_at(name), "$", "bigint")
-    return canonical_decimal_text(_at(name).cast("string"))
+def _first_bad(row: Column) -> Column:
+    return F.coalesce(*[
+        F.when(is_wrong(_at(row, name), _KINDS[name]), F.lit(str(at))) for name, at in ROW_POSITIONS.items()
+    ])
 
 
-def decode_rows(rows: DataFrame, now_ms: int) -> DataFrame:
-    """Candle events from positional rows, in the shape of decoded live events.
+def _event(row: Column, now_ms: int, canonical: bool) -> Column:
+    def value(name: str) -> Column:
+        if _KINDS[name] == "long":
+            return long_value(_at(row, name))
+        text = _at(row, name).cast("string")
+        return text if canonical else canonical_decimal_text(text)
 
-    ``symbol`` and ``interval`` come from the request. A candle is closed once its
-    close time is before ``now_ms``, one value per run. A bad row carries an error
-    instead of ending the run.
-    """
-    bad = F.coalesce(*[F.when(_is_bad(name), F.lit(str(at))) for name, at in ROW_POSITIONS.items()])
     derived = {
         "symbol": F.col("symbol"),
         "interval": F.col("interval"),
         "first_trade_id": F.lit(NO_TRADE_ID).cast("bigint"),
         "last_trade_id": F.lit(NO_TRADE_ID).cast("bigint"),
-        "is_closed": _value("close_time") < F.lit(now_ms),
+        "is_closed": value("close_time") < F.lit(now_ms),
         "event_type": F.lit(KLINE),
         "event_time": F.lit(now_ms).cast("bigint"),
         "event_symbol": F.col("symbol"),
     }
-    fields = [*KLINE_EVENT_FIELDS, *KLINE_FIELDS]
-    event = F.struct(*[(derived[f.name] if f.name in derived else _value(f.name)).alias(f.name) for f in fields])
+    fields = (*KLINE_EVENT_FIELDS, *KLINE_FIELDS)
+    return F.struct(*[(derived[f.name] if f.name in derived else value(f.name)).alias(f.name) for f in fields])
+
+
+def decode_rows(rows: DataFrame, now_ms: int) -> DataFrame:
+    """Candle events from positional rows, in the shape of decoded live events.
+
+    ``symbol`` and ``interval`` come from the request. A candle is closed once its
+    close time is before ``now_ms``, one value per run. A bad row carries an error
+    instead of ending the run.
+    """
+    row, usual, good = F.col("row"), F.col("_usual"), F.col("error").isNull()
     reason = F.concat(F.lit("field "), "_bad", F.lit(" is missing or has a wrong value"))
-    checked = rows.withColumn("_bad", bad).withColumn("error", F.when(F.col("_bad").isNotNull(), reason))
-    keep = [c for c in rows.columns if c != "row"]
-    decoded = F.struct(
-        F.when(F.col("error").isNull(), KLINE).alias("kind"), "error",
-        F.when(F.col("error").isNull(), event).alias(KLINE),
+    checked = (
+        rows.withColumn("_usual", F.coalesce(F.to_json(row).rlike(_USUAL_ROW), F.lit(False)))
+        .withColumn("_bad", F.when(~usual, F.coalesce(rarely(row, _first_bad), F.when(row.isNull(), "0"))))
+        .withColumn("error", F.when(F.col("_bad").isNotNull(), reason))
     )
+    keep = [c for c in rows.columns if c != "row"]
+    event = F.when(usual, _event(row, now_ms, True)).when(good, rarely(row, lambda r: _event(r, now_ms, False)))
+    decoded = F.struct(F.when(good, KLINE).alias("kind"), "error", event.alias(KLINE))
     return checked.select(*keep, F.explode(F.array(decoded)).alias("_decoded")).select(*keep, "_decoded.*")
