@@ -6,7 +6,9 @@ Sorted pages end in a total order, so a limit cuts the same rows every time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.decimals import decimals_to_text, to_lake_decimal
 from tickloom.functions.market import aggressor_side, candle_direction, clamp_limit, spread
@@ -20,12 +22,18 @@ class AmbiguousSeries(ValueError):
     """A strict call left the symbol or interval open."""
 
 
+def _where(table: DataFrame, *conditions: Column | None) -> DataFrame:
+    """One filter over the conditions that were asked for."""
+    wanted = [c for c in conditions if c is not None]
+    return table.filter(reduce(lambda left, right: left & right, wanted)) if wanted else table
+
+
+def _equals(column: str, value: str | None) -> Column | None:
+    return None if value is None else F.col(column) == F.lit(value)
+
+
 def _scoped(table: DataFrame, symbol: str | None, interval: str | None = None) -> DataFrame:
-    if symbol is not None:
-        table = table.filter(F.col("symbol") == F.lit(symbol))
-    if interval is not None:
-        table = table.filter(F.col("interval") == F.lit(interval))
-    return table
+    return _where(table, _equals("symbol", symbol), _equals("interval", interval))
 
 
 def trades(table: DataFrame, symbol: str | None = None, limit: int | None = None) -> DataFrame:
@@ -73,11 +81,12 @@ def klines(
     """
     if strict and (symbol is None or interval is None):
         raise AmbiguousSeries("symbol and interval are both required")
-    scoped = _scoped(table, symbol, interval)
-    if before is not None:
-        scoped = scoped.filter(F.col("open_time") < F.lit(before))
-    if time_range is not None:
-        scoped = scoped.filter(F.col("open_time").between(F.lit(time_range[0]), F.lit(time_range[1])))
+    open_time = F.col("open_time")
+    scoped = _where(
+        table, _equals("symbol", symbol), _equals("interval", interval),
+        None if before is None else open_time < F.lit(before),
+        None if time_range is None else open_time.between(F.lit(time_range[0]), F.lit(time_range[1])),
+    )
     if latest_only:
         scoped = latest_per_key(scoped, ["symbol", "interval", "open_time"])
     return decimals_to_text(_klines_page(scoped, limit))

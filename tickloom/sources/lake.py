@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -57,9 +58,9 @@ def read_table(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_table(spark, table)
-    for column in table.path_columns:
-        if wanted.get(column) is not None:
-            df = df.filter(F.col(column) == F.lit(wanted[column]))
+    conditions = [F.col(c) == F.lit(wanted[c]) for c in table.path_columns if wanted[c] is not None]
+    if conditions:
+        df = df.filter(reduce(lambda left, right: left & right, conditions))
     return df.select(table.schema.names)
 
 
