@@ -194,8 +194,29 @@ def test_text_is_parsed_once(spark, tmp_path):
     spark.createDataFrame([(frame("a@aggTrade", TRADE),)], "value string").write.mode("overwrite").parquet(str(tmp_path))
     frames = spark.read.parquet(str(tmp_path))
     plan = decode.events_of(decode.decode_frames(frames), "agg_trade")._jdf.queryExecution().executedPlan().toString()
-    # The whole text once, and once more only for texts that hold a bracket.
-    assert plan.count("from_json(") == 2
+    # Texts in the documented layout; all others; and of these those that hold a bracket.
+    assert plan.count("from_json(") == 3
+
+
+def test_layout_and_general_way_agree(spark):
+    texts = {}
+    for stream, payload in (("btcusdt@aggTrade", TRADE), ("btcusdt@bookTicker", TICKER), ("btcusdt@kline_1m", KLINE)):
+        compact = frame(stream, payload)
+        spaced = json.dumps({"stream": stream, "data": payload})
+        back_to_front = json.dumps({"data": dict(reversed(payload.items())), "stream": stream})
+        texts[stream] = [compact, spaced, back_to_front, compact + " ", compact + "\n"]
+    rows = decode_texts(spark, [text for group in texts.values() for text in group])
+    for at, group in enumerate(texts.values()):
+        same = [rows[at * 5 + i] for i in range(5)]
+        assert all(r["error"] is None for r in same)
+        assert len({(r["kind"], str(r["agg_trade"]), str(r["book_ticker"]), str(r["kline"])) for r in same}) == 1
+
+
+def test_bytes_that_are_no_text_are_dead(spark):
+    value = envelope("agg_trade", {**TRADE, "s": "A"}).encode().replace(b'"A"', b'"\xff"')
+    rows = records(spark, [("A", None, "market.trades", 0, 1)]).withColumn("value", F.lit(value))
+    row = decode.decode_envelopes(rows).first()
+    assert (row["kind"], row["error"]) == (None, "decoding envelope")
 
 
 def test_symbols_may_differ(spark):

@@ -22,6 +22,14 @@ USUAL = {
     "long": r"-?[0-9]{1,18}",
 }
 
+# The same inside a raw text in the documented layout: no escapes, no blanks.
+PLAIN = {
+    "text": r'"[^"\\\x00-\x1f]*+"',
+    "decimal": USUAL["decimal"],
+    "long": r"-?(?:0|[1-9][0-9]{0,17})",
+    "boolean": "(?:true|false)",
+}
+
 
 def has_type(value: Column, name: str) -> Column:
     return F.coalesce(F.schema_of_variant(value) == name, F.lit(False))

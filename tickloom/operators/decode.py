@@ -1,8 +1,10 @@
 """Strict decode of raw frames and topic envelopes.
 
-Both texts are parsed once, in a single ``from_json`` pass over the wrapper and
-its payload. A JSON parse that fills typed columns is more forgiving than the
-contract in four ways, each closed here:
+A text in the documented layout (fields in order, no blanks, no escapes) is
+recognised by one pattern per kind, which already settles the type of every value;
+``from_json`` then only has to split it. Any other text takes the general way, a
+single ``from_json`` pass over the wrapper and its payload. A JSON parse that fills
+typed columns is more forgiving than the contract in four ways, each closed there:
 
 * STRING columns take JSON numbers: text fields are parsed as VARIANT and must
   hold a string.
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.decimals import canonical_decimal_text, to_lake_decimal
 from tickloom.functions.market import topic_for
-from tickloom.functions.strict_json import JSON_OPTIONS, USUAL, has_type, is_wrong, long_value, rarely
+from tickloom.functions.strict_json import JSON_OPTIONS, PLAIN, USUAL, has_type, is_wrong, long_value, rarely
 from tickloom.schemas import (
     AGG_TRADE, AGG_TRADE_SUFFIX, BOOK_TICKER, BOOK_TICKER_SUFFIX, BOOK_TICKERS, CONTROL, Field,
     KLINE, KLINE_EVENT_FIELDS, KLINE_FIELDS, KLINE_SUFFIX_PREFIX, KLINES, LakeTable, SCHEMA_VERSION,
@@ -56,14 +58,47 @@ def _struct_type(named: list[tuple[str, str]]) -> str:
     return "struct<" + ",".join(f"{name}:{sql_type}" for name, sql_type in named) + ">"
 
 
-def _payload_type(renamed: bool) -> str:
+def _payload_type(renamed: bool, texts_as: str = "variant") -> str:
     kline = _struct_type([(f.name if renamed else f.wire, _SQL_TYPES[f.kind]) for f in KLINE_FIELDS])
     own = [(name if renamed else wire, sql_type) for wire, name, sql_type in _PAYLOAD]
-    return _struct_type([*own, ("kline" if renamed else "k", kline)])
+    return _struct_type([*own, ("kline" if renamed else "k", kline)]).replace(":variant", f":{texts_as}")
 
 
-def _parse_wrapped(df: DataFrame, text: Column, head: list[tuple[str, str]], payload_key: str) -> DataFrame:
-    """Add ``parsed``: the wrapper as a struct of ``head`` and ``payload``, or NULL."""
+def _members(fields: tuple[Field, ...]) -> str:
+    return ",".join(f'"{f.wire}":{PLAIN[f.kind]}' for f in fields)
+
+
+# Payload layouts; the members after the last one are documented as ignored.
+_LAYOUTS = {
+    AGG_TRADE: r"\{" + _members(TRADE_FIELDS) + r'(?:,"M":' + PLAIN["boolean"] + r")?\}",
+    BOOK_TICKER: r"\{" + _members(TICKER_FIELDS) + r"\}",
+    KLINE: r"\{" + _members(KLINE_EVENT_FIELDS) + r',"k":\{' + _members(KLINE_FIELDS)
+    + r'(?:,"B":' + PLAIN["text"] + r")?\}\}",
+}
+
+
+def _in_layout(text: Column, wrapper: dict[str, str]) -> Column:
+    """Kind of a text in the documented layout; NULL for any other text.
+
+    ``wrapper`` is the pattern of what precedes each kind's payload.
+    """
+    chain = F
+    for kind, layout in _LAYOUTS.items():
+        chain = chain.when(text.rlike("^" + wrapper[kind] + layout + r"\}\z"), kind)
+    return chain
+
+
+def _parse_wrapped(
+    df: DataFrame, text: Column, head: list[tuple[str, str]], payload_key: str, wrapper: dict[str, str]
+) -> DataFrame:
+    """Add ``_layout`` and ``plain`` for texts in the documented layout, and ``parsed``
+    for the others: the wrapper as a struct of ``head`` and ``payload``, or NULL."""
+    df = df.withColumn("_layout", F.when(F.is_valid_utf8(text), _in_layout(text, wrapper)))
+    plain = F.from_json(
+        F.when(F.col("_layout").isNotNull(), text),
+        f"struct<{payload_key}:{_payload_type(renamed=False, texts_as='string')}>",
+    ).cast(f"struct<payload:{_payload_type(renamed=True, texts_as='string')}>")
+    text = F.when(F.col("_layout").isNull(), text)
     wire = _struct_type([*head, (payload_key, _payload_type(renamed=False))])
     renamed = _struct_type([*head, ("payload", _payload_type(renamed=True))])
     whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{wire}>", JSON_OPTIONS)
@@ -72,7 +107,7 @@ def _parse_wrapped(df: DataFrame, text: Column, head: list[tuple[str, str]], pay
     )
     single = (F.size("_whole") == 1) & (~F.contains(text, F.lit("]")) | nested["w"].isNotNull())
     return (
-        df.withColumn("_whole", whole.cast(f"array<{renamed}>"))
+        df.withColumns({"plain": plain["payload"], "_whole": whole.cast(f"array<{renamed}>")})
         .withColumn("parsed", F.when(single, F.col("_whole")[0]))
         .drop("_whole")
     )
@@ -134,6 +169,16 @@ def _by_kind(expression, kinds=_FIELDS) -> Column:
     return chain
 
 
+def _plain_values(fields: tuple[Field, ...]) -> Column:
+    """Event of a text in the documented layout; only a shared key needs a cast."""
+    columns = []
+    for field in fields:
+        value, sql_type = _raw(field, F.col("plain"))
+        is_shared = sql_type == "variant" and field.kind == "long"
+        columns.append((value.cast("bigint") if is_shared else value).alias(field.name))
+    return F.struct(*columns)
+
+
 def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: dict[str, str]) -> DataFrame:
     """Check the payload of each kind and add one struct column per kind.
 
@@ -161,18 +206,19 @@ def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: di
                 )),
             ),
         )
-        .withColumn("kind", F.when(F.col("error").isNull(), F.col("_kind")))
+        .withColumn("kind", F.coalesce(F.col("_layout"), F.when(F.col("error").isNull(), F.col("_kind"))))
     )
 
     def event(name: str) -> Column:
         is_kind, fields = F.col("kind") == name, _FIELDS[name]
         return (
-            F.when(is_kind & F.col("_usual"), _values(fields, payload, canonical=True))
+            F.when(F.col("_layout") == name, _plain_values(fields))
+            .when(is_kind & F.col("_usual"), _values(fields, payload, canonical=True))
             .when(is_kind, rarely(payload, lambda p: _values(fields, p, canonical=False)))
             .alias(name)
         )
 
-    keep = [c for c in df.columns if c != "parsed" and not c.startswith("_")]
+    keep = [c for c in df.columns if c not in ("parsed", "plain") and not c.startswith("_")]
     decoded = F.struct("kind", "error", *map(event, _FIELDS))
     return checked.select(*keep, F.explode(F.array(decoded)).alias("_decoded")).select(*keep, "_decoded.*")
 
@@ -184,7 +230,9 @@ def decode_frames(frames: DataFrame, text: str = "value") -> DataFrame:
     ``error`` (NULL when decodable) and one struct column per event kind.
     """
     value = F.col(text).cast("string")
-    parsed = _parse_wrapped(frames, value, [("stream", "variant")], "data")
+    suffixes = {AGG_TRADE: AGG_TRADE_SUFFIX, BOOK_TICKER: BOOK_TICKER_SUFFIX, KLINE: KLINE_SUFFIX_PREFIX + r'[^"\\\x00-\x1f]*+'}
+    wrapper = {k: r'\{"stream":"[^"\\@\x00-\x1f]*+@' + suffix + '","data":' for k, suffix in suffixes.items()}
+    parsed = _parse_wrapped(frames, value, [("stream", "variant")], "data", wrapper)
     stream = F.when(has_type(F.col("parsed.stream"), "STRING"), F.col("parsed.stream").cast("string"))
     parsed = parsed.withColumn("_stream", stream)
     stream = F.col("_stream")
@@ -201,7 +249,8 @@ def decode_frames(frames: DataFrame, text: str = "value") -> DataFrame:
         F.array_contains(F.json_object_keys(value), "data"), F.lit(False)
     )
     wrapper_error = (
-        F.when(stream.isNull() | ~has_data, F.lit("invalid JSON"))
+        F.when(F.col("_layout").isNotNull(), F.lit(None).cast("string"))
+        .when(stream.isNull() | ~has_data, F.lit("invalid JSON"))
         .when(F.col("_kind").isNull(), F.concat(F.lit("unrecognized stream `"), stream, F.lit("`")))
     )
     prefix = dict.fromkeys(_FIELDS, "invalid JSON: ")
@@ -216,14 +265,17 @@ def decode_envelopes(records: DataFrame, strict_version: bool = False) -> DataFr
     """
     value = F.col("value").cast("string")
     present = records.filter(F.col("value").isNotNull())
-    parsed = _parse_wrapped(present, value, [("event_type", "variant"), ("schema_version", "variant")], "payload")
+    version = str(SCHEMA_VERSION) if strict_version else "[1-9][0-9]{0,8}"
+    wrapper = {k: rf'\{{"event_type":"{k}","schema_version":{version},"payload":' for k in _FIELDS}
+    head = [("event_type", "variant"), ("schema_version", "variant")]
+    parsed = _parse_wrapped(present, value, head, "payload", wrapper)
     event_type = F.when(has_type(F.col("parsed.event_type"), "STRING"), F.col("parsed.event_type").cast("string"))
     parsed = parsed.withColumn("_event_type", event_type)
     event_type = F.col("_event_type")
     has_payload = F.col("parsed.payload").isNotNull() | F.coalesce(
         F.array_contains(F.json_object_keys(value), "payload"), F.lit(False)
     )
-    wrapper_error = F.when(
+    wrapper_error = F.when(F.col("_layout").isNotNull(), F.lit(None).cast("string")).when(
         event_type.isNull() | ~has_payload | ~F.is_valid_utf8(value), F.lit("decoding envelope")
     ).when(
         ~event_type.isin(AGG_TRADE, BOOK_TICKER, KLINE), F.concat(F.lit("unknown event_type `"), event_type, F.lit("`"))
