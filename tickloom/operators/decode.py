@@ -21,7 +21,7 @@ name written with JSON escapes is accepted.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -179,23 +179,43 @@ def _plain_values(fields: tuple[Field, ...]) -> Column:
     return F.struct(*columns)
 
 
+# The columns below name no DataFrame, so they are built once: each is hundreds of
+# expressions, and building them takes longer than planning them.
+
+@lru_cache
+def _usual_column() -> Column:
+    payload = F.col("parsed.payload")
+    return F.when(F.col("_wrapper_error").isNull(), _by_kind(lambda k: _is_usual(_FIELDS[k], payload)))
+
+
+@lru_cache
+def _bad_column() -> Column:
+    payload = F.col("parsed.payload")
+    return F.when(~F.col("_usual"), _by_kind(lambda k: rarely(payload, lambda p: _first_bad(_FIELDS[k], p))))
+
+
+@lru_cache
+def _event_column(name: str) -> Column:
+    payload, is_kind, fields = F.col("parsed.payload"), F.col("kind") == name, _FIELDS[name]
+    return (
+        F.when(F.col("_layout") == name, _plain_values(fields))
+        .when(is_kind & F.col("_usual"), _values(fields, payload, canonical=True))
+        .when(is_kind, rarely(payload, lambda p: _values(fields, p, canonical=False)))
+        .alias(name)
+    )
+
+
 def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: dict[str, str]) -> DataFrame:
     """Check the payload of each kind and add one struct column per kind.
 
     The explode over one element keeps filters on the result from being pushed
     below it, where each would parse the text once more.
     """
-    payload = F.col("parsed.payload")
     checked = (
         df.withColumn("_kind", kind)
         .withColumn("_wrapper_error", wrapper_error)
-        .withColumn(
-            "_usual", F.when(F.col("_wrapper_error").isNull(), _by_kind(lambda k: _is_usual(_FIELDS[k], payload)))
-        )
-        .withColumn(
-            "_bad",
-            F.when(~F.col("_usual"), _by_kind(lambda k: rarely(payload, lambda p: _first_bad(_FIELDS[k], p)))),
-        )
+        .withColumn("_usual", _usual_column())
+        .withColumn("_bad", _bad_column())
         .withColumn(
             "error",
             F.coalesce(
@@ -208,18 +228,8 @@ def _with_payload(df: DataFrame, kind: Column, wrapper_error: Column, prefix: di
         )
         .withColumn("kind", F.coalesce(F.col("_layout"), F.when(F.col("error").isNull(), F.col("_kind"))))
     )
-
-    def event(name: str) -> Column:
-        is_kind, fields = F.col("kind") == name, _FIELDS[name]
-        return (
-            F.when(F.col("_layout") == name, _plain_values(fields))
-            .when(is_kind & F.col("_usual"), _values(fields, payload, canonical=True))
-            .when(is_kind, rarely(payload, lambda p: _values(fields, p, canonical=False)))
-            .alias(name)
-        )
-
     keep = [c for c in df.columns if c not in ("parsed", "plain") and not c.startswith("_")]
-    decoded = F.struct("kind", "error", *map(event, _FIELDS))
+    decoded = F.struct("kind", "error", *map(_event_column, _FIELDS))
     return checked.select(*keep, F.explode(F.array(decoded)).alias("_decoded")).select(*keep, "_decoded.*")
 
 
