@@ -1,7 +1,8 @@
 """Time the headline operators over the given tables; prints one JSON line.
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the local cores. Each
-query is run once to warm up and then timed; the value is the median in seconds (pages five runs, tables one).
+query is run once to warm up and then timed; the value is the median in seconds (pages
+five runs, tables one).
 Pages are collected, as a caller would; whole-table operators go to the null sink.
 """
 
