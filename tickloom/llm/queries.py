@@ -7,13 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import trie_bpe
+from tickloom.llm import packing, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op3_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_frames.write_frames(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return token_frames.read_frames(spark, manifest).select(
+        "doc_id", "start", F.floor(F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = trie_bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return coded.select(
@@ -24,6 +34,8 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_frames": op3_token_frames,
+    "op4_histogram_packing": op4_histogram_packing,
     "op9_trie_bpe": op9_trie_bpe,
 }
 ORACLES: dict[str, str] = {}
