@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import packing, token_frames, trie_bpe
+from tickloom.llm import packing, rule_ensemble, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -24,6 +24,13 @@ def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    scored = rule_ensemble.score(docs, rule_ensemble.train(docs, labels))
+    return scored.select(
+        F.col("doc.doc_id").alias("doc_id"), rule_ensemble.held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = trie_bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return coded.select(
@@ -36,6 +43,7 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_frames": op3_token_frames,
     "op4_histogram_packing": op4_histogram_packing,
+    "op7_rule_ensemble": op7_rule_ensemble,
     "op9_trie_bpe": op9_trie_bpe,
 }
 ORACLES: dict[str, str] = {}
