@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import packing, rule_ensemble, token_frames, trie_bpe
+from tickloom.llm import html_extract, packing, rule_ensemble, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extract.extract(read(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op3_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_frames.write_frames(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return token_frames.read_frames(spark, manifest).select(
@@ -41,6 +46,7 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_block_tree": op1_block_tree,
     "op3_token_frames": op3_token_frames,
     "op4_histogram_packing": op4_histogram_packing,
     "op7_rule_ensemble": op7_rule_ensemble,
