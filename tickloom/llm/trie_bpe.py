@@ -28,7 +28,7 @@ from tickloom.llm.common import list_array, map_batches, texts_of
 
 # The byte-level pattern of the vocabulary's family: a fixed value.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_WORDS = 400_000
+MAX_WORDS = 800_000
 NEVER = 1 << 40
 
 
@@ -61,6 +61,7 @@ class Vocabulary:
             self.rank.setdefault(whole, rank)
             self.parts.setdefault(whole, (a, b))
         self.longest = max(map(len, self.id_of))
+        self.packed = {i: np.array([i], dtype="<u4").tobytes() for i in self.bytes_of}
 
     def stays_split(self, a: int, b: int) -> bool:
         """Whether the merges, run over the text of a and b, end in exactly these two.
@@ -90,45 +91,64 @@ class TrieEncoder:
         self.max_words = max_words
         self.pattern = regex.compile(WORDS)
         self.added = regex.compile("(" + "|".join(map(regex.escape, vocabulary.added)) + ")") if vocabulary.added else None
+        self.joins: dict[int, bool] = {}  # of pairs of tokens met: whether they stay two
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def encode_words(self, words: set[str]) -> None:
-        """Insert the words into a trie and walk it depth first."""
+        """Insert the words into a trie and walk it depth first.
+
+        Of the tokens that are suffixes of a prefix exactly one fits, so the order of
+        trial is free: first the parent's last token made longer, then short tokens.
+        """
         end, root = 256, {}
         for word in words:
             node = root
             for byte in word.encode():
-                node = node.setdefault(byte, {})
+                child = node.get(byte)
+                if child is None:
+                    child = node[byte] = {}
+                node = child
             node[end] = word
-        id_of, split, longest = self.vocabulary.id_of, self.vocabulary.stays_split, self.vocabulary.longest
-        last: list[int] = [-1]  # of the prefix of each depth: its last token
-        back: list[int] = [0]  # and the depth where that token starts
-        prefix = bytearray()
+        id_of, packed, joins = self.vocabulary.id_of.get, self.vocabulary.packed, self.joins
+        longest, split = self.vocabulary.longest, self.vocabulary.stays_split
+        last: list[int] = [-1]  # per depth of the path: the last token of the prefix,
+        back: list[int] = [0]  # where it starts,
+        coded: list[bytes] = [b""]  # and all ids of the prefix
+        path = b""
         stack = [(0, byte, child) for byte, child in root.items()]
         while stack:
             depth, byte, node = stack.pop()
-            del prefix[depth:], last[depth + 1:], back[depth + 1:]
-            prefix.append(byte)
-            for start in range(max(0, depth + 1 - longest), depth + 1):
-                token = id_of.get(bytes(prefix[start:]))
-                if token is not None and (start == 0 or split(last[start], token)):
-                    last.append(token)
-                    back.append(start)
-                    break
+            if depth + 1 < len(last):
+                del last[depth + 1:], back[depth + 1:], coded[depth + 1:]
+            path = path[:depth] + bytes((byte,))
+            first = back[depth]
+            for start in (first, *range(depth, max(-1, depth - longest), -1)):
+                token = id_of(path[start:])
+                if token is None:
+                    continue
+                if start:
+                    pair = last[start] << 20 | token
+                    fits = joins.get(pair)
+                    if fits is None:
+                        fits = joins[pair] = split(last[start], token)
+                    if not fits:
+                        continue
+                last.append(token)
+                back.append(start)
+                coded.append(coded[start] + packed[token])
+                break
             for key, child in node.items():
-                if key != end:
+                if key == end:
+                    self.words[child] = coded[-1]
+                else:
                     stack.append((depth + 1, key, child))
-                    continue
-                ids, at = [], depth + 1
-                while at:
-                    ids.append(last[at])
-                    at = back[at]
-                self.words[child] = np.array(ids[::-1], dtype="<u4").tobytes()
 
     def _ensure(self, lists: list[list[str]]) -> None:
         new = {w for words in lists for w in words if w not in self.words}
         if new:
+            if len(self.joins) > self.max_words:
+                self.joins.clear()
             if len(self.words) + len(new) > self.max_words:
                 self.words.clear()
                 new = {w for words in lists for w in words}
@@ -139,7 +159,7 @@ class TrieEncoder:
         out = []
         for part in self.added.split(text) if self.added else [text]:
             if part in self.vocabulary.added:
-                out.append(np.array([self.vocabulary.added[part]], dtype="<u4").tobytes())
+                out.append(self.vocabulary.packed[self.vocabulary.added[part]])
             elif part:
                 words = self.pattern.findall(part)
                 self._ensure([words])
@@ -153,11 +173,12 @@ class TrieEncoder:
         added, pieces = list(self.vocabulary.added), self.pieces
         cut = [text.split(" ") for text in texts]
         # A piece after a space has that space; the first piece of a text has none.
-        new: dict[str, list[str]] = {}
-        for row in cut:
-            for piece in row[1:]:
-                if piece not in pieces and piece not in new and piece and not piece[0].isspace():
-                    new[piece] = self.pattern.findall(" " + piece)
+        met = {piece for row in cut for piece in row[1:] if piece not in pieces}
+        # A piece of letters is one word: the pattern need not be asked.
+        new = {
+            piece: [" " + piece] if piece.isalpha() else self.pattern.findall(" " + piece)
+            for piece in met if piece and not piece[0].isspace()
+        }
         self._ensure(list(new.values()))
         for piece, words in new.items():
             pieces[piece] = b"".join(map(self.words.__getitem__, words))
