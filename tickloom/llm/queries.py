@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import html_extract, packing, rule_ensemble, token_frames, trie_bpe
+from tickloom.llm import html_extract, metric_tree, multi_index, packing, rule_ensemble, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,6 +19,10 @@ def op1_block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"))
+
+
 def op3_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_frames.write_frames(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return token_frames.read_frames(spark, manifest).select(
@@ -29,6 +33,10 @@ def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.search(read(spark, sf_dir, "embeddings"))
+
+
 def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     scored = rule_ensemble.score(docs, rule_ensemble.train(docs, labels))
@@ -47,8 +55,10 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_block_tree": op1_block_tree,
+    "op2_multi_index": op2_multi_index,
     "op3_token_frames": op3_token_frames,
     "op4_histogram_packing": op4_histogram_packing,
+    "op6_metric_tree": op6_metric_tree,
     "op7_rule_ensemble": op7_rule_ensemble,
     "op9_trie_bpe": op9_trie_bpe,
 }
