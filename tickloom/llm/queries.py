@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import html_extract, metric_tree, multi_index, packing, rule_ensemble, token_frames, trie_bpe
+from tickloom.llm import html_extract, metric_tree, multi_index, packing, pii, rule_ensemble, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,6 +33,14 @@ def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(read(spark, sf_dir, "documents"), pii.train(spark))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), *[count(kind) for kind in pii.BASE],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op6_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_tree.search(read(spark, sf_dir, "embeddings"))
 
@@ -58,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multi_index": op2_multi_index,
     "op3_token_frames": op3_token_frames,
     "op4_histogram_packing": op4_histogram_packing,
+    "op5_boosted_pii": op5_boosted_pii,
     "op6_metric_tree": op6_metric_tree,
     "op7_rule_ensemble": op7_rule_ensemble,
     "op9_trie_bpe": op9_trie_bpe,
