@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MAX_PIECES = 400_000
+from tickloom.llm.trie_bpe import byte_letters
+
+MAX_PIECES = 700_000
 
 
 class PieceCache:
@@ -30,6 +33,31 @@ class PieceCache:
         self.added = [x["content"] for x in data["added_tokens"]]
         self.max_pieces = max_pieces
         self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = str.maketrans({chr(b): letter for b, letter in byte_letters().items()})
+
+    def _plain(self, word: str) -> str | None:
+        """The word as the model sees it, if it is letters only and stays so; else None."""
+        core = word[1:] if word[:1] == " " else word
+        if not core.isalpha():
+            return None
+        if self.keeps_space:
+            return word
+        if core.isascii():
+            return core.lower()
+        core = unicodedata.normalize("NFC", core).lower()
+        return core if core.isalpha() and "\u03a3" not in word else None  # a last sigma has a lower case of its own
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Words of letters go straight to the library's model, others through all of it."""
+        plain = [self._plain(w) for w in words]
+        rest = iter(self._library([w for w, p in zip(words, plain) if p is None]))
+        tokenize, letters = self.model.tokenize, self.letters
+        return [
+            next(rest) if p is None else
+            np.array([t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))], dtype="<u4").tobytes()
+            for p in plain]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -39,17 +67,47 @@ class PieceCache:
         """Pieces beside other white space; an added token would swallow none of it."""
         return self.keeps_space and (not piece or piece[0].isspace())
 
+    def _cut(self, piece: str) -> list[str]:
+        """Texts whose ids, one after another, are those of the piece with its space.
+
+        Letters are a word of their own before a full stop, a comma or a line end, and
+        a single line end between two words is one too.
+        """
+        lead = " " if self.keeps_space else ""
+        lines = piece.split("\n")
+        if self.keeps_space and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            return [lead + piece]
+        out = []
+        for n, line in enumerate(lines):
+            if n and self.keeps_space:
+                out.append("\n")
+            if len(line) > 1 and line[-1] in ".," and self._plain(line[:-1]) is not None:
+                out += [("" if n else lead) + line[:-1], line[-1]]
+            elif line:
+                out.append(("" if n else lead) + line)
+        return out
+
+    def _add(self, new: list[str]) -> None:
+        """Ids of pieces not met before; each word in them goes through the library once."""
+        cut = [self._cut(piece) for piece in new]
+        words = list(dict.fromkeys(w for row in cut for w in row if w not in self.words))
+        if len(self.words) + len(words) > self.max_pieces:
+            self.words.clear()
+            words = list(dict.fromkeys(w for row in cut for w in row))
+        for at in range(0, len(words), 5000):
+            some = words[at:at + 5000]
+            self.words.update(zip(some, self._words(some)))
+        for piece, row in zip(new, cut):
+            self.pieces[piece] = self.words[row[0]] if len(row) == 1 else b"".join(map(self.words.__getitem__, row))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        pieces, lead = self.pieces, " " if self.keeps_space else ""
+        pieces = self.pieces
         if len(pieces) > self.max_pieces:
             pieces.clear()
         cut = [text.split(" ") for text in texts]
         skip = 1 if self.keeps_space else 0  # the first piece of a text has no space
-        new = list(dict.fromkeys(p for row in cut for p in row[skip:] if p not in pieces and not self._risky(p)))
-        for at in range(0, len(new), 5000):
-            some = new[at:at + 5000]
-            pieces.update(zip(some, self._library([lead + p for p in some])))
+        self._add([p for p in {p for row in cut for p in row[skip:] if p not in pieces} if not self._risky(p)])
         out: list[bytes | None] = []
         whole: list[str] = []
         for text, row in zip(texts, cut):
@@ -57,16 +115,14 @@ class PieceCache:
             if None in found or any(x in text for x in self.added):
                 out.append(None)
                 whole.append(text)
-            elif skip:
-                out.append(b"".join(found))
-                whole.append(row[0])
             else:
                 out.append(b"".join(found))
+                if skip:
+                    whole.append(row[0])
+        library = iter(self._library(whole))
         if skip:
-            heads = iter(self._library(whole))
-            return [next(heads) + (rest or b"") for rest in out]
-        rest = iter(self._library(whole))
-        return [next(rest) if x is None else x for x in out]
+            return [next(library) + (rest or b"") for rest in out]
+        return [next(library) if x is None else x for x in out]
 
 
 _made: dict[str, PieceCache] = {}
