@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import html_extract, metric_tree, multi_index, packing, pii, rule_ensemble, token_frames, trie_bpe
+from tickloom.llm import html_extract, metric_tree, multi_index, packing, phrase_automata, pii, rule_ensemble, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -52,6 +52,14 @@ def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), rule_ensemble.held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = phrase_automata.normal_words(F.col("text"))
+    columns = [
+        F.col("doc_id"), F.size(words).cast("bigint").alias("n_words"), F.sha2(F.array_join(words, " "), 256).alias("whole_sha256")]
+    found = phrase_automata.with_kept(read(spark, sf_dir, "documents"), columns)
+    return found.select("doc_id", "n_words", "n_removed", F.coalesce(F.sha2("kept", 256), "whole_sha256").alias("kept_sha256"))
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = trie_bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return coded.select(
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_boosted_pii": op5_boosted_pii,
     "op6_metric_tree": op6_metric_tree,
     "op7_rule_ensemble": op7_rule_ensemble,
+    "op8_phrase_automata": op8_phrase_automata,
     "op9_trie_bpe": op9_trie_bpe,
 }
 ORACLES: dict[str, str] = {}
