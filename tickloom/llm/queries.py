@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import html_extract, metric_tree, multi_index, packing, phrase_automata, pii, rule_ensemble, token_frames, trie_bpe
+from tickloom.llm import html_extract, metric_tree, multi_index, packing, phrase_automata, pii, rule_ensemble, shingle_join, token_frames, trie_bpe
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -69,6 +69,10 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_block_tree": op1_block_tree,
     "op2_multi_index": op2_multi_index,
@@ -79,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_rule_ensemble": op7_rule_ensemble,
     "op8_phrase_automata": op8_phrase_automata,
     "op9_trie_bpe": op9_trie_bpe,
+    "op10_partenum": op10_partenum,
 }
 ORACLES: dict[str, str] = {}
