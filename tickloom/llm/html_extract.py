@@ -180,6 +180,7 @@ LABELLED = (
     (12, 0, 70, 0, 55, 0, 0, 0, 0, 0, 1), (4, 0, 45, 0, 60, 0, 0, 0, 0, 0, 1), (8, 0, 3, 1, 70, 0, 0, 0, 0, 1, 1),
     (6, 0, 0, 0, 50, 0, 0, 0, 0, 1, 1), (7, 0, 40, 0, 35, 0, 0, 0, 0, 1, 1), (14, 0.1, 50, 0, 30, 0, 0, 0, 0, 0, 1),
     (3, 0, 30, 0, 28, 0, 0, 0, 0, 0, 1), (11, 0, 6, 0, 44, 0, 0, 0, 0, 0, 1), (10, 0, 60, 0, 1, 0, 0, 0, 0, 0, 1),
+    (1, 0, 22, 0, 24, 0, 0, 0, 0, 0, 1), (2, 0, 18, 0, 20, 0, 0, 0, 0, 0, 1), (6, 0, 24, 0, 16, 0, 0, 0, 0, 0, 1), (3, 0, 16, 0, 18, 0, 0, 0, 0, 0, 1),
     # And their menus, lists of links, short lines at the ends.
     (1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0), (2, 1, 0, 0, 2, 1, 0, 0, 0, 0, 0), (5, 1, 5, 1, 40, 0, 0, 0, 0, 0, 0),
     (12, 0.9, 50, 0, 12, 0.9, 0, 0, 0, 0, 0), (40, 0.8, 60, 0, 30, 0.9, 0, 0, 0, 0, 0), (3, 0, 2, 1, 2, 1, 0, 0, 0, 0, 0),
