@@ -11,8 +11,9 @@ might agree with another in those alone, gets one signature that says so.
 
 Links without all pairs of a bucket:
 
-1. Signatures are counted; documents are read again for those that recur. A bucket's
-   members are compared with its head, the smallest document id, once per pair.
+1. Signatures are counted; documents are read again for those that recur, told by a
+   Bloom filter where that is small and by a join where it is not. A bucket's members
+   are compared with its head, the smallest document id, once per pair.
 2. By the triangle inequality of the Jaccard distance a member farther than 0.4 from
    the head links with none that is within 0.2 of it; one between 0.2 and 0.4 is
    compared with those near enough.
@@ -46,7 +47,7 @@ SHINGLE, SHARED, OF = 5, 80, 100  # words; linked when OF * intersection >= SHAR
 BAND = 1.6
 SMALL_BUCKET, LEVELS = 32, 5
 # A broadcast is made below these sizes; beyond them there is a shuffle instead.
-BROADCAST_IDS, BROADCAST_SIGNATURES = 2_000_000, 20_000_000
+BROADCAST_IDS, BROADCAST_SIGNATURES = 2_000_000, 12_000_000
 KEPT_BYTES = 5  # of a shingle's hash in sets that travel
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,29 +186,56 @@ def sizes_and_keys(docs: DataFrame) -> DataFrame:
 
 
 class Bloom:
-    """Whether a signature may recur: four bits of a table of 16 bits a signature."""
+    """Whether a signature may recur: three bits in one of many blocks of 2 ** 16 bits."""
 
-    def __init__(self, values: np.ndarray):
-        self.size = np.uint64(max(64, 16 * len(values)))
-        table = np.zeros(int(self.size) + 1, dtype=bool)
-        for n in range(4):
-            table[self._at(values, n)] = True
-        self.bits = np.packbits(table)
+    BLOCK = 1 << 16
 
-    def _at(self, values: np.ndarray, n: int) -> np.ndarray:
-        return mix(values + salt(n)) % self.size
+    def __init__(self, blocks: int):
+        self.blocks = blocks
+        self.bits = np.zeros((blocks, self.BLOCK // 8), dtype=np.uint8)
 
-    def __contains__(self, value: int) -> bool:
-        return bool(self.test(np.array([value], dtype=np.uint64))[0])
+    @staticmethod
+    def blocks_for(signatures: int) -> int:
+        return max(1, -(-10 * signatures // Bloom.BLOCK))
+
+    @staticmethod
+    def block_of(values: np.ndarray, blocks: int) -> np.ndarray:
+        return (mix(values) % np.uint64(blocks)).astype(np.int64)
+
+    @staticmethod
+    def places(values: np.ndarray) -> list[np.ndarray]:
+        far = mix(values + _SALT)
+        return [((far >> np.uint64(16 * n)) & np.uint64(0xFFFF)).astype(np.int64) for n in range(3)]
 
     def test(self, values: np.ndarray) -> np.ndarray:
-        found = np.ones(len(values), dtype=bool)
-        for n in range(4):
-            at = self._at(values, n)
-            found &= (self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+        block, found = self.block_of(values, self.blocks), np.ones(len(values), dtype=bool)
+        for place in self.places(values):
+            found &= (self.bits[block, place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
         return found
 
 
+def bloom_of(signatures_: DataFrame, n: int) -> Bloom:
+    """Blocks are filled by the executors; the driver gets their bits, of checked size."""
+    blocks = Bloom.blocks_for(n)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("signature").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("signature"), pa.array(Bloom.block_of(values, blocks), type=pa.int32())], ["signature", "block"])
+
+    def filled(key: tuple, table: pa.Table) -> pa.Table:
+        bits = np.zeros(Bloom.BLOCK, dtype=bool)
+        for place in Bloom.places(table.column("signature").to_numpy().view(np.uint64)):
+            bits[place] = True
+        return pa.table({"block": pa.array([key[0].as_py()], type=pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], type=pa.binary())})
+
+    out = Bloom(blocks)
+    rows = map_batches(signatures_, dealt, "signature bigint, block int").groupBy("block").applyInArrow(filled, "block int, bits binary")
+    for row in rows.toLocalIterator():
+        out.bits[row["block"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
+
+
 def recurring_signatures(docs: DataFrame) -> DataFrame:
     def rows(ids: np.ndarray, sets: Sets) -> list[pa.Array]:
         return [pa.array(signatures(sets)[1].view(np.int64))]
@@ -220,9 +248,7 @@ def members(docs: DataFrame, recurring: DataFrame) -> DataFrame:
     """signature, head and member of all buckets, but for the heads themselves."""
     spark = docs.sparkSession
     n = recurring.count()
-    bloom = None
-    if n <= BROADCAST_SIGNATURES:
-        bloom = spark.sparkContext.broadcast(Bloom(recurring.toArrow().column(0).to_numpy().view(np.uint64)))
+    bloom = spark.sparkContext.broadcast(bloom_of(recurring, n)) if n <= BROADCAST_SIGNATURES else None
 
     def rows(ids: np.ndarray, sets: Sets) -> list[pa.Array]:
         at, found = signatures(sets)
@@ -239,6 +265,13 @@ def members(docs: DataFrame, recurring: DataFrame) -> DataFrame:
     return rows_.join(heads.drop("tail"), "signature").filter("doc_id > head").select("signature", "head", F.col("doc_id").alias("member"))
 
 
+def without_copies(docs: DataFrame, keyed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The documents but for those whose set a smaller id has too."""
+    copies = keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n = 1").join(classes, "doc_id").filter("rep < doc_id").select("doc_id")
+    copies = written(copies, "shingle-copies")
+    return docs.join(F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, "doc_id", "left_anti")
+
+
 def sets_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The sets of some documents, packed."""
 
@@ -368,7 +401,7 @@ def groups(docs: DataFrame) -> DataFrame:
     keyed = written(sizes_and_keys(known), "shingle-keys")
     reps = keyed.filter("n_shingles > 0").groupBy("n_shingles", "c1", "c2").agg(F.min("doc_id").alias("rep"))
     classes = written(keyed.join(reps, ["n_shingles", "c1", "c2"]).groupBy("doc_id").agg(F.min("rep").alias("rep")), "shingle-classes")
-    labels = components(links_of(known, classes))
+    labels = components(links_of(without_copies(known, keyed, classes), classes))
     named = classes.join(labels, classes["rep"] == labels["id"], "left").select("doc_id", F.coalesce("label", "rep").alias("component_id"))
     out = keyed.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn(
         "component_id", F.coalesce("component_id", "doc_id"))
