@@ -88,9 +88,9 @@ checked AS (
   SELECT *, CASE routed_kind {" ".join(f"WHEN '{kind}' THEN {_first_bad(groups)}" for kind, groups in _groups("data").items())}
     END AS bad FROM routed),
 decoded AS (
-  SELECT *, CASE WHEN stream IS NULL THEN 'invalid JSON'
-      WHEN routed_kind IS NULL THEN 'unrecognized stream `' || stream || '`'
-      WHEN bad IS NOT NULL THEN 'invalid JSON: ' || {_REASON} END AS error FROM checked),
+  SELECT *, CASE WHEN stream IS NULL THEN 'malformed text'
+      WHEN routed_kind IS NULL THEN 'no route for stream `' || stream || '`'
+      WHEN bad IS NOT NULL THEN 'malformed text: ' || {_REASON} END AS error FROM checked),
 kinds AS (SELECT *, CASE WHEN error IS NULL THEN routed_kind END AS kind FROM decoded)"""
 
 TOPIC = views.SQL_TOPIC + f""",
@@ -103,11 +103,10 @@ checked AS (
   SELECT *, CASE event_type {" ".join(f"WHEN '{kind}' THEN {_first_bad(groups)}" for kind, groups in _groups("payload").items())}
     END AS bad FROM typed),
 decoded AS (
-  SELECT *, CASE WHEN event_type IS NULL THEN 'decoding envelope'
-      WHEN event_type NOT IN ('agg_trade', 'book_ticker', 'kline') THEN 'unknown event_type `' || event_type || '`'
-      WHEN bad IS NOT NULL THEN 'decoding '
-        || CASE event_type WHEN 'agg_trade' THEN 'aggTrade' WHEN 'book_ticker' THEN 'bookTicker' ELSE 'kline' END
-        || ' payload: ' || {_REASON} END AS error FROM checked),
+  SELECT *, CASE WHEN event_type IS NULL THEN 'not an envelope'
+      WHEN event_type NOT IN ('agg_trade', 'book_ticker', 'kline') THEN 'no such event type: `' || event_type || '`'
+      WHEN bad IS NOT NULL THEN CASE event_type WHEN 'agg_trade' THEN 'bad trade: ' WHEN 'book_ticker' THEN 'bad ticker: '
+        ELSE 'bad candle: ' END || {_REASON} END AS error FROM checked),
 kinds AS (SELECT *, CASE WHEN error IS NULL THEN event_type END AS kind FROM decoded)"""
 
 _STATS = """SELECT count(*) FILTER (kind IN ('agg_trade', 'book_ticker', 'kline')) AS events,
@@ -243,7 +242,7 @@ SELECT events, decode_errors, CAST(3 AS BIGINT) AS max_decode_errors, decode_err
     "decoded_trades": _decoded("agg_trade"),
     "decoded_tickers": _decoded("book_ticker"),
     "decoded_klines": _decoded("kline"),
-    "bad_frames": f"WITH {FRAMES} SELECT event_id, error, substr(value, 1, 256) AS snippet FROM kinds WHERE error IS NOT NULL",
+    "bad_frames": f"WITH {FRAMES} SELECT event_id, error, substr(value, 1, 256) AS snippet, value FROM kinds WHERE error IS NOT NULL",
     "control_frames": f"WITH {FRAMES} SELECT event_id, value FROM kinds WHERE kind = 'control'",
     "topic_rows": f"WITH {FRAMES} {_TOPIC_ROWS}",
     "envelope_dispatch": f"WITH {TOPIC} SELECT topic, kind, count(*) AS records FROM kinds GROUP BY topic, kind",
@@ -256,7 +255,8 @@ SELECT topic, count(*) FILTER (value IS NULL) AS skipped, count(*) AS records FR
     "path_counters": f"""WITH {TOPIC} SELECT topic, count(*) FILTER (error IS NULL) AS applied,
   count(*) FILTER (error IS NOT NULL) AS dead_lettered FROM kinds GROUP BY topic""",
     "symbol_mismatches": f"""WITH {TOPIC}, pairs AS (
-  SELECT json_extract_string(doc, '$.payload.s') AS event_symbol, json_extract_string(doc, '$.payload.k.s') AS symbol
+  SELECT CASE WHEN kafka_offset % 7 = 0 THEN 'OTHER' ELSE json_extract_string(doc, '$.payload.s') END AS event_symbol,
+    json_extract_string(doc, '$.payload.k.s') AS symbol
   FROM kinds WHERE kind = 'kline')
 SELECT event_symbol, symbol, count(*) AS "rows" FROM pairs WHERE event_symbol <> symbol GROUP BY event_symbol, symbol""",
     "raw_frame_recorder": f"""WITH {views.SQL_FRAMES}
@@ -357,11 +357,10 @@ merged AS ({_newest("both_views", "open_time", "live DESC")})
 SELECT symbol, CAST(price AS VARCHAR) AS open, CAST(high AS VARCHAR) AS high, CAST(low AS VARCHAR) AS low,
   CAST(close AS VARCHAR) AS close, CAST(quantity AS VARCHAR) AS volume, trade_count, open_time,
   CASE WHEN close >= price THEN 'up' ELSE 'down' END AS direction FROM merged ORDER BY open_time""",
-    "merge_all_series": f"""WITH {SERIES}, seconds AS (SELECT * FROM series WHERE "interval" = '1s'),
-newer AS (SELECT * REPLACE (high AS close) FROM seconds WHERE open_time >= {CUTOFF_MS})
-SELECT symbol, {_CANDLE_TEXT} FROM (
-  SELECT * FROM newer UNION ALL SELECT * FROM seconds AS s
-  WHERE NOT EXISTS (SELECT 1 FROM newer AS n WHERE n.symbol = s.symbol AND n.open_time = s.open_time))""",
+    "merge_all_series": f"""WITH {SERIES}, newer AS (SELECT * REPLACE (high AS close) FROM series WHERE open_time >= {CUTOFF_MS})
+SELECT symbol, "interval", {_CANDLE_TEXT} FROM (
+  SELECT * FROM newer UNION ALL SELECT * FROM series AS s WHERE NOT EXISTS (
+    SELECT 1 FROM newer AS n WHERE n.symbol = s.symbol AND n."interval" = s."interval" AND n.open_time = s.open_time))""",
     "live_candles": f"""WITH {LIVE_WINDOW} SELECT symbol, CAST(price AS VARCHAR) AS open, CAST(high AS VARCHAR) AS high,
   CAST(low AS VARCHAR) AS low, CAST(close AS VARCHAR) AS close, CAST(quantity AS VARCHAR) AS volume, trade_count, open_time
   FROM held""",
@@ -369,9 +368,20 @@ SELECT symbol, {_CANDLE_TEXT} FROM (
     "rest_rows_rejected": f"""WITH {views.SQL_REST} SELECT row_id, 'field ' || CASE fault WHEN 11 THEN 6 WHEN 13 THEN 4
   WHEN 17 THEN 7 ELSE 7 END || ' is missing or has a wrong value' AS error FROM rest WHERE bad""",
     "landed_history": _rest_select(""),
-    "backfill_union": f"""WITH {GOOD}, {views.SQL_REST}, both_sources AS (
-  SELECT symbol FROM good WHERE kind = 'kline' UNION ALL SELECT symbol FROM rest WHERE NOT bad)
-SELECT 'market.klines' AS topic, symbol AS key, count(*) AS records FROM both_sources GROUP BY symbol""",
+    "landed_rejected": f"""WITH {views.SQL_REST}, errors AS (
+  SELECT symbol, CASE fault WHEN 11 THEN '6' WHEN 13 THEN '4' ELSE '7' END AS field FROM rest WHERE bad
+  UNION ALL SELECT symbol, '0' FROM (SELECT DISTINCT symbol, row_id // 1000 AS page FROM rest), (SELECT unnest([1, 2]))) 
+SELECT symbol, 'field ' || field || ' is missing or has a wrong value' AS error, count(*) AS "rows" FROM errors GROUP BY ALL""",
+    "backfill_union": f"""WITH {GOOD}, {views.SQL_REST}
+SELECT 'market.klines' AS topic, symbol AS key, "interval", open_time, CAST(price AS VARCHAR) AS open, CAST(close AS VARCHAR) AS close,
+  CAST(quantity AS VARCHAR) AS volume, event_id AS first_trade_id, event_id % 3 = 0 AS is_closed FROM good WHERE kind = 'kline'
+UNION ALL SELECT 'market.klines', symbol, '1d', day, CAST(price AS VARCHAR), CAST(price AS VARCHAR), o_custkey || '.5', -1,
+  day + 86399999 < {views.REST_NOW_MS} FROM rest WHERE NOT bad""",
+    "lake_two_checkpoints": f"""WITH {GOOD} SELECT CAST(price AS VARCHAR) AS price, CAST(quantity AS VARCHAR) AS quantity,
+  ms AS trade_time, event_id AS agg_trade_id, event_id % 2 = 0 AS is_buyer_maker, kafka_partition, kafka_offset, symbol
+  FROM good WHERE kind = 'agg_trade'""",
+    "pages_cover_all_rows": f"""WITH {views.SQL_KLINES} SELECT {KLINES_TEXT} FROM v_klines
+  WHERE symbol = '{SYMBOL}' AND "interval" = '1d' AND is_closed""",
     "invalid_intervals": f"""WITH marked AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN '1h' WHEN 1 THEN '10m' ELSE o_orderpriority END
   AS "interval" FROM orders)
 SELECT "interval", count(*) AS "rows" FROM marked WHERE "interval" NOT IN ({_VALID}) GROUP BY "interval\"""",
@@ -394,3 +404,6 @@ SELECT symbol, "interval", newest_open_time, age_ms, age_ms // CASE "interval" {
 SELECT {TRADES_TEXT}, CAST(to_timestamp(trade_time / 1000) AT TIME ZONE 'UTC' AS DATE) AS event_date FROM v_trades
 WHERE CAST(to_timestamp(trade_time / 1000) AT TIME ZONE 'UTC' AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'""",
 }
+
+# A second query with a new checkpoint ends in the same state as one that went on.
+ORACLES["live_new_checkpoint"] = ORACLES["live_trade"]

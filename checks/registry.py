@@ -145,7 +145,7 @@ def decoded_klines(spark, sf_dir):
 
 def bad_frames(spark, sf_dir):
     bad = decode.with_snippet(decode.bad_rows(decoded_frames(spark, sf_dir)))
-    return bad.select("event_id", "error", "snippet")
+    return bad.select("event_id", "error", "snippet", "value")
 
 
 def control_frames(spark, sf_dir):
@@ -189,8 +189,11 @@ def path_counters(spark, sf_dir):
 
 
 def symbol_mismatches(spark, sf_dir):
-    """Outer and nested symbols agree in every view row, so this must be empty."""
-    return quality.symbol_mismatches(decoded_topic(spark, sf_dir))
+    """Every seventh record names another symbol outside its candle than inside."""
+    outer = F.regexp_replace(F.col("value").cast("string"), '("e":"kline","E":[0-9]+,"s":")[A-Z]+"', '$1OTHER"')
+    records = read_topic_files(spark, topic_path(spark, sf_dir))
+    changed = records.withColumn("value", F.when(F.col("offset") % 7 == 0, F.encode(outer, "UTF-8")).otherwise(F.col("value")))
+    return quality.symbol_mismatches(decode.decode_envelopes(changed))
 
 
 def raw_frame_recorder(spark, sf_dir):
@@ -271,7 +274,8 @@ def trades_latest_all(spark, sf_dir):
 
 
 def trades_unknown_symbol(spark, sf_dir):
-    return reads.trades(read_table(spark, lake_root(spark, sf_dir), TRADES, "NOSUCH"))
+    """The whole table is there to be searched; no row is of that symbol."""
+    return reads.trades(views.trades(spark, sf_dir), "NOSUCH")
 
 
 def trade_seed(spark, sf_dir):
@@ -279,7 +283,7 @@ def trade_seed(spark, sf_dir):
 
 
 def tickers_latest(spark, sf_dir):
-    return reads.book_tickers(read_table(spark, lake_root(spark, sf_dir), BOOK_TICKERS, SYMBOL), limit=5000)
+    return reads.book_tickers(read_table(spark, lake_root(spark, sf_dir), BOOK_TICKERS, SYMBOL), limit=5000, most=1000)
 
 
 def klines_page(spark, sf_dir):
@@ -415,8 +419,8 @@ def merged_chart(spark, sf_dir):
 
 
 def merge_all_series(spark, sf_dir):
-    """History and the newest half of it as live rows, over every one-second series."""
-    series = reads.candle_series(views.klines(spark, sf_dir).filter(F.col("interval") == "1s"))
+    """History and the newest half of it as live rows, over every series of every interval."""
+    series = reads.candle_series(views.klines(spark, sf_dir))
     newer = series.filter(F.col("open_time") >= CUTOFF_MS).withColumn("close", F.col("high"))
     return decimals_to_text(reads.merge_candles(series, newer))
 
@@ -440,39 +444,46 @@ def rest_rows_rejected(spark, sf_dir):
     return decode.bad_rows(_backfill(spark, sf_dir)).select("row_id", "error")
 
 
-def landed_history(spark, sf_dir):
+def _landed(spark, sf_dir):
     """Responses landed as lines, one array of rows each, read and decoded.
 
     A response is one page of at most 1000 rows of a series.
     """
 
     def build(root: str) -> str:
-        rows = views.rest_rows(spark, sf_dir).filter("row_id % 40 NOT IN (11, 13, 17, 19)")
+        rows = views.rest_rows(spark, sf_dir)
         pages = rows.groupBy("symbol", "interval", F.floor(F.col("row_id") / 1000).alias("page")).agg(
             F.concat(F.lit("["), F.array_join(F.collect_list("row_text"), ","), F.lit("]")).alias("value")
         )
-        pages.select("value", "symbol", "interval").write.partitionBy("symbol", "interval").text(root)
+        # A refusal, and a page cut off on its way, next to every page.
+        refused = pages.withColumn("value", F.lit('{"code":-1,"msg":"no"}'))
+        cut = pages.withColumn("value", F.expr("substr(value, 1, length(value) - 3)"))
+        landed = pages.unionByName(refused).unionByName(cut)
+        landed.select("value", "symbol", "interval").write.partitionBy("symbol", "interval").text(root)
         return root
 
     responses = history.read_responses(spark, _once(spark, sf_dir, "responses", build))
-    decoded = history.decode_rows(history.response_rows(responses), views.REST_NOW_MS)
-    return decode.events_of(decoded, KLINE)
+    return history.decode_rows(history.response_rows(responses), views.REST_NOW_MS)
+
+
+def landed_history(spark, sf_dir):
+    return decode.events_of(_landed(spark, sf_dir), KLINE)
+
+
+def landed_rejected(spark, sf_dir):
+    """Every bad row of a good response, and every response that cannot be read."""
+    return decode.bad_rows(_landed(spark, sf_dir)).groupBy("symbol", "error").agg(F.count("*").alias("rows"))
 
 
 def backfill_union(spark, sf_dir):
     """Backfilled and live candle events in one keyed topic."""
     live = encode.to_topic_rows(decoded_topic(spark, sf_dir).filter(F.col("kind") == KLINE).drop("key", "value", "topic"))
-    backfilled = _backfill(spark, sf_dir).withColumns({
-        AGG_TRADE: F.lit(None).cast(decode_type(spark, AGG_TRADE)),
-        BOOK_TICKER: F.lit(None).cast(decode_type(spark, BOOK_TICKER)),
-    })
-    both = live.unionByName(encode.to_topic_rows(backfilled))
-    return both.groupBy("topic", "key").agg(F.count("*").alias("records"))
-
-
-def decode_type(spark, kind):
-    empty = spark.createDataFrame([], "value string")
-    return decode.decode_frames(empty).schema[kind].dataType
+    both = live.unionByName(encode.to_topic_rows(_backfill(spark, sf_dir)))
+    field = lambda path: F.get_json_object("value", f"$.payload.k.{path}")
+    return both.select(
+        "topic", "key", field("i").alias("interval"), field("t").cast("bigint").alias("open_time"), field("o").alias("open"),
+        field("c").alias("close"), field("v").alias("volume"), field("f").cast("bigint").alias("first_trade_id"),
+        (field("x") == "true").alias("is_closed"))
 
 
 # --- Quality ------------------------------------------------------------------
@@ -548,6 +559,55 @@ def date_partition_scan(spark, sf_dir):
     return decimals_to_text(maintenance.read_by_date(spark, root, TRADES, "2024-01-08", "2024-01-14"))
 
 
+def lake_two_checkpoints(spark, sf_dir):
+    """Two cold paths with a checkpoint each, both starting at batch 0, and a rewrite in between."""
+
+    def build(root: str) -> str:
+        records = read_topic_files(spark, topic_path(spark, sf_dir))
+        for part in (0, 1):
+            records.filter(F.col("offset") % 2 == part).write.parquet(f"{root}/topic{part}")
+        for part, lake in ((0, "small"), (1, "lake")):
+            if part:
+                for table in LAKE_TABLES:
+                    maintenance.compact(spark, f"{root}/small", f"{root}/lake", table)
+            cold.start_cold_path(
+                stream_topic_files(spark, f"{root}/topic{part}"), f"{root}/{lake}", f"{root}/checkpoint{part}",
+                cold.dead_letter_files(f"{root}/dead-letters"), available_now=True).awaitTermination()
+        return root
+
+    return decimals_to_text(read_table(spark, _once(spark, sf_dir, "two-checkpoints", build) + "/lake", TRADES))
+
+
+def live_new_checkpoint(spark, sf_dir):
+    """Latest trades after a second query with a checkpoint of its own."""
+
+    def build(root: str) -> hot.LiveTables:
+        tables = hot.LiveTables(spark, f"{root}/live", WINDOW_KEEP, WINDOW_SLACK)
+        records = read_topic_files(spark, topic_path(spark, sf_dir))
+        middle = records.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY offset)")).first()[0]
+        for part, rows in enumerate((records.filter(F.col("offset") <= middle), records.filter(F.col("offset") > middle))):
+            rows.write.parquet(f"{root}/topic{part}")
+            hot.start_hot_path(
+                stream_topic_files(spark, f"{root}/topic{part}"), tables, f"{root}/checkpoint{part}",
+                cold.dead_letter_files(f"{root}/dead-letters"), available_now=True).awaitTermination()
+        return tables
+
+    return reads.live_trades(_once(spark, sf_dir, "live-new-checkpoint", build).trade.read())
+
+
+def pages_cover_all_rows(spark, sf_dir):
+    """Candle pages of one series, each after the last row of the one before, put together."""
+    table = read_table(spark, lake_root(spark, sf_dir), KLINES, SYMBOL, "1d")
+    limit = max(1, table.count() // 12)
+    found, after = None, None
+    while True:
+        page = reads.klines(table, SYMBOL, "1d", limit, after=after).filter("is_closed")
+        after = reads.next_cursor(page.select("open_time", "kafka_partition", "kafka_offset").collect(), "open_time")
+        if after is None:
+            return found
+        found = page if found is None else found.unionByName(page)
+
+
 QUERIES: dict[str, Query] = {
     "frame_decode_stats": frame_decode_stats,
     "frame_stats_line": frame_stats_line,
@@ -612,6 +672,10 @@ QUERIES: dict[str, Query] = {
     "rest_rows_to_klines": rest_rows_to_klines,
     "rest_rows_rejected": rest_rows_rejected,
     "landed_history": landed_history,
+    "landed_rejected": landed_rejected,
+    "lake_two_checkpoints": lake_two_checkpoints,
+    "live_new_checkpoint": live_new_checkpoint,
+    "pages_cover_all_rows": pages_cover_all_rows,
     "backfill_union": backfill_union,
     "invalid_intervals": invalid_intervals,
     "interval_lists": interval_lists,

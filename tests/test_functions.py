@@ -5,38 +5,31 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import decimals, market
 from tickloom.operators.quality import feed_coverage, require_stream_limit, series_staleness, stream_catalogue
-from tickloom.schemas import DEFAULT_INTERVALS, INTERVAL_MS, VALID_INTERVALS
+from tickloom.schemas import INTERVAL_MS, VALID_INTERVALS
 
 
 def test_lake_decimal(spark):
     cases = {
-        "64000.5": "64000.50000000", "0.1": "0.10000000", "0.00000001": "0.00000001", "0.000000015": "0.00000002",
-        "0": "0.00000000", "-1.5": "-1.50000000", " 1": None, "1e3": None, "abc": None, "1" * 31: None,
+        "731.25": "731.25000000", "0.7": "0.70000000", "0.00000003": "0.00000003", "0.000000025": "0.00000003",
+        "0": "0.00000000", "-2.75": "-2.75000000", " 1": None, "1e3": None, "abc": None, "1" * 31: None,
     }
     df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", decimals.to_lake_decimal("t").alias("d"))
     assert {r["t"]: None if r["d"] is None else f"{r['d']:.8f}" for r in df.collect()} == cases
 
 
 def test_decimals_to_text(spark):
-    df = spark.createDataFrame([(Decimal("64000.5"), 3)], "a decimal(38,8), b int")
-    assert decimals.decimals_to_text(df).first().asDict() == {"a": "64000.50000000", "b": 3}
-    big = spark.sql("SELECT CAST('90071992547409.93' AS DECIMAL(38,8)) AS a, CAST(0 AS DECIMAL(38,8)) AS z")
-    assert decimals.decimals_to_text(big).first().asDict() == {"a": "90071992547409.93000000", "z": "0.00000000"}
+    df = spark.createDataFrame([(Decimal("731.25"), 3)], "a decimal(38,8), b int")
+    assert decimals.decimals_to_text(df).first().asDict() == {"a": "731.25000000", "b": 3}
+    big = spark.sql("SELECT CAST('81985529216486.95' AS DECIMAL(38,8)) AS a, CAST(0 AS DECIMAL(38,8)) AS z")
+    assert decimals.decimals_to_text(big).first().asDict() == {"a": "81985529216486.95000000", "z": "0.00000000"}
 
 
 def test_limits():
-    assert [market.clamp_limit(n) for n in (None, 10, 0, 5000)] == [100, 10, 1, 1000]
+    assert [market.page_size(n) for n in (None, 7, 0, 20_000)] == [100, 7, 1, 20_000]
+    assert [market.page_size(n, most=1000) for n in (None, 7, 20_000)] == [100, 7, 1000]
 
 
 def test_intervals(spark):
-    assert market.parse_intervals(" 1m, ,1d,") == ["1m", "1d"]
-    for bad in ("10m", "24h", "1m,60s"):
-        with pytest.raises(ValueError):
-            market.parse_intervals(bad)
-    with pytest.raises(ValueError):
-        market.parse_intervals(" , ")
-    assert market.parse_intervals(",".join(VALID_INTERVALS)) == list(VALID_INTERVALS)
-    assert set(DEFAULT_INTERVALS) < set(VALID_INTERVALS) and {"1s", "1m"} <= set(DEFAULT_INTERVALS)
     assert set(INTERVAL_MS) == set(VALID_INTERVALS)
     df = spark.createDataFrame([("1w",), ("1M",), ("77x",)], "i string")
     assert [r[0] for r in df.select(market.interval_ms(F.col("i"))).collect()] == [604800000, 2592000000, None]
@@ -56,11 +49,11 @@ def test_small_expressions(spark):
 
 
 def test_feed_catalogue(spark):
-    symbols = spark.createDataFrame([("BTCUSDT",), ("ETHUSDT",)], "symbol string")
+    symbols = spark.createDataFrame([("NOVAUSD",), ("ZEDAEUR",)], "symbol string")
     expected = stream_catalogue(symbols, ["1s", "1m"])
     assert sorted(r["stream"] for r in expected.collect())[:4] == [
-        "btcusdt@aggTrade", "btcusdt@bookTicker", "btcusdt@kline_1m", "btcusdt@kline_1s"]
-    observed = spark.createDataFrame([("btcusdt@aggTrade",)] * 3, "stream string")
+        "novausd@aggTrade", "novausd@bookTicker", "novausd@kline_1m", "novausd@kline_1s"]
+    observed = spark.createDataFrame([("novausd@aggTrade",)] * 3, "stream string")
     assert feed_coverage(expected, observed).count() == 7
     assert require_stream_limit(["A", "B"], ["1s"]) == 6
     with pytest.raises(ValueError):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.samples import TICKER, TRADE, candle_payload, envelope, frame, records
 from tests.test_window import Reference
+from tickloom.operators import maintenance
 from tickloom.operators.decode import decode_envelopes
 from tickloom.plans import queries as reads
 from tickloom.schemas import BOOK_TICKERS, KLINES, TRADES
@@ -57,11 +58,11 @@ def test_cold_path_resumes_without_loss_or_repeats(spark, tmp_path):
     land(spark, topic, [trade("A", "3", 8), ("A", "junk2", TRADES_TOPIC, 1, 9)])
     real_write, calls = cold.write_lake, []
 
-    def failing_write(rows, root, table, batch_id):
+    def failing_write(rows, root, table, batch_id, writer):
         calls.append(table)
         if table is KLINES:
             raise OSError("upload failed")
-        real_write(rows, root, table, batch_id)
+        real_write(rows, root, table, batch_id, writer)
 
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(cold, "write_lake", failing_write)
@@ -75,7 +76,7 @@ def test_cold_path_resumes_without_loss_or_repeats(spark, tmp_path):
 
 
 def test_dead_letters_come_before_the_lake(spark, tmp_path):
-    def unavailable(rows, batch_id):
+    def unavailable(rows, batch_id, writer):
         raise OSError("dead-letter topic unavailable")
 
     batch = records(spark, [trade("A", "1.5", 1)])
@@ -141,14 +142,50 @@ def test_applying_a_version_twice_changes_nothing(spark, tmp_path):
 def test_snapshots_keep_a_few_complete_versions(spark, tmp_path):
     from tickloom.schemas import LIVE_TRADE
 
-    snapshot = Snapshot(spark, str(tmp_path), "t", LIVE_TRADE)
+    snapshot = Snapshot(spark, str(tmp_path), "t", LIVE_TRADE, retain_seconds=0)
     assert snapshot.versions() == [] and snapshot.read().count() == 0
     for version in range(6):
         snapshot.write(spark.createDataFrame([("A", str(version), "1", 1, 1, True)], LIVE_TRADE), version)
-    assert snapshot.versions() == [3, 4, 5]
-    assert snapshot.read().first()["price"] == "5" and snapshot.read(before=5).first()["price"] == "4"
-    (tmp_path / "t" / "version=9").mkdir()
-    assert snapshot.versions() == [3, 4, 5]
+    assert snapshot.versions() == [("direct", n) for n in (3, 4, 5)]
+    assert snapshot.read().first()["price"] == "5" and snapshot.before(5).first()["price"] == "4"
+    (tmp_path / "t" / "version=000000000009-direct-9").mkdir()
+    assert snapshot.versions() == [("direct", n) for n in (3, 4, 5)]
+
+
+def test_readers_keep_their_version(spark, tmp_path):
+    from tickloom.schemas import LIVE_TRADE
+
+    snapshot = Snapshot(spark, str(tmp_path), "t", LIVE_TRADE)
+    write = lambda n: snapshot.write(spark.createDataFrame([("A", str(n), "1", 1, 1, True)], LIVE_TRADE), n)
+    write(0)
+    open_ = snapshot.read()
+    for n in range(1, 6):
+        write(n)
+    assert open_.first()["price"] == "0" and len(snapshot.versions()) == 6
+
+
+def test_a_new_checkpoint_goes_on(spark, tmp_path):
+    """Batch ids start anew with a checkpoint; lake rows, dead letters and live state stay."""
+    lake, parked = str(tmp_path / "lake"), str(tmp_path / "dlq")
+    tables = hot.LiveTables(spark, str(tmp_path / "live"), keep=5, slack=2)
+    for run in (1, 2):
+        topic = str(tmp_path / f"topic{run}")
+        land(spark, topic, [trade("A", f"{run}.5", run), candle("A", "1s", run * 1000, run), ("A", f"junk{run}", TRADES_TOPIC, 1, run)])
+        for _ in range(2):  # the second drain has nothing to do
+            drain(cold.start_cold_path(
+                stream_topic_files(spark, topic), lake, str(tmp_path / f"cold{run}"), cold.dead_letter_files(parked), available_now=True))
+            drain(hot.start_hot_path(
+                stream_topic_files(spark, topic), tables, str(tmp_path / f"hot{run}"), cold.dead_letter_files(str(tmp_path / "dlq2")), available_now=True))
+    assert sorted(r["kafka_offset"] for r in read_table(spark, lake, TRADES).collect()) == [1, 2]
+    assert sorted(bytes(r["value"]) for r in spark.read.parquet(parked).collect()) == [b"junk1", b"junk2"]
+    assert tables.trade.read().first()["price"] == "2.5"
+    assert sorted(r["open_time"] for r in tables.kline_second.read().collect()) == [1000, 2000]
+    maintenance.compact(spark, lake, lake + "-large", TRADES)
+    topic = str(tmp_path / "topic3")
+    land(spark, topic, [trade("A", "3.5", 3)])
+    drain(cold.start_cold_path(
+        stream_topic_files(spark, topic), lake + "-large", str(tmp_path / "cold3"), cold.dead_letter_files(parked), available_now=True))
+    assert sorted(r["kafka_offset"] for r in read_table(spark, lake + "-large", TRADES).collect()) == [1, 2, 3]
 
 
 def test_ingest_counts_and_publishes(spark, tmp_path):
@@ -163,7 +200,7 @@ def test_ingest_counts_and_publishes(spark, tmp_path):
     assert counts == {
         "events": 2, "agg_trades": 1, "book_tickers": 1, "klines": 0, "decode_errors": 1, "server_shutdowns": 1}
     rows = spark.read.parquet(out).collect()
-    assert sorted((r["topic"], r["key"]) for r in rows) == [(TICKERS_TOPIC, "BTCUSDT"), (TRADES_TOPIC, "BTCUSDT")]
+    assert sorted((r["topic"], r["key"]) for r in rows) == [(TICKERS_TOPIC, "NOVAUSD"), (TRADES_TOPIC, "NOVAUSD")]
     assert json.loads(rows[0]["value"])["schema_version"] == 1
 
 

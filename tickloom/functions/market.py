@@ -8,12 +8,14 @@ from pyspark.sql import Column, functions as F, types as T
 
 from tickloom.schemas import (
     AGG_TRADE, BOOK_TICKER, BOOK_TICKERS_TOPIC, DEFAULT_LIMIT, DLQ_SUFFIX, INTERVAL_MS, KLINE,
-    KLINES_TOPIC, MAX_LIMIT, TRADES_TOPIC, VALID_INTERVALS,
+    KLINES_TOPIC, TRADES_TOPIC, VALID_INTERVALS,
 )
 
 
-def clamp_limit(limit: int | None) -> int:
-    return max(1, min(DEFAULT_LIMIT if limit is None else limit, MAX_LIMIT))
+def page_size(limit: int | None, most: int | None = None) -> int:
+    """Rows of a page: the caller's number; a server may name the most it gives."""
+    size = max(1, DEFAULT_LIMIT if limit is None else limit)
+    return size if most is None else min(size, most)
 
 
 def topic_for(kind: Column) -> Column:
@@ -44,17 +46,6 @@ def is_valid_interval(interval: Column) -> Column:
     return interval.isin(*VALID_INTERVALS)
 
 
-def parse_intervals(raw: str) -> list[str]:
-    """Comma list to validated intervals; blanks dropped, at least one required."""
-    intervals = [part.strip() for part in raw.split(",") if part.strip()]
-    if not intervals:
-        raise ValueError("at least one kline interval is required")
-    for interval in intervals:
-        if interval not in VALID_INTERVALS:
-            raise ValueError(f"`{interval}` is not a kline interval (valid: {' '.join(VALID_INTERVALS)})")
-    return intervals
-
-
 def interval_list(raw: Column) -> Column:
     """Column form of the comma list: split, trim, drop empties."""
     return F.filter(F.transform(F.split(raw, ","), lambda part: F.trim(part)), lambda part: part != "")

@@ -26,7 +26,6 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.decimals import canonical_decimal_text, to_lake_decimal
-from tickloom.functions.market import topic_for
 from tickloom.functions.strict_json import JSON_OPTIONS, PLAIN, USUAL, has_type, is_wrong, long_value, rarely
 from tickloom.schemas import (
     AGG_TRADE, AGG_TRADE_SUFFIX, BOOK_TICKER, BOOK_TICKER_SUFFIX, BOOK_TICKERS, CONTROL, Field,
@@ -64,8 +63,17 @@ def _payload_type(renamed: bool, texts_as: str = "variant") -> str:
     return _struct_type([*own, ("kline" if renamed else "k", kline)]).replace(":variant", f":{texts_as}")
 
 
+# An empty symbol would name no directory and no live row.
+_NAMES = ("symbol", "event_symbol")
+
+
+def _filled(field: Field, patterns: dict[str, str]) -> str:
+    """The pattern of a field's text; a symbol is not empty."""
+    return '(?!"")' + patterns[field.kind] if field.name in _NAMES else patterns[field.kind]
+
+
 def _members(fields: tuple[Field, ...]) -> str:
-    return ",".join(f'"{f.wire}":{PLAIN[f.kind]}' for f in fields)
+    return ",".join(f'"{f.wire}":{_filled(f, PLAIN)}' for f in fields)
 
 
 # Payload layouts; the members after the last one are documented as ignored.
@@ -106,6 +114,8 @@ def _parse_wrapped(
         F.concat(F.lit('{"w":'), text, F.lit("}")), f"w struct<{head[0][0]}:{head[0][1]}>", JSON_OPTIONS
     )
     single = (F.size("_whole") == 1) & (~F.contains(text, F.lit("]")) | nested["w"].isNotNull())
+    # The plain layout cannot hold a key twice; any other text is asked.
+    single = single & F.try_parse_json(text).isNotNull()
     return (
         df.withColumns({"plain": plain["payload"], "_whole": whole.cast(f"array<{renamed}>")})
         .withColumn("parsed", F.when(single, F.col("_whole")[0]))
@@ -123,7 +133,8 @@ def _raw(field: Field, payload: Column) -> tuple[Column, str]:
 
 def _is_bad(field: Field, payload: Column) -> Column:
     value, sql_type = _raw(field, payload)
-    return is_wrong(value, field.kind) if sql_type == "variant" else value.isNull()
+    bad = is_wrong(value, field.kind) if sql_type == "variant" else value.isNull()
+    return bad | (value.cast("string") == "") if field.name in _NAMES else bad
 
 
 def _first_bad(fields: tuple[Field, ...], payload: Column) -> Column:
@@ -151,9 +162,9 @@ def _is_usual(fields: tuple[Field, ...], payload: Column) -> Column:
         if sql_type == "variant":
             key = f"v{len(variants)}"
             variants.append(value.alias(key))
-            pattern.append(f'"{key}":{USUAL[field.kind]}')
+            pattern.append(f'"{key}":{_filled(field, USUAL)}')
         else:
-            typed.append(value.isNotNull())
+            typed.append(value.isNotNull() & (value.cast("string") != "") if field.name in _NAMES else value.isNotNull())
     matches = F.to_json(F.struct(*variants)).rlike("^\\{" + ",".join(pattern) + "\\}$")
     return reduce(lambda left, right: left & right, typed, F.coalesce(matches, F.lit(False)))
 
@@ -260,10 +271,10 @@ def decode_frames(frames: DataFrame, text: str = "value") -> DataFrame:
     )
     wrapper_error = (
         F.when(F.col("_layout").isNotNull(), F.lit(None).cast("string"))
-        .when(stream.isNull() | ~has_data, F.lit("invalid JSON"))
-        .when(F.col("_kind").isNull(), F.concat(F.lit("unrecognized stream `"), stream, F.lit("`")))
+        .when(stream.isNull() | ~has_data, F.lit("malformed text"))
+        .when(F.col("_kind").isNull(), F.concat(F.lit("no route for stream `"), stream, F.lit("`")))
     )
-    prefix = dict.fromkeys(_FIELDS, "invalid JSON: ")
+    prefix = dict.fromkeys(_FIELDS, "malformed text: ")
     return _with_payload(parsed, kind, wrapper_error, prefix)
 
 
@@ -286,31 +297,39 @@ def decode_envelopes(records: DataFrame, strict_version: bool = False) -> DataFr
         F.array_contains(F.json_object_keys(value), "payload"), F.lit(False)
     )
     wrapper_error = F.when(F.col("_layout").isNotNull(), F.lit(None).cast("string")).when(
-        event_type.isNull() | ~has_payload | ~F.is_valid_utf8(value), F.lit("decoding envelope")
+        event_type.isNull() | ~has_payload | ~F.is_valid_utf8(value), F.lit("not an envelope")
     ).when(
-        ~event_type.isin(AGG_TRADE, BOOK_TICKER, KLINE), F.concat(F.lit("unknown event_type `"), event_type, F.lit("`"))
+        ~event_type.isin(AGG_TRADE, BOOK_TICKER, KLINE), F.concat(F.lit("no such event type: `"), event_type, F.lit("`"))
     )
     if strict_version:
         version = F.col("parsed.schema_version")
         known = F.coalesce(version.cast("string") == str(SCHEMA_VERSION), F.lit(False))
         wrapper_error = wrapper_error.when(
-            ~known, F.concat(F.lit("unknown schema_version "), F.coalesce(version.cast("string"), F.lit("null")))
+            ~known, F.concat(F.lit("other schema version: "), F.coalesce(version.cast("string"), F.lit("null")))
         )
     prefix = {
-        AGG_TRADE: "decoding aggTrade payload: ",
-        BOOK_TICKER: "decoding bookTicker payload: ",
-        KLINE: "decoding kline payload: ",
+        AGG_TRADE: "bad trade: ",
+        BOOK_TICKER: "bad ticker: ",
+        KLINE: "bad candle: ",
     }
     return _with_payload(parsed, event_type, wrapper_error, prefix)
 
 
+def event_type(kind: str) -> str:
+    """SQL type of the struct column of a kind."""
+    types = {"long": "bigint", "boolean": "boolean"}
+    return "struct<" + ",".join(f"{f.name}:{types.get(f.kind, 'string')}" for f in _FIELDS[kind]) + ">"
+
+
 def bad_rows(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("error").isNotNull())
 
 
 def with_snippet(decoded: DataFrame, text: str = "value") -> DataFrame:
-    """Leading characters of the text, for error reports only."""
-    return decoded.withColumn("snippet", F.substring(F.col(text).cast("string"), 1, SNIPPET_LENGTH))
+    """Leading bytes of the text, without a character cut in two; the text stays beside it."""
+    raw = F.col(text).cast("binary")
+    cuts = [F.try_validate_utf8(F.substring(raw, 1, SNIPPET_LENGTH - n).cast("string")) for n in range(4)]
+    return decoded.withColumn("snippet", F.coalesce(*cuts, F.make_valid_utf8(F.substring(raw, 1, SNIPPET_LENGTH).cast("string"))))
 
 
 def events_of(decoded: DataFrame, kind: str, *keep: str) -> DataFrame:
@@ -335,12 +354,7 @@ def lake_rows(decoded: DataFrame, table: LakeTable) -> DataFrame:
     return decoded.filter(F.col("kind") == table.kind).select(*columns)
 
 
-def topic_lineage(decoded: DataFrame) -> DataFrame:
-    """Kind's own topic next to the topic the record really came from."""
-    return decoded.withColumn("kind_topic", topic_for(F.col("kind")))
-
-
 __all__ = [
     "AGG_TRADE", "BOOK_TICKER", "KLINE", "TRADES", "BOOK_TICKERS", "KLINES", "bad_rows", "decode_envelopes",
-    "decode_frames", "events_of", "lake_rows", "topic_lineage", "with_snippet",
+    "decode_frames", "events_of", "lake_rows", "with_snippet",
 ]

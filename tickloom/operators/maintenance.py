@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.schemas import LakeTable
@@ -9,12 +11,17 @@ from tickloom.sources.lake import read_table, table_path
 from tickloom.streaming.sinks import write_lake
 
 
+def rewrite_name() -> str:
+    """A writer name of its own, so a rewrite never replaces a flush of a stream."""
+    return f"rewrite{uuid.uuid4().hex}"
+
+
 def compact(spark: SparkSession, root: str, new_root: str, table: LakeTable, batch_id: int = 0) -> None:
     """Rewrite a table's many small files as few large ones; the rows stay the same.
 
     Directories are packed to the advisory partition size and large ones split.
     """
-    write_lake(read_table(spark, root, table), new_root, table, batch_id)
+    write_lake(read_table(spark, root, table), new_root, table, batch_id, rewrite_name())
 
 
 def retain_since(rows: DataFrame, table: LakeTable, cutoff_ms: int) -> DataFrame:
@@ -28,7 +35,7 @@ def apply_retention(
     spark: SparkSession, root: str, new_root: str, table: LakeTable, cutoff_ms: int, batch_id: int = 0
 ) -> None:
     kept = retain_since(read_table(spark, root, table), table, cutoff_ms)
-    write_lake(kept, new_root, table, batch_id)
+    write_lake(kept, new_root, table, batch_id, rewrite_name())
 
 
 def with_event_date(rows: DataFrame, table: LakeTable) -> DataFrame:

@@ -48,7 +48,7 @@ def require_error_budget(stats: DataFrame, max_decode_errors: int = 0) -> None:
     """Raise when decode errors exceed the budget (reads the single stats row)."""
     errors = stats.first()["decode_errors"]
     if errors > max_decode_errors:
-        raise ValueError(f"{errors} decode error(s) exceed the allowed maximum of {max_decode_errors}")
+        raise ValueError(f"too many undecodable frames: {errors}, at most {max_decode_errors} may occur")
 
 
 def flush_manifest(lake_rows: DataFrame, table: LakeTable) -> DataFrame:

@@ -6,16 +6,18 @@ Sorted pages end in a total order, so a limit cuts the same rows every time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tickloom.functions.decimals import decimals_to_text, to_lake_decimal
-from tickloom.functions.market import aggressor_side, candle_direction, clamp_limit, spread
+from tickloom.functions.market import aggressor_side, candle_direction, page_size, spread
 from tickloom.operators.latest import latest_per_key, override
 from tickloom.schemas import CANDLE_COLUMNS, CANDLE_LIMIT, TRADE_SEED_LIMIT, WINDOW_INTERVAL
 
 _TIE = ("kafka_partition", "kafka_offset")
+JSON_ROWS = 100_000
 
 
 class AmbiguousSeries(ValueError):
@@ -36,24 +38,55 @@ def _scoped(table: DataFrame, symbol: str | None, interval: str | None = None) -
     return _where(table, _equals("symbol", symbol), _equals("interval", interval))
 
 
-def trades(table: DataFrame, symbol: str | None = None, limit: int | None = None) -> DataFrame:
-    newest = _scoped(table, symbol).orderBy(F.desc_nulls_last("trade_time"), *map(F.desc, _TIE))
-    return decimals_to_text(newest.limit(clamp_limit(limit)))
+Cursor = tuple[int, int, int]
+
+
+def _after(column: str, cursor: Cursor | None) -> Column | None:
+    """Rows below a cursor in the order of a page: (sort column, partition, offset), all descending.
+
+    The bare comparison of the sort column can skip files and row groups.
+    """
+    if cursor is None:
+        return None
+    keys = (column, *_TIE)
+    literal = F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cursor)])
+    typed = F.struct(*[F.col(k).cast("bigint").alias(k) for k in keys])
+    return (F.col(column) <= F.lit(cursor[0])) & (typed < literal.cast(f"struct<{column}:bigint,kafka_partition:bigint,kafka_offset:bigint>"))
+
+
+def next_cursor(page: Sequence[Row], column: str) -> Cursor | None:
+    """Where the page after this one starts: its last row in page order; None at the end.
+
+    Of a candle page only the closed rows count, the forming one is on every page.
+    """
+    rows = [r for r in page if r.asDict().get("is_closed", True)]
+    return min(((r[column], r["kafka_partition"], r["kafka_offset"]) for r in rows), default=None)
+
+
+def trades(
+    table: DataFrame, symbol: str | None = None, limit: int | None = None, *, after: Cursor | None = None, most: int | None = None
+) -> DataFrame:
+    scoped = _where(_scoped(table, symbol), _after("trade_time", after))
+    newest = scoped.orderBy(F.desc_nulls_last("trade_time"), *map(F.desc, _TIE))
+    return decimals_to_text(newest.limit(page_size(limit, most)))
 
 
 def trade_seed(table: DataFrame, symbol: str, limit: int = TRADE_SEED_LIMIT) -> DataFrame:
     return trades(table, symbol, limit)
 
 
-def book_tickers(table: DataFrame, symbol: str | None = None, limit: int | None = None) -> DataFrame:
-    newest = _scoped(table, symbol).orderBy(F.desc_nulls_last("update_id"), *map(F.desc, _TIE))
-    return decimals_to_text(newest.limit(clamp_limit(limit)))
+def book_tickers(
+    table: DataFrame, symbol: str | None = None, limit: int | None = None, *, after: Cursor | None = None, most: int | None = None
+) -> DataFrame:
+    scoped = _where(_scoped(table, symbol), _after("update_id", after))
+    newest = scoped.orderBy(F.desc_nulls_last("update_id"), *map(F.desc, _TIE))
+    return decimals_to_text(newest.limit(page_size(limit, most)))
 
 
-def _klines_page(table: DataFrame, limit: int | None) -> DataFrame:
+def _klines_page(table: DataFrame, limit: int | None, after: Cursor | None = None, most: int | None = None) -> DataFrame:
     closed = (
-        table.filter(F.col("is_closed") == F.lit(True))
-        .orderBy(F.desc_nulls_last("open_time"), *map(F.desc, _TIE)).limit(clamp_limit(limit))
+        _where(table.filter(F.col("is_closed") == F.lit(True)), _after("open_time", after))
+        .orderBy(F.desc_nulls_last("open_time"), *map(F.desc, _TIE)).limit(page_size(limit, most))
     )
     forming = (
         table.filter(F.col("is_closed") == F.lit(False))
@@ -69,6 +102,8 @@ def klines(
     limit: int | None = None,
     *,
     strict: bool = False,
+    after: Cursor | None = None,
+    most: int | None = None,
     before: int | None = None,
     time_range: tuple[int, int] | None = None,
     latest_only: bool = False,
@@ -76,8 +111,10 @@ def klines(
     """Newest closed candles, then the one newest update still forming.
 
     Without a symbol or interval several series are mixed; ``strict`` refuses that.
-    ``before`` continues a page below an open time, ``time_range`` bounds it at both
-    ends (inclusive). ``latest_only`` keeps one row per candle before the limit.
+    ``after`` continues a page below its last row (see ``next_cursor``), ``before``
+    starts one below an open time, ``time_range`` bounds it at both ends (inclusive).
+    ``latest_only`` keeps one row per candle before the limit. ``most`` is the largest
+    page a server gives; without it the caller's limit holds.
     """
     if strict and (symbol is None or interval is None):
         raise AmbiguousSeries("symbol and interval are both required")
@@ -89,7 +126,7 @@ def klines(
     )
     if latest_only:
         scoped = latest_per_key(scoped, ["symbol", "interval", "open_time"])
-    return decimals_to_text(_klines_page(scoped, limit))
+    return decimals_to_text(_klines_page(scoped, limit, after, most))
 
 
 def candle_series(rows: DataFrame) -> DataFrame:
@@ -97,9 +134,16 @@ def candle_series(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["symbol", "interval", "open_time"])
 
 
-def candles(table: DataFrame, symbol: str, interval: str = "1m", limit: int = CANDLE_LIMIT) -> DataFrame:
-    """A page of one series without repeats, oldest first."""
-    page = _klines_page(_scoped(table, symbol, interval), limit)
+def candles(
+    table: DataFrame, symbol: str, interval: str = "1m", limit: int = CANDLE_LIMIT, *,
+    after: Cursor | None = None, latest_only: bool = False,
+) -> DataFrame:
+    """A page of one series without repeats, oldest first.
+
+    The limit counts updates, as the feed does; with ``latest_only`` it counts candles.
+    """
+    scoped = _scoped(table, symbol, interval)
+    page = _klines_page(candle_series(scoped) if latest_only else scoped, limit, after)
     return decimals_to_text(candle_series(page).orderBy("open_time"))
 
 
@@ -115,14 +159,20 @@ def to_candles(live: DataFrame) -> DataFrame:
 
 
 def merge_candles(history: DataFrame, live: DataFrame) -> DataFrame:
-    """Both views of a series by open time; the live row wins."""
-    columns = ["symbol", *CANDLE_COLUMNS]
-    return override(history.select(*columns), live.select(*columns), ["symbol", "open_time"])
+    """Both views by series and open time; the live row wins. Without an interval on
+    both sides the rows must be of one interval."""
+    series = ["symbol", *(c for c in ("interval",) if c in history.columns and c in live.columns)]
+    columns = [*series, *CANDLE_COLUMNS]
+    return override(history.select(*columns), live.select(*columns), [*series, "open_time"])
 
 
-def live_chart(klines_table: DataFrame, live_window: DataFrame, symbol: str, limit: int = CANDLE_LIMIT) -> DataFrame:
+def live_chart(
+    klines_table: DataFrame, live_window: DataFrame, symbol: str, limit: int = CANDLE_LIMIT, *,
+    after: Cursor | None = None, latest_only: bool = False,
+) -> DataFrame:
     """One-second chart: a page of lake history under the live window, oldest first."""
-    page = _klines_page(_scoped(klines_table, symbol, WINDOW_INTERVAL), limit)
+    scoped = _scoped(klines_table, symbol, WINDOW_INTERVAL)
+    page = _klines_page(candle_series(scoped) if latest_only else scoped, limit, after)
     live = to_candles(live_window.filter(F.col("symbol") == F.lit(symbol)))
     merged = merge_candles(candle_series(page), live)
     return decimals_to_text(
@@ -150,9 +200,12 @@ def rows_as_json(rows: DataFrame) -> DataFrame:
     return decimals_to_text(rows).select(F.to_json(F.struct("*")).alias("json"))
 
 
-def json_array(rows: DataFrame) -> str:
-    """A returned page as one JSON array text; ``[]`` when empty. Pages are limited."""
-    return "[" + ",".join(row["json"] for row in rows_as_json(rows).collect()) + "]"
+def json_array(rows: DataFrame, most: int = JSON_ROWS) -> str:
+    """A page as one JSON array text; ``[]`` when empty. More than ``most`` rows are refused."""
+    page = rows_as_json(rows).limit(most + 1).collect()
+    if len(page) > most:
+        raise ValueError(f"a page of JSON holds at most {most} rows")
+    return "[" + ",".join(row["json"] for row in page) + "]"
 
 
 def live_sql(spark: SparkSession, statement: str) -> DataFrame:

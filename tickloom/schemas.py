@@ -29,7 +29,6 @@ VALID_INTERVALS = (
     "1s", "1m", "3m", "5m", "15m", "30m", "1h", "2h", "4h", "6h", "8h", "12h",
     "1d", "3d", "1w", "1M",
 )
-DEFAULT_INTERVALS = ("1s", "1m", "5m", "15m", "30m", "1h", "6h", "12h", "1d", "1w", "1M")
 INTERVAL_MS = {
     "1s": 1_000,
     "1m": 60_000,
@@ -62,7 +61,6 @@ WINDOW_SLACK = 120
 DEFAULT_VISIBLE = 120
 MIN_VISIBLE = 5
 
-FLUSH_ROWS = 500
 FLUSH_SECONDS = 10
 LISTING_TTL_MS = 3000
 SNIPPET_LENGTH = 256
@@ -71,7 +69,7 @@ SNIPPET_LENGTH = 256
 DECIMAL_PATTERN = r"^-?[0-9]+(\.[0-9]+)?$"
 MAX_DECIMAL = "79228162514264337593543950335"
 
-# ------------------------------------------------------------------------------
+# The field and table schemas below are fixed values too: names, order and types.
 
 LAKE_DECIMAL = T.DecimalType(38, 8)
 

@@ -10,11 +10,11 @@ def not_blank(frames: DataFrame) -> DataFrame:
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    return not_blank(spark.read.text(path))
+    return not_blank(spark.read.option("lineSep", "\n").text(path))
 
 
 def stream_frames(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream
+    reader = spark.readStream.option("lineSep", "\n")  # a carriage return is a blank inside a frame
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return not_blank(reader.text(path))

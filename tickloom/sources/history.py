@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.decimals import canonical_decimal_text
 from tickloom.functions.strict_json import JSON_OPTIONS, USUAL, is_wrong, long_value, rarely
-from tickloom.schemas import KLINE, KLINE_EVENT_FIELDS, KLINE_FIELDS
+from tickloom.operators.decode import event_type
+from tickloom.schemas import AGG_TRADE, BOOK_TICKER, KLINE, KLINE_EVENT_FIELDS, KLINE_FIELDS
 
 # Positions in a historical row; trade ids are not provided there.
 ROW_POSITIONS = {
@@ -27,11 +28,16 @@ def read_responses(spark: SparkSession, root: str) -> DataFrame:
 
 
 def response_rows(responses: DataFrame) -> DataFrame:
-    """One positional ``row`` per candle; a response that is no array of rows is skipped."""
-    wrapped = F.from_json(
-        F.concat(F.lit('{"rows":'), F.col("value"), F.lit("}")), "rows array<array<variant>>", JSON_OPTIONS
-    )
-    return responses.select("symbol", "interval", F.explode(wrapped["rows"]).alias("row"))
+    """One positional ``row`` per candle; no response goes unseen.
+
+    What is no array, in part or whole, becomes a row without values, which decodes to
+    an error: one for a bad element, one for a response that cannot be read at all. An
+    empty array has no rows.
+    """
+    whole = F.try_parse_json("value")
+    elements = F.try_variant_get(whole, "$", "array<variant>")
+    rows = F.transform(F.coalesce(elements, F.array(F.lit(None).cast("variant"))), lambda x: F.try_variant_get(x, "$", "array<variant>"))
+    return responses.select("symbol", "interval", F.explode(rows).alias("row"))
 
 
 def parse_row_text(rows: DataFrame, text: str = "row_text") -> DataFrame:
@@ -78,7 +84,8 @@ def _event(row: Column, now_ms: int, canonical: bool) -> Column:
 
 
 def decode_rows(rows: DataFrame, now_ms: int) -> DataFrame:
-    """Candle events from positional rows, in the shape of decoded live events.
+    """Candle events from positional rows, in the shape of decoded live events: they
+    go to ``encode.to_topic_rows`` as they are.
 
     ``symbol`` and ``interval`` come from the request. A candle is closed once its
     close time is before ``now_ms``, one value per run. A bad row carries an error
@@ -93,5 +100,6 @@ def decode_rows(rows: DataFrame, now_ms: int) -> DataFrame:
     )
     keep = [c for c in rows.columns if c != "row"]
     event = F.when(usual, _event(row, now_ms, True)).when(good, rarely(row, lambda r: _event(r, now_ms, False)))
-    decoded = F.struct(F.when(good, KLINE).alias("kind"), "error", event.alias(KLINE))
+    others = [F.lit(None).cast(event_type(kind)).alias(kind) for kind in (AGG_TRADE, BOOK_TICKER)]
+    decoded = F.struct(F.when(good, KLINE).alias("kind"), "error", *others, event.alias(KLINE))
     return checked.select(*keep, F.explode(F.array(decoded)).alias("_decoded")).select(*keep, "_decoded.*")

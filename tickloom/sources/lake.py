@@ -48,7 +48,7 @@ def read_table(
     grow with the rest of the lake. A table without data yet is empty.
     """
     wanted = {"symbol": symbol, "interval": interval}
-    schema = T.StructType([*table.schema.fields, T.StructField(BATCH_COLUMN, T.LongType())])
+    schema = T.StructType([*table.schema.fields, T.StructField(BATCH_COLUMN, T.StringType())])
     try:
         df = (
             spark.read.schema(schema).option("basePath", table_path(root, table))

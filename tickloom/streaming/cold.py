@@ -12,13 +12,13 @@ from tickloom.operators.decode import decode_envelopes, lake_rows
 from tickloom.operators.encode import dead_letters
 from tickloom.operators.stats import flush_manifest, object_name
 from tickloom.schemas import FLUSH_SECONDS, LAKE_TABLES
-from tickloom.streaming.sinks import write_lake, write_records
+from tickloom.streaming.sinks import query_id, write_lake, write_records
 
-DeadLetterSink = Callable[[DataFrame, int], None]
+DeadLetterSink = Callable[[DataFrame, int, str], None]
 
 
 def dead_letter_files(path: str) -> DeadLetterSink:
-    return lambda records, batch_id: write_records(records, path, batch_id)
+    return lambda records, batch_id, writer: write_records(records, path, batch_id, writer)
 
 
 def cold_batch(
@@ -27,6 +27,7 @@ def cold_batch(
     lake_root: str,
     dead_letter_sink: DeadLetterSink,
     strict_version: bool = False,
+    writer: str = "direct",
 ) -> None:
     """One flush. Dead letters are parked before the batch can be committed.
 
@@ -36,9 +37,9 @@ def cold_batch(
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
     decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dead_letter_sink(dead_letters(decoded, "cold"), batch_id)
+        dead_letter_sink(dead_letters(decoded, "cold"), batch_id, writer)
         for table in LAKE_TABLES:
-            write_lake(lake_rows(decoded, table), lake_root, table, batch_id)
+            write_lake(lake_rows(decoded, table), lake_root, table, batch_id, writer)
     finally:
         decoded.unpersist()
 
@@ -60,7 +61,8 @@ def start_cold_path(
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{flush_seconds} seconds"}
     return (
         observed.writeStream.queryName("cold_path")
-        .foreachBatch(lambda batch, batch_id: cold_batch(batch, batch_id, lake_root, dead_letter_sink, strict_version))
+        .foreachBatch(
+            lambda batch, batch_id: cold_batch(batch, batch_id, lake_root, dead_letter_sink, strict_version, query_id(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

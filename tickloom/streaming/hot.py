@@ -16,6 +16,7 @@ from tickloom.schemas import (
     WINDOW_INTERVAL, WINDOW_KEEP, WINDOW_SLACK,
 )
 from tickloom.streaming.cold import DeadLetterSink
+from tickloom.streaming.sinks import query_id
 from tickloom.streaming.snapshots import Snapshot
 
 
@@ -59,7 +60,7 @@ def window_arrivals(decoded: DataFrame) -> DataFrame:
 
 
 class LiveTables:
-    """The four live tables under one root; the root belongs to one checkpoint."""
+    """The four live tables under one root. A new checkpoint goes on from the newest state."""
 
     def __init__(self, spark: SparkSession, root: str, keep: int = WINDOW_KEEP, slack: int = WINDOW_SLACK):
         self.trade = Snapshot(spark, root, "live_trade", LIVE_TRADE)
@@ -68,18 +69,18 @@ class LiveTables:
         self.kline_second = Snapshot(spark, root, "live_kline_second", LIVE_KLINE_SECOND)
         self._keep, self._slack = keep, slack
 
-    def apply(self, decoded: DataFrame, version: int) -> None:
+    def apply(self, decoded: DataFrame, batch_id: int, writer: str = "direct") -> None:
         """Move every table one version on; one-second candles feed two of them."""
         for snapshot, updates, keys in (
             (self.trade, latest_trades(decoded), ["symbol"]),
             (self.book_ticker, latest_book_tickers(decoded), ["symbol"]),
             (self.kline, current_candles(decoded), ["symbol", "bar_interval"]),
         ):
-            snapshot.write(upsert(snapshot.read(before=version), updates, keys), version)
-        held, arrivals = self.kline_second.read(before=version), window_arrivals(decoded)
+            snapshot.write(upsert(snapshot.before(batch_id, writer), updates, keys), batch_id, writer)
+        held, arrivals = self.kline_second.before(batch_id, writer), window_arrivals(decoded)
         reduced = reduce_arrivals(held, arrivals).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self.kline_second.write(window_after(reduced, held, arrivals, self._keep, self._slack), version)
+            self.kline_second.write(window_after(reduced, held, arrivals, self._keep, self._slack), batch_id, writer)
         finally:
             reduced.unpersist()
 
@@ -97,12 +98,13 @@ def hot_batch(
     tables: LiveTables,
     dead_letter_sink: DeadLetterSink,
     strict_version: bool = False,
+    writer: str = "direct",
 ) -> None:
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
     decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dead_letter_sink(dead_letters(decoded, "hot"), batch_id)
-        tables.apply(decoded, batch_id)
+        dead_letter_sink(dead_letters(decoded, "hot"), batch_id, writer)
+        tables.apply(decoded, batch_id, writer)
     finally:
         decoded.unpersist()
 
@@ -123,7 +125,8 @@ def start_hot_path(
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{trigger_seconds} seconds"}
     return (
         observed.writeStream.queryName("hot_path")
-        .foreachBatch(lambda batch, batch_id: hot_batch(batch, batch_id, tables, dead_letter_sink, strict_version))
+        .foreachBatch(
+            lambda batch, batch_id: hot_batch(batch, batch_id, tables, dead_letter_sink, strict_version, query_id(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -8,18 +8,31 @@ from tickloom.schemas import BATCH_COLUMN, LakeTable
 from tickloom.sources.lake import table_path
 
 
-def write_lake(rows: DataFrame, root: str, table: LakeTable, batch_id: int) -> None:
+def query_id(batch: DataFrame) -> str:
+    """The streaming query a micro-batch belongs to; its id is kept in the checkpoint."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not inside a micro-batch of a streaming query")
+    return found
+
+
+def flush_name(batch_id: int, writer: str) -> str:
+    return f"{writer}-{batch_id}"
+
+
+def write_lake(rows: DataFrame, root: str, table: LakeTable, batch_id: int, writer: str = "direct") -> None:
     """Write one micro-batch of a lake table.
 
-    The batch id is the innermost directory and only directories of this batch are
-    replaced. Rebalancing packs rows of one directory together, but splits a
+    The innermost directory names the writer and its batch, and only directories of
+    that flush are replaced: a batch run again leaves one copy, while a query with a
+    new checkpoint, a backfill or a rewrite never meets another one's batch ids. Rebalancing packs rows of one directory together, but splits a
     directory that holds a large share of the batch over several tasks. Rows are
     sorted by time within a file, so its statistics can skip row groups.
     """
     time = [table.time_column] if table.time_column else []
     (
         rows.select(table.schema.names)
-        .withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+        .withColumn(BATCH_COLUMN, F.lit(flush_name(batch_id, writer)))
         .hint("rebalance", *table.path_columns)
         .sortWithinPartitions(*table.path_columns, BATCH_COLUMN, *time, "kafka_offset")
         .write.mode("overwrite")
@@ -29,10 +42,10 @@ def write_lake(rows: DataFrame, root: str, table: LakeTable, batch_id: int) -> N
     )
 
 
-def write_records(records: DataFrame, path: str, batch_id: int) -> None:
-    """Topic-shaped records as files, one directory per batch."""
+def write_records(records: DataFrame, path: str, batch_id: int, writer: str = "direct") -> None:
+    """Topic-shaped records as files, one directory per writer and batch."""
     (
-        records.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+        records.withColumn(BATCH_COLUMN, F.lit(flush_name(batch_id, writer)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_COLUMN)

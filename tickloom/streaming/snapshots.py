@@ -1,22 +1,39 @@
 """Live tables as versioned snapshots, one complete version per micro-batch.
 
 A version is derived only from the version before it and its own batch, so a
-batch run again after a failure writes the same rows again.
+batch run again after a failure writes the same rows again. Versions are numbered in
+the order of their batches and carry the writer and its batch id, so a query with a
+new checkpoint, whose batch ids start anew, goes on from the newest state.
 """
 
 from __future__ import annotations
 
+import time
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 _PREFIX = "version="
-# The newest version, the one a repeated batch builds on, and one for open readers.
+# The newest version, the one a repeated batch builds on, and one more.
 _RETAINED = 3
+# A version is kept at least so long after a newer one: readers that hold it finish.
+RETAIN_SECONDS = 3600
+
+
+class Version(NamedTuple):
+    number: int
+    writer: str
+    batch_id: int
+    name: str
+    complete: bool
+    written_ms: int
 
 
 class Snapshot:
-    def __init__(self, spark: SparkSession, root: str, name: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, root: str, name: str, schema: T.StructType, retain_seconds: int = RETAIN_SECONDS):
         self._spark = spark
         self._path = f"{root.rstrip('/')}/{name}"
+        self._retain_ms = retain_seconds * 1000
         self.schema = schema
 
     def _filesystem(self):
@@ -26,26 +43,54 @@ class Snapshot:
     def _child(self, name: str):
         return self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{name}")
 
-    def versions(self) -> list[int]:
-        """Completed versions, oldest first."""
+    def _entries(self) -> list[Version]:
+        """Versions by number, also those whose write has not ended."""
         filesystem, path = self._filesystem()
         if not filesystem.exists(path):
             return []
-        names = [status.getPath().getName() for status in filesystem.listStatus(path)]
-        return sorted(
-            int(name[len(_PREFIX):]) for name in names
-            if name.startswith(_PREFIX) and filesystem.exists(self._child(f"{name}/_SUCCESS"))
-        )
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """Newest version, or the newest one older than ``before``; empty if none."""
-        versions = [v for v in self.versions() if before is None or v < before]
-        if not versions:
+        found = []
+        for status in filesystem.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith(_PREFIX):
+                number, rest = name[len(_PREFIX):].split("-", 1)
+                writer, batch_id = rest.rsplit("-", 1)
+                complete = filesystem.exists(self._child(f"{name}/_SUCCESS"))
+                found.append(Version(int(number), writer, int(batch_id), name, complete, status.getModificationTime()))
+        return sorted(found)
+
+    def versions(self) -> list[tuple[str, int]]:
+        """Writer and batch id of completed versions, oldest first."""
+        return [(v.writer, v.batch_id) for v in self._entries() if v.complete]
+
+    def _read(self, entries: list[Version]) -> DataFrame:
+        done = [v for v in entries if v.complete]
+        if not done:
             return self._spark.createDataFrame([], self.schema)
-        return self._spark.read.schema(self.schema).parquet(f"{self._path}/{_PREFIX}{versions[-1]}")
+        return self._spark.read.schema(self.schema).parquet(f"{self._path}/{done[-1].name}")
+
+    def read(self) -> DataFrame:
+        """Newest version; empty if there is none."""
+        return self._read(self._entries())
+
+    def before(self, batch_id: int, writer: str = "direct") -> DataFrame:
+        """What this batch builds on: the newest version that precedes its own."""
+        entries = self._entries()
+        own = [v.number for v in entries if (v.writer, v.batch_id) == (writer, batch_id)]
+        return self._read([v for v in entries if not own or v.number < own[0]])
+
+    def write(self, rows: DataFrame, batch_id: int, writer: str = "direct") -> None:
+        entries = self._entries()
+        own = [v.name for v in entries if (v.writer, v.batch_id) == (writer, batch_id)]
+        number = entries[-1].number + 1 if entries else 0
+        name = own[0] if own else f"{_PREFIX}{number:012d}-{writer}-{batch_id}"
+        rows.select(self.schema.names).write.mode("overwrite").parquet(f"{self._path}/{name}")
+        self._drop_old()
 
-    def write(self, rows: DataFrame, version: int) -> None:
-        rows.select(self.schema.names).write.mode("overwrite").parquet(f"{self._path}/{_PREFIX}{version}")
+    def _drop_old(self) -> None:
+        """Remove versions that a newer one replaced long enough ago."""
+        done = [v for v in self._entries() if v.complete]
+        oldest = time.time() * 1000 - self._retain_ms
         filesystem, _ = self._filesystem()
-        for old in self.versions()[:-_RETAINED]:
-            filesystem.delete(self._child(f"{_PREFIX}{old}"), True)
+        for version, newer in zip(done[:-_RETAINED], done[1:]):
+            if newer.written_ms < oldest:
+                filesystem.delete(self._child(version.name), True)
