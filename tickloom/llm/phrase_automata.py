@@ -92,19 +92,31 @@ def all_runs(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return map_batches(docs.select(*text_key(F.col("text")), "text"), step, RUNS)
 
 
-def segments_of(texts: DataFrame, window: int) -> DataFrame:
-    """Cut the words of all candidate runs out of their texts, once per text and task."""
+def one_of_each(texts: DataFrame) -> DataFrame:
+    """Drop the rows of a text that its task has passed on already: a text of any number
+    of copies goes on once per task, so no later step meets them all."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            first = []
+            for t, u, copies in zip(*(batch.column(c).to_pylist() for c in ("t", "u", "copies"))):
+                first.append(copies == 1 or (t, u) not in seen)
+                if copies > 1:
+                    seen.add((t, u))
+            yield batch.filter(pa.array(first, type=pa.bool_()))
+
+    return map_batches(texts, step, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema))
+
+
+def segments_of(texts: DataFrame, window: int) -> DataFrame:
+    """Cut the words of all candidate runs out of their texts."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             keys = zip(batch.column("t").to_pylist(), batch.column("u").to_pylist())
             for key, text, runs in zip(keys, texts_of(batch), batch.column("runs").to_pylist()):
-                if key in seen:
-                    continue
-                if runs[0]["copies"] > 1:
-                    seen.add(key)
                 words = text.encode().split()
                 rows += [
                     (r["anchor"], r["parts"], *key, r["first"], min(r["copies"], 2), b" ".join(words[r["first"]:r["last"] + window]))
@@ -212,9 +224,10 @@ def changed_texts(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, s
     parts = F.ceil(F.col("n") / shard_segments).cast("int")
     candidates = runs.join(recurring.select("anchor", parts.alias("parts")), "anchor")
     once = candidates.groupBy("t", "u", "anchor", "first", "last", "parts").agg(F.count("*").cast("int").alias("copies"))
-    per_text = once.groupBy("t", "u").agg(F.collect_list(F.struct("anchor", "parts", "first", "last", "copies")).alias("runs"))
+    per_text = once.groupBy("t", "u").agg(
+        F.collect_list(F.struct("anchor", "parts", "first", "last", "copies")).alias("runs"), F.max("copies").alias("copies"))
     texts = docs.select(*text_key(F.col("text")), "text").join(per_text, ["t", "u"])
-    texts = written(texts, "phrase-texts")
+    texts = written(one_of_each(texts), "phrase-texts")
     segments = written(segments_of(texts, window), "phrase-segments")
     shards = max(1, -(-segments.count() // shard_segments))
 
