@@ -1,4 +1,7 @@
-"""Ids of whole texts from a tokenizers file, with a bounded table of pieces met before.
+"""Ids of whole texts from a tokenizers file, with bounded tables of pieces met before.
+
+A table has two generations: a full one becomes the old one, and what is met again
+moves from there to the new one, so frequent pieces are never computed anew.
 
 A text is cut at spaces and each distinct piece goes through the library once per
 worker. Both kinds of vocabulary file start a new word at a space that stands between
@@ -18,7 +21,7 @@ from tokenizers import Tokenizer
 
 from tickloom.llm.trie_bpe import byte_letters
 
-MAX_PIECES = 700_000
+MAX_PIECES = 900_000
 
 
 class PieceCache:
@@ -34,6 +37,8 @@ class PieceCache:
         self.max_pieces = max_pieces
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): letter for b, letter in byte_letters().items()})
 
@@ -87,13 +92,24 @@ class PieceCache:
                 out.append(("" if n else lead) + line)
         return out
 
+    @staticmethod
+    def _unknown(met: set[str], table: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+        """What no generation knows; what the old one knows moves to the new one."""
+        rest = []
+        for p in met.difference(table):
+            known = old.get(p)
+            if known is None:
+                rest.append(p)
+            else:
+                table[p] = known
+        return rest
+
     def _add(self, new: list[str]) -> None:
         """Ids of pieces not met before; each word in them goes through the library once."""
+        if len(self.words) > self.max_pieces // 2:
+            self.old_words, self.words = self.words, {}
         cut = [self._cut(piece) for piece in new]
-        words = list(dict.fromkeys(w for row in cut for w in row if w not in self.words))
-        if len(self.words) + len(words) > self.max_pieces:
-            self.words.clear()
-            words = list(dict.fromkeys(w for row in cut for w in row))
+        words = self._unknown({w for row in cut for w in row}, self.words, self.old_words)
         for at in range(0, len(words), 5000):
             some = words[at:at + 5000]
             self.words.update(zip(some, self._words(some)))
@@ -102,12 +118,13 @@ class PieceCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.pieces) > self.max_pieces // 2:
+            self.old_pieces, self.pieces = self.pieces, {}
         pieces = self.pieces
-        if len(pieces) > self.max_pieces:
-            pieces.clear()
         cut = [text.split(" ") for text in texts]
         skip = 1 if self.keeps_space else 0  # the first piece of a text has no space
-        self._add([p for p in {p for row in cut for p in row[skip:] if p not in pieces} if not self._risky(p)])
+        met = set().union(*[row[skip:] for row in cut] if skip else cut)
+        self._add([p for p in self._unknown(met, pieces, self.old_pieces) if not self._risky(p)])
         out: list[bytes | None] = []
         whole: list[str] = []
         for text, row in zip(texts, cut):
