@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
@@ -20,8 +22,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return bounded_batches(prepare_session(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Where the library lies, for Python workers whose working folder is another one.
+_HOME = str(Path(__file__).resolve().parents[2])
+
+
 def bounded_batches(spark: SparkSession) -> SparkSession:
     """Small Arrow batches, so a Python worker holds few whole texts at once."""
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _HOME not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([_HOME, *known])
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) != str(ROWS_PER_BATCH):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     return spark

@@ -12,8 +12,10 @@ might agree with another in those alone, gets one signature that says so.
 Links without all pairs of a bucket:
 
 1. Signatures are counted; documents are read again for those that recur, told by a
-   Bloom filter where that is small and by a join where it is not. A bucket's members
-   are compared with its head, the smallest document id, once per pair.
+   Bloom filter where that is small and by a join where it is not. Parts that agree are
+   at least those with shingles less k, so a set with fewer recurring signatures links
+   with nothing. A bucket's members are compared with its head, the smallest document
+   id, once per pair.
 2. By the triangle inequality of the Jaccard distance a member farther than 0.4 from
    the head links with none that is within 0.2 of it; one between 0.2 and 0.4 is
    compared with those near enough.
@@ -106,10 +108,15 @@ def bands(largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return np.array(low, dtype=np.int64), top, k, parts + parts % 2
 
 
-def signatures(sets: Sets, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Row and signature of every part that has shingles, in every band of its set."""
+def signatures(sets: Sets, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and signature of every part that has shingles, in every band of its set;
+    then per row how many of its signatures a linked set has too, at least.
+
+    Of the parts of a set that have shingles at most k differ in a linked one.
+    """
+    least = np.full(len(sets.sizes), np.iinfo(np.int64).max)
     if not len(sets.hashes):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), least
     low, high, k, parts = bands(int(sets.sizes.max()))
     own = np.searchsorted(low, sets.sizes, side="right") - 1
     rows_out, out = [], []
@@ -135,13 +142,15 @@ def signatures(sets: Sets, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         name = mix(part[starts] + (of_band[owner[starts]].astype(np.uint64) << np.uint64(40)) + np.uint64(seed << 56))
         rows_out.append(rows[owner[starts]])
         out.append(mix(sums ^ name))
-        empty = parts[of_band] - np.bincount(owner[starts], minlength=len(rows))
+        filled = np.bincount(owner[starts], minlength=len(rows))
+        least[rows] = np.minimum(least[rows], np.maximum(filled - k[of_band], 1))
+        empty = parts[of_band] - filled
         risky = np.flatnonzero(empty >= parts[of_band] - k[of_band])
         rows_out.append(rows[risky])
         out.append(mix(of_band[risky].astype(np.uint64) + _SALT + np.uint64(seed << 56)))
     if not out:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    return np.concatenate(rows_out), np.concatenate(out)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), least
+    return np.concatenate(rows_out), np.concatenate(out), least
 
 
 def packed(hashes: np.ndarray) -> bytes:
@@ -251,9 +260,11 @@ def members(docs: DataFrame, recurring: DataFrame) -> DataFrame:
     bloom = spark.sparkContext.broadcast(bloom_of(recurring, n)) if n <= BROADCAST_SIGNATURES else None
 
     def rows(ids: np.ndarray, sets: Sets) -> list[pa.Array]:
-        at, found = signatures(sets)
+        at, found, least = signatures(sets)
         if bloom is not None:
+            # A set with fewer recurring signatures than any link takes has no link.
             kept = bloom.value.test(found)
+            kept &= (np.bincount(at[kept], minlength=len(ids)) >= least)[at]
             at, found = at[kept], found[kept]
         return [pa.array(found.view(np.int64)), pa.array(ids[at])]
 
@@ -347,7 +358,7 @@ def split_buckets(rows: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
         for batch in batches:
             parts = [unpacked(x) << np.uint64(64 - 8 * KEPT_BYTES) for x in batch.column("shingles").to_pylist()]
             sets = Sets(np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64), np.array([len(x) for x in parts], dtype=np.int64))
-            at, found = signatures(sets, seed)
+            at, found, _ = signatures(sets, seed)
             above = batch.column("bucket").to_numpy().view(np.uint64)[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(mix(above ^ found).view(np.int64)), pa.array(batch.column("member").to_numpy()[at])], ["bucket", "member"])
