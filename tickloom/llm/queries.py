@@ -85,4 +85,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_trie_bpe": op9_trie_bpe,
     "op10_partenum": op10_partenum,
 }
-ORACLES: dict[str, str] = {}
+# The others have none: SQL has no such tokenizers, trees or index, or takes too long.
+ORACLES: dict[str, str] = {
+    "op6_metric_tree": """WITH rows_ AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS z FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM rows_ AS q, rows_ AS c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""",
+    "op8_phrase_automata": r"""WITH texts AS (
+  SELECT row_number() OVER () AS n, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+windows AS (
+  SELECT n, k, md5(array_to_string(w[k:k + 34], ' ')) AS window_ FROM (
+    SELECT n, w, unnest(range(1, len(w) - 33)) AS k FROM texts WHERE len(w) >= 35)),
+recurring AS (SELECT window_ FROM windows GROUP BY window_ HAVING count(*) > 1),
+gone AS (SELECT DISTINCT n, unnest(range(k, k + 35)) AS k FROM windows JOIN recurring USING (window_)),
+kept AS (
+  SELECT n, string_agg(word, ' ' ORDER BY k) AS kept, count(*) AS n_kept FROM (
+    SELECT n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM texts) ANTI JOIN gone USING (n, k) GROUP BY n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (n)""",
+    "op10_partenum": r"""WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[k:k + 4], ' ')) AS shingle FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM sets AS a JOIN sets AS b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * both_ >= 80 * (x.n + y.n - both_)),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(a, b) AS (SELECT a, b FROM either UNION SELECT r.a, e.b FROM reached AS r JOIN either AS e ON r.b = e.a),
+least_ AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN least_ ON a = doc_id""",
+}
