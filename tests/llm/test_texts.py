@@ -145,6 +145,15 @@ def test_groups_equal_brute_force(spark, monkeypatch, small):
     assert [(r.n_shingles, r.component_id) for r in found if r.doc_id is None] == [(1, None)]
 
 
+def test_groups_without_broadcasts(spark, monkeypatch):
+    """Beyond the sizes that may be broadcast, joins give the same groups."""
+    monkeypatch.setattr(shingle_join, "BROADCAST_IDS", -1)
+    monkeypatch.setattr(shingle_join, "BROADCAST_SIGNATURES", -1)
+    rows = copies(5)
+    found = shingle_join.groups(docs(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.groups([i for i, _ in rows], [t for _, t in rows])
+
+
 def test_signatures_meet_for_linked_sets():
     """Any linked sets share a signature, in every partition of the domain."""
     import numpy as np

@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import unicodedata
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 
 from tickloom.llm.trie_bpe import byte_letters
@@ -24,6 +25,14 @@ from tickloom.llm.trie_bpe import byte_letters
 MAX_PIECES = 900_000
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class PieceCache:
     def __init__(self, path: str, max_pieces: int = MAX_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task
@@ -61,12 +70,12 @@ class PieceCache:
         tokenize, letters = self.model.tokenize, self.letters
         return [
             next(rest) if p is None else
-            np.array([t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))], dtype="<u4").tobytes()
+            packed([t.id for t in tokenize(p if p.isascii() and " " not in p else p.encode().decode("latin-1").translate(letters))])
             for p in plain]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in coded]
+        return [packed(x.ids) for x in coded]
 
     def _risky(self, piece: str) -> bool:
         """Pieces beside other white space; an added token would swallow none of it."""
@@ -79,6 +88,10 @@ class PieceCache:
         a single line end between two words is one too.
         """
         lead = " " if self.keeps_space else ""
+        if "\n" not in piece:  # most pieces
+            if piece[-1:] in (".", ",") and self._plain(piece[:-1]) is not None:
+                return [lead + piece[:-1], piece[-1]]
+            return [lead + piece] if piece else []
         lines = piece.split("\n")
         if self.keeps_space and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             return [lead + piece]
