@@ -14,7 +14,7 @@ Links without all pairs of a bucket:
 1. Signatures are counted; documents are read again for those that recur, told by a
    Bloom filter where that is small and by a join where it is not. Parts that agree are
    at least those with shingles less k, so a set with fewer recurring signatures links
-   with nothing. A bucket's members are compared with its head, the smallest document
+   with nothing, and of the others the most frequent ones are left out. A bucket's members are compared with its head, the smallest document
    id, once per pair.
 2. By the triangle inequality of the Jaccard distance a member farther than 0.4 from
    the head links with none that is within 0.2 of it; one between 0.2 and 0.4 is
@@ -40,14 +40,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.llm.common import map_batches, mix, texts_of, written
 from tickloom.llm.words import joined, lower_ascii, slices, words_of
 
 SHINGLE, SHARED, OF = 5, 80, 100  # words; linked when OF * intersection >= SHARED * union
 BAND = 1.6
-SMALL_BUCKET, LEVELS = 32, 5
+SMALL_BUCKET, LEVELS = 256, 5
 # A broadcast is made below these sizes; beyond them there is a shuffle instead.
 BROADCAST_IDS, BROADCAST_SIGNATURES = 2_000_000, 12_000_000
 KEPT_BYTES = 5  # of a shingle's hash in sets that travel
@@ -266,16 +266,31 @@ def members(docs: DataFrame, recurring: DataFrame) -> DataFrame:
             kept = bloom.value.test(found)
             kept &= (np.bincount(at[kept], minlength=len(ids)) >= least)[at]
             at, found = at[kept], found[kept]
-        return [pa.array(found.view(np.int64)), pa.array(ids[at])]
+        return [pa.array(found.view(np.int64)), pa.array(ids[at]), pa.array(least[at])]
 
-    rows_ = over_sets(docs, "signature bigint, doc_id bigint", rows)
+    rows_ = over_sets(docs, "signature bigint, doc_id bigint, least bigint", rows)
     if bloom is None:
         rows_ = rows_.join(recurring, "signature", "left_semi")
-    rows_ = written(rows_, "shingle-members")
+    rows_ = written(rarest(written(rows_, "shingle-members")), "shingle-rarest")
     heads = rows_.groupBy("signature").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).filter("head < tail")
     return rows_.join(heads.drop("tail"), "signature").filter("doc_id > head").select("signature", "head", F.col("doc_id").alias("member"))
 
 
+def rarest(rows: DataFrame) -> DataFrame:
+    """Of each document's recurring signatures all but the most frequent ``least`` - 1.
+
+    Linked documents share ``least`` of either's signatures or more, so, in one order
+    for all, they share one that both keep. Signatures that many documents have by a
+    common passage go first.
+    """
+    counts = rows.groupBy("signature").agg(F.count("*").alias("n")).filter("n > 1")
+    of_doc = Window.partitionBy("doc_id")
+    ranked = rows.join(counts, "signature").select(
+        "signature", "doc_id", F.row_number().over(of_doc.orderBy("n", "signature")).alias("place"),
+        (F.count("*").over(of_doc) - F.min("least").over(of_doc) + 1).alias("kept"))
+    return ranked.filter("place <= kept").select("signature", "doc_id")
+
+
 def without_copies(docs: DataFrame, keyed: DataFrame, classes: DataFrame) -> DataFrame:
     """The documents but for those whose set a smaller id has too."""
     copies = keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n = 1").join(classes, "doc_id").filter("rep < doc_id").select("doc_id")
