@@ -29,6 +29,21 @@ def test_main_text(html, text):
     assert html_extract.main_text(html, TREE) == text
 
 
+CARD = "<article><h3><a href=1>Another story of the day</a></h3><p>A short line on it.</p></article>"
+
+
+@pytest.mark.parametrize(("around", "text"), [
+    ("{}<article class='comment-body'><p>" + LONG + "</p></article>", ""),
+    ("{}<article class='comment-body'><p>" + LONG * 9 + "</p></article>", ""),
+    ("<aside><article><p>" + LONG + "</p></article></aside>{}", ""),
+    (CARD + "{}" + CARD * 2, ""),
+    ("<div>Imprint and more</div><article><p>Brief.</p></article>", "Brief."),
+])
+def test_articles_that_are_not_the_main_text(around, text):
+    main = f"<div><h1>A title of it</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>"
+    assert html_extract.main_text(around.format(main), TREE) == (text or f"A title of it {LONG}Short. {LONG}".strip())
+
+
 def test_tree_learns_its_table():
     assert all(html_extract.decide(TREE, row[:-1]) == row[-1] for row in html_extract.LABELLED)
 

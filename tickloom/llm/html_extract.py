@@ -1,9 +1,10 @@
 """Main text of web pages: flat text blocks classified by a small decision tree.
 
 A page is cut into blocks of text at block-level tags. A block is described by its
-words and link density, those of its neighbours, and where it stands (inside an
-article or main element, outside of one that the page has, inside a navigation, form,
-sidebar and the like). A decision tree, grown from the labelled table below, tells
+words and link density, those of its neighbours, and where it stands (inside the
+page's article, outside of one that the page has, inside a navigation, form, sidebar
+and the like). Article and main elements are the page's article if they hold most of
+its words, or if no text is found outside. A decision tree, grown from the labelled table below, tells
 text from boilerplate; the kept blocks are joined in page order.
 
 Rows: a null page, an empty page and one without text give an empty text; rows are
@@ -170,6 +171,8 @@ LABELLED = (
     (6, 0, 25, 0, 6, 0, 1, 1, 0, 1, 0), (3, 0, 40, 0, 2, 0, 1, 1, 0, 0, 0), (70, 0, 40, 0, 60, 0, 1, 0, 0, 0, 0),
     (120, 0, 3, 0, 90, 0, 1, 0, 1, 0, 0), (2, 0, 2, 0, 2, 0, 1, 0, 0, 0, 0), (16, 0, 1, 0, 20, 0, 1, 0, 0, 1, 0),
     (200, 0.02, 60, 0, 200, 0, 1, 1, 0, 0, 0), (33, 0, 12, 0, 400, 0, 1, 0, 1, 0, 0),
+    # Comments and teasers on pages whose text stands in no article.
+    (45, 0, 80, 0, 30, 0, 1, 0, 0, 0, 0), (150, 0, 90, 0, 3, 0, 1, 0, 0, 0, 0), (20, 0.1, 40, 0, 60, 0, 1, 0, 0, 1, 0),
     # Beside an article.
     (3, 0, 0, 0, 1, 1, 0, 0, 1, 0, 0), (8, 0, 1, 1, 9, 0, 0, 0, 1, 0, 0), (30, 0, 1, 1, 60, 0, 0, 0, 1, 0, 0),
     (60, 0, 70, 0, 0, 0, 0, 0, 1, 0, 0), (6, 1, 6, 1, 6, 1, 0, 0, 1, 0, 0), (12, 0, 90, 0, 0, 0, 0, 0, 1, 1, 0),
@@ -224,19 +227,38 @@ def decide(tree: Tree, features: tuple) -> int:
     return tree
 
 
-def features_of(blocks: list[Block]) -> list[tuple]:
+def features_of(blocks: list[Block], article: bool) -> list[tuple]:
+    """article: whether what stands inside article or main elements is the page's article."""
     size = [(b.words, b.linked / b.words) for b in blocks]
     ends = [(0, 0.0), *size, (0, 0.0)]
-    article = any(b.inside for b in blocks)
     return [
-        (*ends[k + 1], *ends[k], *ends[k + 2], b.barred, b.inside, article and not b.inside, b.heading)
+        (*ends[k + 1], *ends[k], *ends[k + 2], b.barred, article and b.inside, article and not b.inside, b.heading)
         for k, b in enumerate(blocks)
     ]
 
 
+def kept_blocks(blocks: list[Block], tree: Tree) -> list[Block]:
+    """The blocks that are text.
+
+    Blocks inside that are not barred are the page's article if they hold most of the
+    unlinked words that are not barred. With fewer they may be cards or comments: then
+    they are the article only if no text is found outside.
+    """
+    def kept(article: bool) -> list[Block]:
+        return [b for b, f in zip(blocks, features_of(blocks, article)) if decide(tree, f)]
+
+    free = [b for b in blocks if not b.barred]
+    if not any(b.inside for b in free):
+        return kept(False)
+    if 2 * sum(b.words - b.linked for b in free if b.inside) <= sum(b.words - b.linked for b in free):
+        plain = kept(False)
+        if not all(b.inside for b in plain):
+            return plain
+    return kept(True)
+
+
 def main_text(html: str, tree: Tree) -> str:
-    blocks = blocks_of(html)
-    return " ".join(b.text for b, f in zip(blocks, features_of(blocks)) if decide(tree, f))
+    return " ".join(b.text for b in kept_blocks(blocks_of(html), tree))
 
 
 def extract(pages: DataFrame) -> DataFrame:
