@@ -44,6 +44,31 @@ def test_articles_that_are_not_the_main_text(around, text):
     assert html_extract.main_text(around.format(main), TREE) == (text or f"A title of it {LONG}Short. {LONG}".strip())
 
 
+@pytest.mark.parametrize("page", [
+    "<main class='content with-sidebar'>{}</main>", "<div class='layout has-sidebar'>{}</div>", "<article class='post category-social'>{}</article>",
+    "<article class='post category-legal'>{}</article>", "<div class='search-result'>{}</div>", "<article class='social'>{}</article>",
+    "<div class='sidebar'><main>{}</main></div>", "<div id='widget'><article>{}</article></div><div>Imprint</div>",
+    "<article><h2>On it</h2><div class='social'>{}</div></article>", "<main class='comments'>{}</main>", "<div class='page-with-comments'>{}</div>",
+    "<article class='promoted'>{}</article>", "<div class='layout sidebar'>{}<div class='comment-list'><p>" + LONG * 9 + "</p></div></div>",
+    "<div class='has-header'>{}</div>",
+])
+def test_names_do_not_bar_the_main_text(page):
+    text = html_extract.main_text("<nav><a href=1>Home</a></nav>" + page.format(f"<p>{LONG * 2}</p>"), TREE)
+    assert text.removeprefix("On it ") == (LONG * 2).strip()
+
+
+@pytest.mark.parametrize("name", [
+    "share-bar", "comment-body", "comments-area", "cookieNotice", "related-posts", "site-footer", "x nav", "newsletter_signup", "sidebar"])
+def test_names_bar_the_rest(name):
+    text = html_extract.main_text(f"<div><p>{LONG * 2}</p></div><div class='{name}'><p>{LONG}</p></div>", TREE)
+    assert text == (LONG * 2).strip()
+
+
+@pytest.mark.parametrize("name", ["ad", "promo", "newsletter", "comments"])
+def test_names_bar_longer_texts_beside_an_article(name):
+    assert html_extract.main_text(f"<div class='{name}'><p>{LONG * 3}</p></div><article><h1>A title</h1><p>Brief.</p></article>", TREE) == "A title Brief."
+
+
 def test_tree_learns_its_table():
     assert all(html_extract.decide(TREE, row[:-1]) == row[-1] for row in html_extract.LABELLED)
 

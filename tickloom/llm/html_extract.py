@@ -54,6 +54,16 @@ HINTS = frozenset(
     "pagination paywall popup promo promoted promotion recommended related reply replies respond responses search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe subscription tags teaser toolbar widget".split())
 HEADER_HINTS = frozenset({"header", "masthead", "topbar"})
+# Those of other texts, which may be longer than the article, and of what an article element can be instead.
+OTHERS = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adsense comment comments commentlist consent cookie cookies disqus gdpr "
+    "recommended related reply replies respond responses".split())
+CARDS = OTHERS | frozenset("promo promoted promotion sponsor sponsored teaser".split())
+# With hints these make a name as a whole a hint (share-bar, comment-body); any other word (with-sidebar, category-legal) makes it none.
+PARTS = frozenset(
+    "a and area bar block body bottom box button buttons card cards column container content form global group holder icons inner item items left "
+    "line link links list main meta module news outer overlay page panel post posts primary right row secondary section site slot stories story "
+    "text top unit us wrap wrapper".split())
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>""")
 LOOSE_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -61,21 +71,72 @@ NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 @lru_cache(maxsize=4096)
-def attributes(raw: str) -> tuple[bool, bool, bool]:
-    """Whether attributes bar an element anywhere, bar it as a header, make it a link."""
+def attributes(raw: str) -> tuple[bool, frozenset[str], bool]:
+    """Whether attributes bar an element, the hints in its names, whether it can be a link."""
     found = {}
     for m in ATTRIBUTE.finditer(raw):
         found.setdefault(m[1].lower(), next((v for v in m.groups()[1:] if v is not None), ""))
-    words = {w.lower() for w in NAME_WORDS.findall(found.get("class", "") + " " + found.get("id", ""))}
+    hints: set[str] = set()
+    for name in (found.get("class", "") + " " + found.get("id", "")).split():
+        words = {w.lower() for w in NAME_WORDS.findall(name)}
+        own = words & (HINTS | HEADER_HINTS)
+        if own and words - own <= PARTS | {w for w in words if w.isdigit()}:
+            hints |= own
     style = found.get("style", "").replace(" ", "").lower()
-    barred = bool(words & HINTS) or found.get("role", "").lower() in ROLES or "hidden" in found or "display:none" in style
-    return barred, bool(words & HEADER_HINTS), "href" in found
+    barred = found.get("role", "").lower() in ROLES or "hidden" in found or "display:none" in style
+    return barred, frozenset(hints), "href" in found
+
+
+class Named(NamedTuple):
+    """An element that its name may bar."""
+    above: int  # the next one that it stands in, or -1
+    inside: bool
+    other: bool  # named as a text of its own beside the article
+
+
+def barring(named: list[Named], mains: set[int], blocks: list[tuple[Block, int]]) -> list[bool]:
+    """Whether each named element bars what stands in it.
+
+    A name bars neither what holds a main element nor what holds most of the page's
+    unlinked words and twice those that stand free, unless it stands beside an article
+    with words; names of other texts (comments, consent) and what stands in them bar if
+    anything else has words.
+    """
+    within: list[bool] = []  # in one with the name of another text
+    for e in named:
+        within.append(e.other or (e.above >= 0 and within[e.above]))
+    held, main = [0] * len(named), [k in mains for k in range(len(named))]
+    free = usual = others = article = 0
+    for b, k in blocks:
+        words = 0 if b.barred else b.words - b.linked
+        if k < 0:
+            free += 0 if b.heading else words
+            article += words if b.inside else 0
+        else:
+            held[k] += words
+        if k >= 0 and within[k]:
+            others += words
+        else:
+            usual += words
+    for k in range(len(named) - 1, -1, -1):
+        above = named[k].above
+        # The words of other texts do not speak for what they stand in.
+        if above >= 0:
+            main[above] |= main[k]
+            held[above] += held[k] if within[k] == within[above] else 0
+    out: list[bool] = []
+    for k, e in enumerate(named):
+        most = 2 * held[k] > others and not usual if within[k] else 2 * held[k] > usual and held[k] > 2 * free and (e.inside or not article)
+        out.append(not (main[k] or most) or (e.above >= 0 and out[e.above]))
+    return out
 
 
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in page order."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, barred, inside, link, each with what stands above
+    out: list[tuple[Block, int]] = []
+    named: list[Named] = []
+    mains: set[int] = set()
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # name, barred, inside, link, last in named, each with what stands above
     parts: list[str] = []
     linked: list[str] = []
     heading = False
@@ -85,8 +146,8 @@ def blocks_of(html: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                _, barred, inside, _ = stack[-1] if stack else ("", False, False, False)
-                out.append(Block(text, text.count(" ") + 1, len(unescape("".join(linked)).split()), barred, inside, heading))
+                _, barred, inside, _, last = stack[-1] if stack else ("", False, False, False, -1)
+                out.append((Block(text, text.count(" ") + 1, len(unescape("".join(linked)).split()), barred, inside, heading), last))
             parts.clear()
             linked.clear()
         heading = False
@@ -140,15 +201,23 @@ def blocks_of(html: str) -> list[Block]:
             k = max(k for k, x in enumerate(stack) if x[0] == name)
             if all(x[0] in INLINE for x in stack[k + 1:]):
                 del stack[k:]
-        _, barred, inside, link = stack[-1] if stack else ("", False, False, False)
-        by_name, as_header, href = attributes(m[2]) if m[2] else (False, False, False)
+        _, barred, inside, link, last = stack[-1] if stack else ("", False, False, False, -1)
+        by_attribute, hints, href = attributes(m[2]) if m[2] else (False, frozenset(), False)
         if name not in ("html", "body"):
             # A header or a header-like name inside an article holds its title.
-            barred = barred or name in BARRED or by_name or (not inside and (name == "header" or as_header))
+            barred = barred or name in BARRED or by_attribute or (not inside and name == "header")
+            if hints and name != "main":
+                hints &= CARDS if name == "article" else HINTS if inside else HINTS | HEADER_HINTS
+                if hints:
+                    named.append(Named(last, inside, bool(hints & OTHERS)))
+                    last = len(named) - 1
+            if name == "main" and not barred and last >= 0:
+                mains.add(last)
         heading = heading or name in HEADINGS
-        stack.append((name, barred, inside or name in MAIN, link or (name == "a" and href)))
+        stack.append((name, barred, inside or name in MAIN, link or (name == "a" and href), last))
     flush()
-    return out
+    bars = barring(named, mains, out)
+    return [b._replace(barred=True) if k >= 0 and bars[k] else b for b, k in out]
 
 
 # --- The classifier -----------------------------------------------------------
