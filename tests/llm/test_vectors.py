@@ -58,6 +58,32 @@ def test_large_components_stay_exact(spark):
     assert products(spark, rows) == brute_products(rows)
 
 
+def test_largest_components_take_part(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD_ROWS", 40)
+    r = np.random.default_rng(4)
+    rows = [(k, [float(c) for c in r.normal(size=8).astype(np.float32)]) for k in range(150)]
+    # All as queries and candidates: products of about 2 ** 58 and 2 ** 61, and one that is 0 with a component beyond a long.
+    rows += [(200, [70000.0] * 8), (201, [70000.0] * 7 + [65536.0]), (300, [3e5, -3e5] * 3 + [3e5, 0.0]), (301, [3e5] * 8), (401, [0.0] * 7 + [-3e38]), (403, [1.0] * 7 + [0.0])]
+    rows[100] = (100, [2.0] * 7 + [0.0])
+    rows[0] = (0, [1.0] * 7 + [0.0])
+    whole = {i: [int(np.floor(np.float64(np.float32(c)) * 1024)) for c in v] for i, v in rows}
+    expected = set()
+    for q in (i for i in whole if i % 100 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        expected |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:10])}
+    assert products(spark, rows) == expected
+
+
+def test_only_scores_beyond_a_long_are_errors(spark):
+    high = [(100, [3e38, 1.0]), (101, [3e38, 1.0]), (102, [1.0, 1.0])]
+    with pytest.raises(Exception, match="does not fit a long"):
+        products(spark, high)
+    with pytest.raises(Exception, match="does not fit a long"):
+        products(spark, [(100, [3e38, 1.0]), (101, [-3e38, 1.0])])
+    beside = [(100, [3e10, 1.0]), (101, [-3e10, 1.0]), *[(k, [0.0, 1.0]) for k in range(1, 11)]]
+    assert products(spark, beside) == {(100, k, k, 1024 * 1024) for k in range(1, 11)}
+
+
 def test_neighbours_are_found(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD_ROWS", 400)
     rows = random_rows(1500, seed=3)

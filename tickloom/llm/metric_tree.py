@@ -12,11 +12,13 @@ not rule out has its own product computed, which gives a page the bound
 <q, c> + |q| r. The search ends when no bound reaches the k-th score.
 
 Vectors become floor(1024 x) in double precision. While products stay below 2 ** 53
-they are exact in floating point; else a leaf's are made in 64-bit integers.
+they are exact in floating point; else a leaf's are made in 64-bit integers, and those that
+may not fit them in Python's. A score among the k best that does not fit a long (its
+least value included) is an error, as in SQL.
 
-Rows: see ``vectors.usable``; rows with a component of 2 ** 26 or more after scaling
-take no part either, as their products might not fit a long. Zero vectors do. A query
-never finds its own row; ties go to the smaller vec_id. An empty table gives no rows.
+Rows: see ``vectors.usable``; zero vectors take part. Components of 2 ** 400 or more,
+which no float has, are an error. A query never finds its own row; ties go to the
+smaller vec_id. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ PAGES_DDL = "shard int, page int, leaf boolean, ids array<bigint>, vectors array
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 # Bounds are raised by this share of the largest product: rounding never rules out a tie.
 SLACK = 1e-9
+LEAST, MOST = -(2**63), 2**63 - 1
 
 
 def spread_rows(x: np.ndarray, parts: int) -> np.ndarray:
@@ -93,9 +96,18 @@ class Tree:
 
     def products(self, q: np.ndarray, x: np.ndarray, leaf: bool) -> np.ndarray:
         self.computed += len(x)
-        if leaf and float(np.sqrt(q @ q)) * self.reach >= 2**52:
+        norm = float(np.sqrt(q @ q))
+        if not leaf or norm * self.reach < 2**52:
+            return x @ q
+        large = max(norm, 1.0) * np.maximum(np.sqrt((x**2).sum(axis=1)), 1.0) >= 2**62
+        if not large.any():
             return x.astype(np.int64) @ q.astype(np.int64)
-        return x @ q
+        out, whole = np.empty(len(x), dtype=object), [int(c) for c in q.tolist()]
+        if not large.all():
+            out[~large] = (x[~large].astype(np.int64) @ q.astype(np.int64)).tolist()
+        for n in np.flatnonzero(large).tolist():
+            out[n] = sum(int(a) * b for a, b in zip(x[n].tolist(), whole))
+        return out
 
     def search(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(score, vec_id) of the k best rows."""
@@ -124,7 +136,7 @@ class Tree:
                         elif (s, -vec_id) > best[0]:
                             heapq.heapreplace(best, (s, -vec_id))
                 if len(best) == k:
-                    worst = best[0][0]
+                    worst = float(best[0][0])
             else:
                 bounds = scores + norm * radius[open_] + slack
                 for bound, child, s in zip(bounds.tolist(), ids[open_].tolist(), scores.tolist()):
@@ -136,9 +148,10 @@ class Tree:
 def search(rows: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k highest products."""
     bounded_batches(rows.sparkSession)
-    scaled = F.transform("vector", lambda x: F.floor(x * SCALE).cast("double"))
-    small = F.forall("vector", lambda x: F.abs(x * SCALE) < float(2**26))
-    base = written(V.usable(rows, forbid_zero=False).filter(small).select("vec_id", scaled.alias("vector")), "metric-rows")
+    # Doubles of 2 ** 53 or more are whole; F.floor gives a long.
+    scaled = F.transform("vector", lambda x: F.when(F.abs(x) >= float(2**400), F.raise_error(F.lit("a component of 2 ** 400 or more")).cast("double"))
+                         .when(F.abs(x * SCALE) >= float(2**53), x * SCALE).otherwise(F.floor(x * SCALE).cast("double")))
+    base = written(V.usable(rows, forbid_zero=False).select("vec_id", scaled.alias("vector")), "metric-rows")
     total = base.count()
     shards = V.groups_of(total, V.SHARD_ROWS)
 
@@ -158,11 +171,15 @@ def search(rows: DataFrame, k: int = 10) -> DataFrame:
         tree, out = Tree(pages, q.shape[1]), []
         for query_id, one in zip(V.numbers(asked, "query_id").tolist(), q):
             found = tree.search(query_id, one, k)
-            out.append(pa.table([[query_id] * len(found), [v for _, v in found], [s for s, _ in found]], schema=FOUND))
+            if any(s > MOST for s, _ in found):
+                raise OverflowError(f"a score of query {query_id} does not fit a long")
+            # One too small may give way to other shards' rows.
+            out.append(pa.table([[query_id] * len(found), [v for _, v in found], [max(s, LEAST) for s, _ in found]], schema=FOUND))
         return V.stacked(out, FOUND)
 
     held = V.for_each(pages, "block", blocks)
     asked = V.for_each(queries.withColumn("block", V.deal("query_id", blocks)), "shard", shards)
     found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
         of_block, "query_id bigint, vec_id bigint, score bigint")
-    return V.merged(found, k, ascending=False)
+    fits = F.when(F.col("score") > LEAST, F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit a long")).cast("bigint"))
+    return V.merged(found, k, ascending=False).withColumn("score", fits)
