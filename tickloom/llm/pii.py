@@ -85,9 +85,9 @@ def spans_of(text: Column, pattern: str) -> Column:
 # --- Generators of proposals ------------------------------------------------------
 
 GENERATORS = {
-    "masked_email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]{2,64}+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{2,64}+ ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z]{2,12}+",
-    "secret": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\x20]?[:=][\x20]?[^\s,;]{4,200}+",
-    "key": r"(?<![A-Za-z0-9_])(?=[A-Za-z_]{0,64}[0-9]|[A-Z]{12})[A-Za-z0-9_]{16,256}+(?![A-Za-z0-9_@])",
+    "masked_email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]{2,}+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{2,}+ ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z]{2,}+",
+    "secret": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\x20]?[:=][\x20]?[^\s,;]{4,}+",
+    "key": r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9]|[A-Z]{12})[A-Za-z0-9_]{16,}+(?![A-Za-z0-9_@])",
     "ssn": r"(?<![0-9-])[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9(+])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
     "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Z0-9])",
