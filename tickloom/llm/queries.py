@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import html_extract, metric_tree, multi_index, packing, phrase_automata, pii, rule_ensemble, shingle_join, token_frames, trie_bpe
+from tickloom.llm import (
+    html_extract, metric_tree, mixing, multi_index, packing, phrase_automata, pii, rule_ensemble, shingle_join, spelling, token_frames,
+    trie_bpe, word_runs,
+)
 from tickloom.llm.common import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -73,6 +76,18 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.groups(read(spark, sf_dir, "documents"))
 
 
+def op11_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.takes(read(spark, sf_dir, "documents"))
+
+
+def op12_edit_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.collapse(read(spark, sf_dir, "documents"), planted=True, digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_block_tree": op1_block_tree,
     "op2_multi_index": op2_multi_index,
@@ -84,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_phrase_automata": op8_phrase_automata,
     "op9_trie_bpe": op9_trie_bpe,
     "op10_partenum": op10_partenum,
+    "op11_block_mixing": op11_block_mixing,
+    "op12_edit_composition": op12_edit_composition,
+    "op13_diagonal_runs": op13_diagonal_runs,
 }
 # The others have none: SQL has no such tokenizers, trees or index, or takes too long.
 ORACLES: dict[str, str] = {
