@@ -16,14 +16,16 @@ import time
 from checks import registry, views
 from tickloom.operators import decode, stats
 from tickloom.plans import queries as reads
+from tickloom.plans.lake_pages import LakePages
 from tickloom.schemas import BOOK_TICKERS, KLINES, LAKE_TABLES, TRADES
 from tickloom.session import build_session, new_work_dir
 from tickloom.sources.lake import LakeReader
+from tickloom.sources.topics import stream_topic_files
 from tickloom.streaming import cold, hot, sinks
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-PAGE_RUNS, TABLE_RUNS = 5, 1
+PAGE_RUNS, TABLE_RUNS, SMALL_BATCHES = 5, 1, 10
 
 
 def timed(action, runs: int) -> float:
@@ -65,6 +67,14 @@ def main() -> None:
     queries["candles"] = timed(
         lambda: reads.candles(reader.table(KLINES, symbol, interval), symbol, interval).collect(), PAGE_RUNS)
 
+    # The same pages over a lake of many flushes: the newest days or flushes alone.
+    pages = LakePages(spark, registry.flushed_lake(spark, SF_DIR))
+    queries["klines_newest_days"] = timed(lambda: pages.klines(symbol, interval, 200).collect(), PAGE_RUNS)
+    queries["trades_newest_days"] = timed(lambda: pages.trades(symbol).collect(), PAGE_RUNS)
+    queries["tickers_newest_flushes"] = timed(lambda: pages.book_tickers(symbol).collect(), PAGE_RUNS)
+    queries["klines_window"] = timed(
+        lambda: pages.klines(symbol, interval, 200, time_range=registry.RANGE_MS).collect(), PAGE_RUNS)
+
     # Whole tables.
     for name in ("candle_series", "visible_slice", "rows_as_json", "newest_candle", "merge_all_series", "rest_rows_to_klines"):
         queries[name] = timed(lambda: sinks.discard(registry.QUERIES[name](spark, SF_DIR)), TABLE_RUNS)
@@ -81,15 +91,34 @@ def main() -> None:
         cold.cold_batch(
             registry.read_topic_files(spark, records), 0, f"{target}/lake", cold.dead_letter_files(f"{target}/dlq"))
 
-    def hot_batch() -> None:
+    def hot_paths(topic: str, files: int | None = None) -> list:
+        """Both hot paths over a topic, at the same time; batches of so many files."""
         target = new_work_dir(spark, "bench-hot")
-        hot.hot_batch(
-            registry.read_topic_files(spark, records), 0, hot.LiveTables(spark, f"{target}/live"),
-            cold.dead_letter_files(f"{target}/dlq"))
+        tables, stream = hot.LiveTables(spark, f"{target}/live"), stream_topic_files(spark, topic, files)
+        paths = [
+            hot.start_hot_path(
+                stream, tables, f"{target}/checkpoint", cold.dead_letter_files(f"{target}/dlq"), available_now=True),
+            hot.start_window_path(stream, tables, f"{target}/window-checkpoint", available_now=True)]
+        for path in paths:
+            path.awaitTermination()
+        return paths
+
+    def small_hot_batch() -> float:
+        """Median seconds of a batch of 500 records, of the slower path, both running."""
+        topic = new_work_dir(spark, "bench-small-topic")
+        rows = registry.read_topic_files(spark, records)
+        for part in range(SMALL_BATCHES):
+            rows.orderBy("offset").offset(part * 500).limit(500).coalesce(1).write.mode("append").parquet(topic)
+        medians = []
+        for path in hot_paths(topic, 1):
+            seconds = [p.durationMs["triggerExecution"] / 1000 for p in path.recentProgress if p.numInputRows]
+            medians.append(statistics.median(seconds[2:]))
+        return round(max(medians), 4)
 
     queries["lake_write"] = timed(write_lake, TABLE_RUNS)
     queries["cold_batch"] = timed(cold_batch, TABLE_RUNS)
-    queries["hot_batch"] = timed(hot_batch, TABLE_RUNS)
+    queries["hot_batch"] = timed(lambda: hot_paths(records), TABLE_RUNS)
+    queries["hot_batch_500"] = small_hot_batch()
 
     page = reader.table(KLINES, symbol, interval)
     print(json.dumps({

@@ -6,7 +6,7 @@ Decode oracles parse the view's JSON text with DuckDB's own JSON functions.
 from __future__ import annotations
 
 from checks import views
-from checks.registry import CUTOFF_MS, INTERVAL, RANGE_MS, SYMBOL, WINDOW_KEEP, WINDOW_SLACK
+from checks.registry import BATCHES, CUTOFF_MS, INSIDE_DAY_MS, INTERVAL, RANGE_MS, SHUFFLE, SYMBOL, WINDOW_KEEP, WINDOW_SLACK
 from tickloom.schemas import (
     BOOK_TICKERS_LAKE, DECIMAL_PATTERN, Field, INTERVAL_MS, KLINE_EVENT_FIELDS, KLINE_FIELDS, KLINES_LAKE,
     TICKER_FIELDS, TRADE_FIELDS, TRADES_LAKE, VALID_INTERVALS,
@@ -313,9 +313,9 @@ series AS ({_newest("page", "open_time", _BY_OFFSET)}) SELECT {KLINES_TEXT} FROM
     "newest_candle": f"""WITH {views.SQL_KLINES} SELECT symbol, "interval", max(open_time) AS newest_open_time
   FROM v_klines GROUP BY symbol, "interval\"""",
     "visible_slice": f"WITH {SERIES}, {_VISIBLE} SELECT {KLINES_TEXT} FROM visible",
-    "visible_slice_page": f"""WITH {views.SQL_KLINES}, scoped AS (SELECT * FROM v_klines WHERE {_ONE}), {_page("scoped", 1000)},
-series AS ({_newest("page", "open_time", _BY_OFFSET)}),
-ranked AS (SELECT *, row_number() OVER (ORDER BY open_time) AS rank, count(*) OVER () AS total FROM series)
+    "visible_slice_page": f"""WITH {SERIES},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol, "interval" ORDER BY open_time) AS rank,
+  count(*) OVER (PARTITION BY symbol, "interval") AS total FROM series)
 SELECT {KLINES_TEXT} FROM ranked WHERE rank BETWEEN greatest(0, least(25, greatest(0, total - 40))) + 1
   AND greatest(0, least(25, greatest(0, total - 40))) + 40""",
     "price_range": f"""WITH {SERIES}, {_VISIBLE}, bounds AS (
@@ -407,3 +407,54 @@ WHERE CAST(to_timestamp(trade_time / 1000) AT TIME ZONE 'UTC' AS DATE) BETWEEN D
 
 # A second query with a new checkpoint ends in the same state as one that went on.
 ORACLES["live_new_checkpoint"] = ORACLES["live_trade"]
+# Pages that read only the newest directories have the rows of those over a whole series.
+ORACLES["trades_newest_days"] = ORACLES["trades_latest"]
+ORACLES["klines_newest_days"] = ORACLES["klines_page"]
+ORACLES["candles_newest_days"] = ORACLES["candles"]
+ORACLES["klines_window"] = ORACLES["klines_range"]
+ORACLES["tickers_newest_flushes"] = f"""WITH {views.SQL_TICKERS} SELECT {TICKERS_TEXT} FROM v_tickers WHERE symbol = '{SYMBOL}'
+ORDER BY update_id DESC, {_TIE} LIMIT 100"""
+ORACLES["trades_window_all"] = f"""WITH {views.SQL_TRADES} SELECT {TRADES_TEXT} FROM v_trades
+WHERE trade_time BETWEEN {RANGE_MS[0]} AND {RANGE_MS[1]}"""
+ORACLES["compaction_in_place"] = ORACLES["cold_stream_klines"]
+ORACLES["retention_drops_days"] = f"WITH {views.SQL_TRADES} SELECT {TRADES_TEXT} FROM v_trades WHERE trade_time >= {INSIDE_DAY_MS}"
+
+# The state after several batches, or a new checkpoint, is that of one long batch.
+for _name_of in ("live_changes_window", "live_window_batches", "live_window_new_checkpoint"):
+    ORACLES[_name_of] = ORACLES["live_window"]
+
+
+def _changes(live_table: str, rows: str, keys: str) -> str:
+    """Per batch the keys seen first and the keys whose row is another than before."""
+    return f"""SELECT '{live_table}' AS live_table, batch, CASE WHEN before IS NULL THEN 'insert' ELSE 'update' END AS change,
+  count(*) AS "rows" FROM (
+    SELECT batch, state, lag(state) OVER (PARTITION BY {keys} ORDER BY batch) AS before FROM (
+      SELECT {keys}, batch, {rows} AS state FROM batched WHERE live_table = '{live_table}'
+      QUALIFY row_number() OVER (PARTITION BY {keys}, batch ORDER BY {_ARRIVAL}) = 1))
+  WHERE before IS NULL OR state <> before GROUP BY ALL"""
+
+
+_BATCHED = GOOD + f""",
+batched AS (SELECT * REPLACE (CASE WHEN kind = 'kline' THEN "interval" ELSE '' END AS "interval"),
+  CASE kind WHEN 'agg_trade' THEN 'live_trade' WHEN 'book_ticker' THEN 'live_book_ticker' ELSE 'live_kline' END AS live_table,
+  CAST(floor(kafka_offset * {BATCHES} / (SELECT max(kafka_offset) + 1 FROM v_topic)) AS BIGINT) AS batch FROM good)"""
+ORACLES["live_changes"] = f"WITH {_BATCHED} " + " UNION ALL ".join((
+    _changes("live_trade", "[CAST(event_id AS VARCHAR)]", "symbol"), _changes("live_book_ticker", "[CAST(event_id AS VARCHAR)]", "symbol"),
+    _changes("live_kline", "[CAST(event_id AS VARCHAR)]", 'symbol, "interval"')))
+
+# One arrival at a time.
+ORACLES["live_window_out_of_order"] = f"""WITH RECURSIVE {GOOD},
+seconds AS (SELECT *, kafka_offset * {SHUFFLE[0]} % {SHUFFLE[1]} AS arrival FROM good WHERE kind = 'kline' AND "interval" = '1s'),
+steps AS (SELECT symbol, open_time, row_number() OVER (PARTITION BY symbol ORDER BY kafka_partition, arrival) AS step FROM seconds),
+replay AS (
+  SELECT DISTINCT symbol, CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS times FROM steps
+  UNION ALL
+  SELECT symbol, s.step, CASE WHEN list_contains(times, open_time) THEN times
+    WHEN len(times) >= {WINDOW_KEEP + WINDOW_SLACK} THEN list_sort(list_append(times, open_time), 'DESC')[1:{WINDOW_KEEP}]
+    ELSE list_append(times, open_time) END
+  FROM replay JOIN steps AS s USING (symbol) WHERE s.step = replay.step + 1),
+held AS (SELECT symbol, unnest(times) AS open_time FROM (
+  SELECT * FROM replay QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY step DESC) = 1)),
+newest AS (SELECT * FROM seconds
+  QUALIFY row_number() OVER (PARTITION BY symbol, open_time ORDER BY kafka_partition DESC, arrival DESC) = 1)
+SELECT symbol || ':' || open_time AS id, symbol, {_LAKE_KLINE} FROM newest SEMI JOIN held USING (symbol, open_time)"""

@@ -11,6 +11,7 @@ from tickloom.functions.decimals import decimals_to_text
 from tickloom.functions.market import candle_direction, interval_list
 from tickloom.operators import decode, encode, latest, maintenance, quality, stats, window
 from tickloom.plans import queries as reads
+from tickloom.plans.lake_pages import LakePages
 from tickloom.schemas import (
     AGG_TRADE, BOOK_TICKER, BOOK_TICKERS, CANDLE_COLUMNS, KLINE, KLINES, LAKE_TABLES, TRADES, VALID_INTERVALS,
 )
@@ -27,6 +28,9 @@ SYMBOL, INTERVAL = "CLICK", "1h"
 WINDOW_KEEP, WINDOW_SLACK = 60, 12
 RANGE_MS = (1_704_672_000_000, 1_705_276_799_999)  # 2024-01-08 to 2024-01-14
 CUTOFF_MS = 1_705_276_800_000  # 2024-01-15
+# A factor and a prime that put offsets in another order.
+SHUFFLE = (48_271, 2_147_483_647)
+INSIDE_DAY_MS = CUTOFF_MS + 13 * 3_600_000  # in the afternoon of that day
 SOURCE_OF = {TRADES.topic: views.trades, BOOK_TICKERS.topic: views.book_tickers, KLINES.topic: views.klines}
 
 # Written tables shared by the queries of one application.
@@ -51,9 +55,13 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "lake", build)
 
 
+# Files of the written inputs: a feed lands many, the given table of events is one.
+INPUT_FILES = 8
+
+
 def topic_path(spark: SparkSession, sf_dir: str) -> str:
     def build(root: str) -> str:
-        views.topic_records(spark, sf_dir).write.parquet(root)
+        views.topic_records(spark, sf_dir).repartition(INPUT_FILES).write.parquet(root)
         return root
 
     return _once(spark, sf_dir, "topic", build)
@@ -63,7 +71,7 @@ def frame_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw frames with the event they came from, as a written table."""
 
     def build(root: str) -> str:
-        views.frames(spark, sf_dir).write.parquet(root)
+        views.frames(spark, sf_dir).repartition(INPUT_FILES).write.parquet(root)
         return root
 
     return spark.read.parquet(_once(spark, sf_dir, "frame-table", build))
@@ -100,11 +108,39 @@ def live_tables(spark: SparkSession, sf_dir: str) -> hot.LiveTables:
             stream_topic_files(spark, topic_path(spark, sf_dir)), tables, f"{root}/checkpoint",
             cold.dead_letter_files(f"{root}/dead-letters"), available_now=True,
         ).awaitTermination()
+        hot.start_window_path(
+            stream_topic_files(spark, topic_path(spark, sf_dir)), tables, f"{root}/window-checkpoint", available_now=True,
+        ).awaitTermination()
         return tables
 
     return _once(spark, sf_dir, "hot", build)
 
 
+BATCHES = 3
+
+
+def live_tables_in_batches(spark: SparkSession, sf_dir: str) -> hot.LiveTables:
+    """Live tables with their change feed, after both paths took the topic in three batches by offset."""
+
+    def build(root: str) -> hot.LiveTables:
+        tables = hot.LiveTables(spark, f"{root}/live", WINDOW_KEEP, WINDOW_SLACK, feed=f"{root}/feed")
+        records = read_topic_files(spark, topic_path(spark, sf_dir))
+        most = records.agg(F.max("offset")).first()[0]
+        part = F.floor(F.col("offset") * BATCHES / (most + 1))
+        for batch_id in range(BATCHES):
+            records.filter(part == batch_id).write.mode("append").parquet(f"{root}/topic")
+            stream = stream_topic_files(spark, f"{root}/topic")
+            paths = [
+                hot.start_hot_path(
+                    stream, tables, f"{root}/checkpoint", cold.dead_letter_files(f"{root}/dead-letters"), available_now=True),
+                hot.start_window_path(stream, tables, f"{root}/window-checkpoint", available_now=True)]
+            for path in paths:
+                path.awaitTermination()
+        return tables
+
+    return _once(spark, sf_dir, "hot-batches", build)
+
+
 def decoded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.decode_frames(not_blank(frame_table(spark, sf_dir)))
 
@@ -337,9 +373,8 @@ def visible_slice(spark, sf_dir):
 
 
 def visible_slice_page(spark, sf_dir):
-    """A slice from a given position of one page of candles."""
-    page = reads.candle_series(reads.klines(views.klines(spark, sf_dir), SYMBOL, INTERVAL, 1000))
-    return window.visible_slice(page, count=40, start=25)
+    """A slice from a given position of every whole series."""
+    return decimals_to_text(window.visible_slice(reads.candle_series(views.klines(spark, sf_dir)), count=40, start=25))
 
 
 def price_range(spark, sf_dir):
@@ -406,6 +441,46 @@ def live_subscription(spark, sf_dir):
     return state.select("symbol", "price", "quantity", "trade_time", "agg_trade_id", "is_buyer_maker")
 
 
+def live_changes(spark, sf_dir):
+    """Rows inserted and updated per batch in the tables of latest rows, from their change feed."""
+    tables = live_tables_in_batches(spark, sf_dir)
+    counted = [
+        tables.read_feed(s).groupBy("batch", "change").agg(F.count("*").alias("rows")).withColumn("live_table", F.lit(s.name))
+        for s in (tables.trade, tables.book_ticker, tables.kline)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def live_changes_window(spark, sf_dir):
+    """The rolling window put together from its change feed alone: the last change of each candle, if not its end."""
+    tables = live_tables_in_batches(spark, sf_dir)
+    feed = tables.read_feed(tables.kline_second)
+    columns = [c for c in feed.columns if c not in ("symbol", "open_time", "batch_id", "batch")]
+    last = feed.groupBy("symbol", "open_time").agg(F.max_by(F.struct(*columns), "batch").alias("_last"))
+    return last.filter("_last.change <> 'delete'").select("symbol", "open_time", "_last.*").select(tables.kline_second.schema.names)
+
+
+def live_window_batches(spark, sf_dir):
+    """The rolling window after several batches."""
+    return live_tables_in_batches(spark, sf_dir).kline_second.read()
+
+
+def live_window_out_of_order(spark, sf_dir):
+    """The rolling window after candles arrived far from their order, late and again, in several batches."""
+
+    def build(root: str) -> hot.LiveTables:
+        tables = hot.LiveTables(spark, f"{root}/live", WINDOW_KEEP, WINDOW_SLACK)
+        shuffled = (F.col("offset") * SHUFFLE[0]) % SHUFFLE[1]
+        records = read_topic_files(spark, topic_path(spark, sf_dir)).withColumn("offset", shuffled)
+        part = F.floor(F.col("offset") * BATCHES / SHUFFLE[1])
+        for batch_id in range(BATCHES):
+            records.filter(part == batch_id).write.mode("append").parquet(f"{root}/topic")
+            hot.start_window_path(
+                stream_topic_files(spark, f"{root}/topic"), tables, f"{root}/checkpoint", available_now=True).awaitTermination()
+        return tables
+
+    return _once(spark, sf_dir, "window-out-of-order", build).kline_second.read()
+
+
 def window_batch(spark, sf_dir):
     """The rolling window over the whole candle log in one step."""
     arrivals = decimals_to_text(views.klines(spark, sf_dir).filter(F.col("interval") == "1s")).drop("interval")
@@ -578,8 +653,8 @@ def lake_two_checkpoints(spark, sf_dir):
     return decimals_to_text(read_table(spark, _once(spark, sf_dir, "two-checkpoints", build) + "/lake", TRADES))
 
 
-def live_new_checkpoint(spark, sf_dir):
-    """Latest trades after a second query with a checkpoint of its own."""
+def _live_after_two_checkpoints(spark, sf_dir) -> hot.LiveTables:
+    """Live tables after a second query with a checkpoint of its own."""
 
     def build(root: str) -> hot.LiveTables:
         tables = hot.LiveTables(spark, f"{root}/live", WINDOW_KEEP, WINDOW_SLACK)
@@ -590,24 +665,117 @@ def live_new_checkpoint(spark, sf_dir):
             hot.start_hot_path(
                 stream_topic_files(spark, f"{root}/topic{part}"), tables, f"{root}/checkpoint{part}",
                 cold.dead_letter_files(f"{root}/dead-letters"), available_now=True).awaitTermination()
+            hot.start_window_path(
+                stream_topic_files(spark, f"{root}/topic{part}"), tables, f"{root}/window-checkpoint{part}",
+                available_now=True).awaitTermination()
         return tables
 
-    return reads.live_trades(_once(spark, sf_dir, "live-new-checkpoint", build).trade.read())
+    return _once(spark, sf_dir, "live-new-checkpoint", build)
+
+
+def live_new_checkpoint(spark, sf_dir):
+    return reads.live_trades(_live_after_two_checkpoints(spark, sf_dir).trade.read())
+
+
+def live_window_new_checkpoint(spark, sf_dir):
+    return _live_after_two_checkpoints(spark, sf_dir).kline_second.read()
+
+
+PAGE_ROWS = 200
 
 
 def pages_cover_all_rows(spark, sf_dir):
     """Candle pages of one series, each after the last row of the one before, put together."""
-    table = read_table(spark, lake_root(spark, sf_dir), KLINES, SYMBOL, "1d")
-    limit = max(1, table.count() // 12)
-    found, after = None, None
+    pages, found, after = LakePages(spark, flushed_lake(spark, sf_dir)), None, None
+    keys = ("open_time", "kafka_partition", "kafka_offset")
     while True:
-        page = reads.klines(table, SYMBOL, "1d", limit, after=after).filter("is_closed")
-        after = reads.next_cursor(page.select("open_time", "kafka_partition", "kafka_offset").collect(), "open_time")
-        if after is None:
-            return found
+        page = pages.klines(SYMBOL, "1d", PAGE_ROWS, after=after).filter("is_closed")
+        last = page.agg(F.min(F.struct(*keys)).alias("last")).first()["last"]
+        if last is None:
+            return page if found is None else found
+        after = tuple(last)
         found = page if found is None else found.unionByName(page)
 
 
+# --- A lake of many flushes ----------------------------------------------------
+
+FLUSHES = 12
+
+
+def flushed_lake(spark, sf_dir):
+    """A lake of the three views in twelve flushes by offset, as a cold path leaves it."""
+
+    def build(root: str) -> str:
+        for table in LAKE_TABLES:
+            rows = SOURCE_OF[table.topic](spark, sf_dir)
+            first, last = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+            part = F.floor((F.col("kafka_offset") - first) * FLUSHES / (last - first + 1))
+            for batch_id in range(FLUSHES):
+                sinks.write_lake(rows.filter(part == batch_id), root, table, batch_id)
+        return root
+
+    return _once(spark, sf_dir, "flushed", build)
+
+
+def trades_newest_days(spark, sf_dir):
+    return LakePages(spark, flushed_lake(spark, sf_dir)).trades(SYMBOL, 50)
+
+
+def tickers_newest_flushes(spark, sf_dir):
+    return LakePages(spark, flushed_lake(spark, sf_dir)).book_tickers(SYMBOL, 100)
+
+
+def klines_newest_days(spark, sf_dir):
+    return LakePages(spark, flushed_lake(spark, sf_dir)).klines(SYMBOL, INTERVAL)
+
+
+def klines_window(spark, sf_dir):
+    """A named window of time of one series; other days are neither listed nor read."""
+    return LakePages(spark, flushed_lake(spark, sf_dir)).klines(SYMBOL, INTERVAL, 1000, time_range=RANGE_MS)
+
+
+def candles_newest_days(spark, sf_dir):
+    return LakePages(spark, flushed_lake(spark, sf_dir)).candles(SYMBOL, INTERVAL)
+
+
+def trades_window_all(spark, sf_dir):
+    """A window of time over all symbols."""
+    return decimals_to_text(read_table(spark, flushed_lake(spark, sf_dir), TRADES, time_range=RANGE_MS))
+
+
+def compaction_in_place(spark, sf_dir):
+    """The cold path over half of the topic, compaction of its lake, then the other half from its checkpoint."""
+
+    def build(root: str) -> str:
+        records = read_topic_files(spark, topic_path(spark, sf_dir))
+        for part in range(4):
+            records.filter(F.col("offset") % 4 == part).write.parquet(f"{root}/landed{part}")
+        for part in range(4):
+            spark.read.parquet(f"{root}/landed{part}").write.mode("append").parquet(f"{root}/topic")
+            cold.start_cold_path(
+                stream_topic_files(spark, f"{root}/topic"), f"{root}/lake", f"{root}/checkpoint",
+                cold.dead_letter_files(f"{root}/dead-letters"), available_now=True).awaitTermination()
+            if part == 2:
+                for table in LAKE_TABLES:
+                    maintenance.compact_in_place(spark, f"{root}/lake", table)
+        return f"{root}/lake"
+
+    return decimals_to_text(read_table(spark, _once(spark, sf_dir, "in-place", build), KLINES))
+
+
+def retention_drops_days(spark, sf_dir):
+    """Rows before a moment inside a day leave a lake of many flushes in place."""
+
+    def build(root: str) -> str:
+        for batch_id in range(3):
+            rows = views.trades(spark, sf_dir)
+            sinks.write_lake(rows.filter(F.col("kafka_offset") % 3 == batch_id), root, TRADES, batch_id)
+        maintenance.drop_before(spark, root, TRADES, INSIDE_DAY_MS)
+        return root
+
+    return decimals_to_text(read_table(spark, _once(spark, sf_dir, "retention-in-place", build), TRADES))
+
+
 QUERIES: dict[str, Query] = {
     "frame_decode_stats": frame_decode_stats,
     "frame_stats_line": frame_stats_line,
@@ -685,4 +853,17 @@ QUERIES: dict[str, Query] = {
     "compaction_preserves_rows": compaction_preserves_rows,
     "retention_cut": retention_cut,
     "date_partition_scan": date_partition_scan,
+    "trades_newest_days": trades_newest_days,
+    "tickers_newest_flushes": tickers_newest_flushes,
+    "klines_newest_days": klines_newest_days,
+    "klines_window": klines_window,
+    "candles_newest_days": candles_newest_days,
+    "trades_window_all": trades_window_all,
+    "compaction_in_place": compaction_in_place,
+    "retention_drops_days": retention_drops_days,
+    "live_changes": live_changes,
+    "live_changes_window": live_changes_window,
+    "live_window_batches": live_window_batches,
+    "live_window_out_of_order": live_window_out_of_order,
+    "live_window_new_checkpoint": live_window_new_checkpoint,
 }

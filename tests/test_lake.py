@@ -1,4 +1,6 @@
+import glob
 import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -6,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import maintenance
 from tickloom.plans import queries as reads
+from tickloom.plans.lake_pages import LakePages
 from tickloom.schemas import BOOK_TICKERS, KLINES, TRADES
-from tickloom.sources import lake
+from tickloom.sources import lake, layout
 from tickloom.streaming.sinks import write_lake
 
 
@@ -170,21 +173,190 @@ def test_compaction_retention_and_days(spark, tmp_path):
     root = str(tmp_path / "lake")
     day = 86_400_000
     for batch in range(6):
-        write_lake(klines(spark, [("A", "1m", batch * day, True, batch)]), root, KLINES, batch)
+        write_lake(klines(spark, [("A", "1m", batch // 2 * day + batch, True, batch)]), root, KLINES, batch)
     compacted = str(tmp_path / "compacted")
     maintenance.compact(spark, root, compacted, KLINES)
     rows = lambda r: sorted(map(tuple, lake.read_table(spark, r, KLINES).collect()))
     assert rows(root) == rows(compacted)
-    assert len(files_of(compacted)) == 1 < len(files_of(root))
+    assert len(files_of(compacted)) == 3 < len(files_of(root))  # a file per day
     kept = str(tmp_path / "kept")
-    maintenance.apply_retention(spark, root, kept, KLINES, 3 * day)
-    assert [r[7] for r in rows(kept)] == [3 * day, 4 * day, 5 * day]
+    maintenance.apply_retention(spark, root, kept, KLINES, day + 3)
+    assert [r[7] for r in rows(kept)] == [day + 3, 2 * day + 4, 2 * day + 5]
     by_date = str(tmp_path / "dates")
     maintenance.write_by_date(lake.read_table(spark, root, KLINES), by_date, KLINES)
-    days = maintenance.read_by_date(spark, by_date, KLINES, "1970-01-02", "1970-01-03")
-    assert sorted(r["open_time"] for r in days.collect()) == [day, 2 * day]
+    days = maintenance.read_by_date(spark, by_date, KLINES, "1970-01-02", "1970-01-02")
+    assert sorted(r["open_time"] for r in days.collect()) == [day + 2, day + 3]
     assert "event_date" in plan_of(days).split("PartitionFilters")[1]
     with pytest.raises(ValueError):
         maintenance.with_event_date(lake.empty_table(spark, BOOK_TICKERS), BOOK_TICKERS)
     assert maintenance.retain_since(lake.empty_table(spark, BOOK_TICKERS), BOOK_TICKERS, 5).count() == 0
     assert TRADES.time_column == "trade_time"
+
+
+# --- Days and id ranges ---------------------------------------------------------
+
+DAY = 86_400_000
+
+
+def tickers(spark, rows):
+    """Rows from (symbol, update_id, offset)."""
+    df = spark.createDataFrame(rows, "symbol string, update_id bigint, kafka_offset bigint")
+    price = F.lit("1.25").cast("decimal(38,8)")
+    return df.select(
+        *[price.alias(c) for c in ("best_bid_price", "best_bid_qty", "best_ask_price", "best_ask_qty")], "update_id",
+        F.lit(0).alias("kafka_partition"), "kafka_offset", "symbol")
+
+
+def test_a_window_reads_its_days_alone(spark, tmp_path):
+    root, read = str(tmp_path), []
+    for flush in range(20):
+        rows = [("A", "1m", flush * DAY + t, True, 10 * flush + t) for t in (0, 5)] + [("B", "1m", 3 * DAY, True, flush)]
+        write_lake(klines(spark, rows), root, KLINES, flush)
+        if flush in (9, 19):
+            found = lake.read_table(spark, root, KLINES, "A", "1m", time_range=(3 * DAY + 1, 5 * DAY))
+            assert sorted(r["open_time"] for r in found.collect()) == [3 * DAY + 5, 4 * DAY, 4 * DAY + 5, 5 * DAY]
+            read.append(len(found.inputFiles()))
+    assert read == [3, 3]
+    everywhere = lake.read_table(spark, root, KLINES, time_range=(3 * DAY, 3 * DAY))
+    assert everywhere.count() == 21 and "event_date" in plan_of(everywhere).split("PartitionFilters")[1]
+    assert lake.read_table(spark, root, KLINES, "A", "1m", time_range=(99 * DAY, 99 * DAY)).count() == 0
+    with pytest.raises(ValueError):
+        lake.read_table(spark, root, BOOK_TICKERS, "A", time_range=(0, 1))
+
+
+def test_times_beyond_the_calendar(spark, tmp_path):
+    times = [-(2**63), -(10**15), -1, 0, DAY - 1, DAY, 10**15, 2**63 - 60]
+    write_lake(klines(spark, [("A", "1m", t, True, k) for k, t in enumerate(times)]), str(tmp_path), KLINES, 0)
+    pages = LakePages(spark, str(tmp_path))
+    assert [r["open_time"] for r in pages.klines("A", "1m", 3).collect()] == times[:-4:-1]
+    assert [r["open_time"] for r in pages.klines("A", "1m", 9, before=0).collect()] == times[2::-1]
+    for first, last in ((times[0], -1), (0, DAY - 1), (DAY, times[-1])):
+        found = lake.read_table(spark, str(tmp_path), KLINES, "A", "1m", time_range=(first, last)).collect()
+        assert sorted(r["open_time"] for r in found) == [t for t in times if first <= t <= last]
+
+
+def test_newest_pages_read_few_files(spark, tmp_path):
+    root = str(tmp_path)
+    for flush in range(20):
+        rows = [("A", "1m", flush * DAY + t, t != 3, 10 * flush + t) for t in range(4)]
+        write_lake(klines(spark, rows), root, KLINES, flush)
+        write_lake(tickers(spark, [("A", 100 * flush + t, flush) for t in range(-3, 4)]), root, BOOK_TICKERS, flush)
+    pages, table = LakePages(spark, root), lake.read_table(spark, root, KLINES, "A", "1m")
+    page = pages.klines("A", "1m", 3)
+    assert page.collect() == reads.klines(table, "A", "1m", 3).collect()
+    assert len(page.inputFiles()) == 1 and len(table.inputFiles()) == 20
+    assert len(pages.klines("A", "1m", 10).inputFiles()) <= 5
+    quotes = lake.read_table(spark, root, BOOK_TICKERS, "A")
+    for limit, files in ((5, 1), (7, 1), (8, 2), (30, 5)):
+        page = pages.book_tickers("A", limit)
+        assert page.collect() == reads.book_tickers(quotes, "A", limit).collect()
+        assert len(page.inputFiles()) == files
+    assert len(pages.candles("A", "1m", 6).inputFiles()) <= 3
+
+
+def test_newest_pages_equal_whole_reads(spark, tmp_path):
+    """Late rows, repeats, flushes that overlap, days without closed or forming rows, every cursor."""
+    rng, root, offset = random.Random(1), str(tmp_path), 0
+    for flush in range(6):
+        rows, quotes = [], []
+        for _ in range(rng.randint(1, 12)):
+            offset += 1
+            t = rng.randint(0, 5) * DAY + rng.randint(0, 3)
+            rows.append(("A", "1s", t, t // DAY != 4 and rng.random() < 0.6, offset))
+            quotes.append(("A", rng.randint(0, 20 + 5 * flush), offset))
+        write_lake(klines(spark, rows), root, KLINES, flush)
+        write_lake(tickers(spark, quotes), root, BOOK_TICKERS, flush)
+    pages = LakePages(spark, root)
+    table, quotes = lake.read_table(spark, root, KLINES), lake.read_table(spark, root, BOOK_TICKERS)
+    for how in ({}, {"latest_only": True}, {"before": 3 * DAY}, {"time_range": (DAY, 3 * DAY)}):
+        after = None
+        for _ in range(4):
+            page = pages.klines("A", "1s", 4, after=after, **how).collect()
+            assert page == reads.klines(table, "A", "1s", 4, after=after, **how).collect()
+            after = reads.next_cursor(page, "open_time")
+    after = None
+    while True:
+        page = pages.book_tickers("A", 5, after=after).collect()
+        assert page == reads.book_tickers(quotes, "A", 5, after=after).collect()
+        after = reads.next_cursor(page, "update_id")
+        if after is None:
+            break
+    assert pages.candles("A", "1s", 6).collect() == reads.candles(table, "A", "1s", 6).collect()
+    assert pages.klines("A", "1s", 1000).collect() == reads.klines(table, "A", "1s", 1000).collect()
+    assert pages.klines("A").collect() == reads.klines(table, "A").collect()
+    assert pages.klines("none", "1s").count() == pages.book_tickers("none").count() == pages.trades("none").count() == 0
+
+
+def test_newest_spans():
+    spans = [layout.Span(90, 99, 10), layout.Span(50, 95, 5), layout.Span(10, 40, 10), layout.Span(-5, 9, 3)]
+    assert layout.newest_spans(spans, 1) == spans[:2]
+    assert layout.newest_spans(spans, 15) == spans[:2] and layout.newest_spans(spans, 16) == spans[:3]
+    assert layout.newest_spans(spans, 1, at_most=45) == spans[2:3]
+    assert layout.newest_spans(spans, 1, at_most=40) == spans[2:] and layout.newest_spans([], 5) == []
+    assert all(layout.parse_span(s.name) == s for s in spans)
+
+
+# --- Upkeep in place -------------------------------------------------------------
+
+def many_flushes(spark, root):
+    for flush in range(5):
+        rows = [("A", "1m", d * DAY + flush, True, 10 * flush + d) for d in range(3)] + [("B/x, y", "1m", flush, True, 100 + flush)]
+        write_lake(klines(spark, rows), root, KLINES, flush, "stream")
+        write_lake(tickers(spark, [("A", 10 * flush + t, flush) for t in range(3)]), root, BOOK_TICKERS, flush, "stream")
+
+
+def table_rows(spark, root, table):
+    return sorted(map(tuple, lake.read_table(spark, root, table).collect()))
+
+
+def test_compaction_in_place(spark, tmp_path):
+    root = str(tmp_path)
+    many_flushes(spark, root)
+    before = {t.topic: table_rows(spark, root, t) for t in (KLINES, BOOK_TICKERS)}
+    newest = {f for f in glob.glob(f"{root}/**/*.parquet", recursive=True) if "batch_id=stream-4" in f or "event_date=1970-01-03" in f}
+    assert maintenance.compact_in_place(spark, root, KLINES, settled_ms=2 * DAY) == 12
+    assert maintenance.compact_in_place(spark, root, BOOK_TICKERS) == 4
+    assert {t.topic: table_rows(spark, root, t) for t in (KLINES, BOOK_TICKERS)} == before
+    after = set(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    assert newest <= after and len(after) == len(newest) + 4
+    assert len(LakePages(spark, root).book_tickers("A", 3).inputFiles()) == 1
+    # The stream goes on beside it, and writes its newest batch again.
+    many_flushes_again = [("A", "1m", d * DAY + 4, True, 40 + d) for d in range(3)] + [("B/x, y", "1m", 4, True, 104)]
+    write_lake(klines(spark, many_flushes_again), root, KLINES, 4, "stream")
+    assert table_rows(spark, root, KLINES) == before[KLINES.topic]
+    assert maintenance.compact_in_place(spark, root, KLINES, settled_ms=2 * DAY) == 0
+
+
+@pytest.mark.parametrize("fails", ["_finish", "_drop", "write_lake"])
+def test_compaction_that_was_cut_off(spark, tmp_path, fails):
+    root = str(tmp_path)
+    many_flushes(spark, root)
+    before = table_rows(spark, root, KLINES)
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(maintenance, fails, lost)
+        with pytest.raises(OSError):
+            maintenance.compact_in_place(spark, root, KLINES)
+    maintenance.finish_compactions(spark, root, KLINES)
+    assert table_rows(spark, root, KLINES) == before
+    files = len(glob.glob(f"{root}/market.klines/**/*.parquet", recursive=True))
+    assert files == (20 if fails == "write_lake" else 8)
+    maintenance.compact_in_place(spark, root, KLINES)
+    assert table_rows(spark, root, KLINES) == before
+
+
+def test_retention_in_place(spark, tmp_path):
+    root = str(tmp_path)
+    many_flushes(spark, root)
+    everything = lake.read_table(spark, root, KLINES).collect()
+    untouched = set(glob.glob(f"{root}/**/event_date=1970-01-03/**/*.parquet", recursive=True))
+    for cutoff in (DAY + 2, DAY + 2, 2 * DAY, 9 * DAY):
+        maintenance.drop_before(spark, root, KLINES, cutoff)
+        assert table_rows(spark, root, KLINES) == sorted(tuple(r) for r in everything if r["open_time"] >= cutoff)
+        if cutoff <= 2 * DAY:
+            assert untouched <= set(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    maintenance.drop_before(spark, root, BOOK_TICKERS, 5)
+    assert lake.read_table(spark, root, BOOK_TICKERS).count() == 15

@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,12 +9,14 @@ from tests.samples import TICKER, TRADE, candle_payload, envelope, frame, record
 from tests.test_window import Reference
 from tickloom.operators import maintenance
 from tickloom.operators.decode import decode_envelopes
+from tickloom.operators.latest import apply_changes, changes_between
 from tickloom.plans import queries as reads
 from tickloom.schemas import BOOK_TICKERS, KLINES, TRADES
 from tickloom.sources.frames import stream_frames
 from tickloom.sources.lake import read_table
 from tickloom.sources.topics import stream_topic_files
 from tickloom.streaming import cold, hot, ingest, sinks
+from tickloom.streaming.live_window import CHANGES, arrive
 from tickloom.streaming.snapshots import Snapshot
 
 TRADES_TOPIC, TICKERS_TOPIC, KLINES_TOPIC = TRADES.topic, BOOK_TICKERS.topic, KLINES.topic
@@ -111,6 +115,7 @@ def test_hot_path_over_several_batches(spark, tmp_path):
         drain(hot.start_hot_path(
             stream_topic_files(spark, topic), tables, checkpoint, cold.dead_letter_files(parked), available_now=True,
         ))
+        drain(hot.start_window_path(stream_topic_files(spark, topic), tables, checkpoint + "-window", available_now=True))
         got = sorted((r["symbol"], r["open_time"], r["close"]) for r in tables.kline_second.read().collect())
         assert got == expected.table()
 
@@ -131,12 +136,17 @@ def test_applying_a_version_twice_changes_nothing(spark, tmp_path):
     tables = hot.LiveTables(spark, str(tmp_path), keep=3, slack=1)
     first = decode_envelopes(records(spark, [candle("A", "1s", t, t) for t in range(5)] + [trade("A", "1", 9)]))
     second = decode_envelopes(records(spark, [candle("A", "1s", t, t) for t in range(5, 8)]))
+    change = lambda t, what: (f"A:{t}", "A", *["1"] * 6, 1, t, t + 1, True, what)
+    changes = [spark.createDataFrame(rows, CHANGES) for rows in (
+        [change(t, "insert") for t in (1, 2, 3)], [change(4, "insert"), change(3, "update"), change(1, "delete")])]
     state = lambda: [sorted(map(tuple, s.read().collect())) for s in (tables.trade, tables.kline, tables.kline_second)]
-    tables.apply(first, 0)
-    tables.apply(second, 1)
+    for batch_id, decoded in enumerate((first, second)):
+        tables.apply(decoded, batch_id)
+        tables.apply_window(changes[batch_id], batch_id)
     once = state()
     tables.apply(second, 1)
-    assert state() == once and once[0][0][1] == "1"
+    tables.apply_window(changes[1], 1)
+    assert state() == once and once[0][0][1] == "1" and [r[9] for r in once[2]] == [2, 3, 4]
 
 
 def test_snapshots_keep_a_few_complete_versions(spark, tmp_path):
@@ -146,6 +156,7 @@ def test_snapshots_keep_a_few_complete_versions(spark, tmp_path):
     assert snapshot.versions() == [] and snapshot.read().count() == 0
     for version in range(6):
         snapshot.write(spark.createDataFrame([("A", str(version), "1", 1, 1, True)], LIVE_TRADE), version)
+    snapshot.drop_old()
     assert snapshot.versions() == [("direct", n) for n in (3, 4, 5)]
     assert snapshot.read().first()["price"] == "5" and snapshot.before(5).first()["price"] == "4"
     (tmp_path / "t" / "version=000000000009-direct-9").mkdir()
@@ -176,6 +187,7 @@ def test_a_new_checkpoint_goes_on(spark, tmp_path):
                 stream_topic_files(spark, topic), lake, str(tmp_path / f"cold{run}"), cold.dead_letter_files(parked), available_now=True))
             drain(hot.start_hot_path(
                 stream_topic_files(spark, topic), tables, str(tmp_path / f"hot{run}"), cold.dead_letter_files(str(tmp_path / "dlq2")), available_now=True))
+            drain(hot.start_window_path(stream_topic_files(spark, topic), tables, str(tmp_path / f"window{run}"), available_now=True))
     assert sorted(r["kafka_offset"] for r in read_table(spark, lake, TRADES).collect()) == [1, 2]
     assert sorted(bytes(r["value"]) for r in spark.read.parquet(parked).collect()) == [b"junk1", b"junk2"]
     assert tables.trade.read().first()["price"] == "2.5"
@@ -227,3 +239,76 @@ def test_recorder_starts_over(spark, tmp_path):
         sinks.record_frames(spark.createDataFrame([(text,)], "value string"), path)
     assert [r["value"] for r in spark.read.text(path).collect()] == ["two"]
     sinks.discard(spark.range(3).withColumn("x", F.col("id") + 1))
+
+
+def test_window_state_one_arrival_at_a_time():
+    rng = random.Random(6)
+    for _ in range(200):
+        keep, slack = rng.randint(1, 6), rng.randint(0, 3)
+        reference, held = Reference(keep, slack), []
+        for _ in range(5):
+            times = [rng.randint(0, 20) for _ in range(rng.randint(0, 12))]
+            held = arrive(held, times, keep, slack)
+            for t in times:
+                reference.arrive("A", t, "x")
+            assert held == [t for _, t, _ in reference.table()]
+
+
+def test_change_feed_rebuilds_the_window(spark, tmp_path):
+    """Late and returning candles over several batches, one of which fails after its table was written."""
+    topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
+    tables = hot.LiveTables(spark, str(tmp_path / "live"), keep=4, slack=2, feed=str(tmp_path / "feed"))
+    expected, offset, rng = Reference(4, 2), 0, random.Random(7)
+
+    def run():
+        return hot.start_window_path(stream_topic_files(spark, topic), tables, checkpoint, available_now=True)
+
+    for batch in range(4):
+        rows = []
+        for t in [1000 * (3 * batch + rng.randint(-4, 6)) for _ in range(9)]:
+            offset += 1
+            symbol = rng.choice("AB")
+            expected.arrive(symbol, t, f"{offset}.5")
+            rows.append(candle(symbol, "1s", t, offset, f"{offset}.5"))
+        rng.shuffle(rows)
+        land(spark, topic, rows)
+        if batch in (0, 2):
+            with pytest.MonkeyPatch.context() as patch:
+                def lost(*_):
+                    raise OSError("feed lost")
+
+                patch.setattr(tables, "_tell", lost)
+                with pytest.raises(Exception, match="feed lost"):
+                    run().awaitTermination()
+        drain(run())
+        state = lambda rows: sorted((r["symbol"], r["open_time"], r["close"]) for r in rows)
+        assert state(tables.kline_second.read().collect()) == expected.table()
+        last = {}
+        for r in sorted(tables.read_feed(tables.kline_second).collect(), key=lambda r: r["batch"]):
+            last[(r["symbol"], r["open_time"])] = r
+        assert state(r for r in last.values() if r["change"] != "delete") == expected.table()
+    assert {r["change"] for r in last.values()} >= {"insert", "delete"}
+
+
+def test_changes_between_states(spark):
+    schema = "symbol string, price string, n int"
+    frame_of = lambda rows: spark.createDataFrame(rows, schema)
+    before = frame_of([("A", "1", None), ("B", "2", 1), ("C", None, 1), ("D", "4", 4)])
+    after = frame_of([("A", "1", None), ("B", "2", None), ("C", None, 1), ("E", "5", 5)])
+    changes = changes_between(before, after, ["symbol"])
+    assert sorted(map(tuple, changes.collect())) == [
+        ("B", "2", None, "update"), ("D", None, None, "delete"), ("E", "5", 5, "insert")]
+    assert sorted(map(tuple, apply_changes(before, changes, ["symbol"]).collect()), key=str) == sorted(map(tuple, after.collect()), key=str)
+
+
+def test_listing_of_many_versions_is_flat(spark, tmp_path):
+    from tickloom.schemas import LIVE_TRADE
+
+    snapshot = Snapshot(spark, str(tmp_path), "t", LIVE_TRADE)
+    snapshot.write(spark.createDataFrame([("A", "1", "1", 1, 1, True)], LIVE_TRADE), 0)
+    for n in range(1, 4000):
+        (tmp_path / "t" / f"version={n:012d}-direct-{n}").mkdir()
+        (tmp_path / "t" / f"version={n:012d}-direct-{n}" / "_SUCCESS").touch()
+    started = time.time()
+    assert len(snapshot._entries()) == 4000
+    assert time.time() - started < 2

@@ -74,3 +74,31 @@ def override(base: DataFrame, newer: DataFrame, keys: Sequence[str]) -> DataFram
 def upsert(snapshot: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update-else-insert; ``updates`` must hold one row per key."""
     return override(snapshot, updates, keys)
+
+
+# --- Changes of a table ---------------------------------------------------------
+
+CHANGE, INSERTED, UPDATED, DELETED = "change", "insert", "update", "delete"
+
+
+def changes_between(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What turns one state of a table into the next: a row per key that differs, with ``change``.
+
+    Both states hold one row per key and have the same columns; keys are not null. An
+    insert or update has the new row, a delete the key alone. Values are compared null-safe.
+    """
+    columns, values = after.columns, [c for c in after.columns if c not in keys]
+    old = before.select(*keys, F.struct(*values).alias("_old"), F.lit(True).alias("_was"))
+    new = after.select(*keys, F.struct(*values).alias("_new"), F.lit(True).alias("_is"))
+    change = (
+        F.when(F.col("_was").isNull(), INSERTED).when(F.col("_is").isNull(), DELETED)
+        .when(~F.col("_old").eqNullSafe(F.col("_new")), UPDATED)
+    )
+    differing = old.join(new, list(keys), "full_outer").withColumn(CHANGE, change).filter(F.col(CHANGE).isNotNull())
+    return differing.select(*[c if c in keys else F.col(f"_new.{c}").alias(c) for c in columns], CHANGE)
+
+
+def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The next state; ``changes`` holds at most one row per key."""
+    kept = state.join(changes.select(*keys), list(keys), "left_anti").select(state.columns)
+    return kept.unionByName(changes.filter(F.col(CHANGE) != DELETED).select(state.columns))

@@ -14,7 +14,16 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.schemas import DEFAULT_VISIBLE, MIN_VISIBLE, WINDOW_KEEP, WINDOW_SLACK
+from tickloom.functions.market import composite_key
+from tickloom.operators.ranks import position
+from tickloom.schemas import DEFAULT_VISIBLE, KLINE, LIVE_KLINE_SECOND, MIN_VISIBLE, WINDOW_INTERVAL, WINDOW_KEEP, WINDOW_SLACK
+
+
+def window_arrivals(decoded: DataFrame) -> DataFrame:
+    """One-second candles only, with their arrival position."""
+    candles = decoded.filter((F.col("kind") == KLINE) & (F.col(f"{KLINE}.interval") == WINDOW_INTERVAL))
+    return candles.select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), f"{KLINE}.*").withColumn(
+        "id", composite_key(F.col("symbol"), F.col("open_time"))).select(*LIVE_KLINE_SECOND.names, "kafka_partition", "kafka_offset")
 
 
 def trim_cutoff(times: Column, keep: int, slack: int) -> Column:
@@ -178,19 +187,17 @@ def visible_slice(
     """Newest ``count`` candles per series, or ``count`` from position ``start``.
 
     Expects one row per candle. Following the newest edge (no ``start``) keeps a
-    bounded number of rows per task; a ``start`` ranks the whole series, so give
-    it a page of candles.
+    bounded number of rows per task. A ``start`` needs every candle's place in its
+    series, which is counted over ranges of open times: a long series is spread over tasks.
     """
     count = max(MIN_VISIBLE, DEFAULT_VISIBLE if count is None else count)
     if start is None:
         return _newest(candles, keys, count).drop("_rank")
     totals = candles.groupBy(*keys).agg(F.count("*").alias("_total"))
-    ranked = candles.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("open_time"))
-    ).join(totals, list(keys))
     last_start = F.greatest(F.lit(0), F.col("_total") - count)
     first = F.greatest(F.lit(0), F.least(F.lit(start), last_start))
-    return ranked.filter(F.col("_rank").between(first + 1, first + count)).drop("_rank", "_total")
+    placed = position(candles, keys, ["open_time"]).join(totals, list(keys))
+    return placed.filter(F.col("_position").between(first, first + count - 1)).select(candles.columns)
 
 
 def price_range(visible: DataFrame, keys: Sequence[str] = ("symbol", "interval")) -> DataFrame:

@@ -41,7 +41,7 @@ def _scoped(table: DataFrame, symbol: str | None, interval: str | None = None) -
 Cursor = tuple[int, int, int]
 
 
-def _after(column: str, cursor: Cursor | None) -> Column | None:
+def after_cursor(column: str, cursor: Cursor | None) -> Column | None:
     """Rows below a cursor in the order of a page: (sort column, partition, offset), all descending.
 
     The bare comparison of the sort column can skip files and row groups.
@@ -66,7 +66,7 @@ def next_cursor(page: Sequence[Row], column: str) -> Cursor | None:
 def trades(
     table: DataFrame, symbol: str | None = None, limit: int | None = None, *, after: Cursor | None = None, most: int | None = None
 ) -> DataFrame:
-    scoped = _where(_scoped(table, symbol), _after("trade_time", after))
+    scoped = _where(_scoped(table, symbol), after_cursor("trade_time", after))
     newest = scoped.orderBy(F.desc_nulls_last("trade_time"), *map(F.desc, _TIE))
     return decimals_to_text(newest.limit(page_size(limit, most)))
 
@@ -78,21 +78,24 @@ def trade_seed(table: DataFrame, symbol: str, limit: int = TRADE_SEED_LIMIT) ->
 def book_tickers(
     table: DataFrame, symbol: str | None = None, limit: int | None = None, *, after: Cursor | None = None, most: int | None = None
 ) -> DataFrame:
-    scoped = _where(_scoped(table, symbol), _after("update_id", after))
+    scoped = _where(_scoped(table, symbol), after_cursor("update_id", after))
     newest = scoped.orderBy(F.desc_nulls_last("update_id"), *map(F.desc, _TIE))
     return decimals_to_text(newest.limit(page_size(limit, most)))
 
 
-def _klines_page(table: DataFrame, limit: int | None, after: Cursor | None = None, most: int | None = None) -> DataFrame:
+def _klines_page(
+    table: DataFrame, limit: int | None, after: Cursor | None = None, most: int | None = None, forming: DataFrame | None = None
+) -> DataFrame:
+    """``forming``: where the newest forming row is looked for, if not in ``table``."""
     closed = (
-        _where(table.filter(F.col("is_closed") == F.lit(True)), _after("open_time", after))
+        _where(table.filter(F.col("is_closed") == F.lit(True)), after_cursor("open_time", after))
         .orderBy(F.desc_nulls_last("open_time"), *map(F.desc, _TIE)).limit(page_size(limit, most))
     )
-    forming = (
-        table.filter(F.col("is_closed") == F.lit(False))
+    newest_forming = (
+        (table if forming is None else forming).filter(F.col("is_closed") == F.lit(False))
         .orderBy(F.desc_nulls_last("open_time"), F.desc_nulls_last("kafka_offset"), F.desc("kafka_partition")).limit(1)
     )
-    return closed.unionByName(forming)
+    return closed.unionByName(newest_forming)
 
 
 def klines(
@@ -107,6 +110,7 @@ def klines(
     before: int | None = None,
     time_range: tuple[int, int] | None = None,
     latest_only: bool = False,
+    forming: DataFrame | None = None,
 ) -> DataFrame:
     """Newest closed candles, then the one newest update still forming.
 
@@ -114,19 +118,22 @@ def klines(
     ``after`` continues a page below its last row (see ``next_cursor``), ``before``
     starts one below an open time, ``time_range`` bounds it at both ends (inclusive).
     ``latest_only`` keeps one row per candle before the limit. ``most`` is the largest
-    page a server gives; without it the caller's limit holds.
+    page a server gives; without it the caller's limit holds. ``forming`` has the rows
+    among which the forming one is looked for, where ``table`` was cut to the newest days.
     """
     if strict and (symbol is None or interval is None):
         raise AmbiguousSeries("symbol and interval are both required")
     open_time = F.col("open_time")
-    scoped = _where(
-        table, _equals("symbol", symbol), _equals("interval", interval),
-        None if before is None else open_time < F.lit(before),
-        None if time_range is None else open_time.between(F.lit(time_range[0]), F.lit(time_range[1])),
-    )
-    if latest_only:
-        scoped = latest_per_key(scoped, ["symbol", "interval", "open_time"])
-    return decimals_to_text(_klines_page(scoped, limit, after, most))
+
+    def scoped(rows: DataFrame) -> DataFrame:
+        own = _where(
+            rows, _equals("symbol", symbol), _equals("interval", interval),
+            None if before is None else open_time < F.lit(before),
+            None if time_range is None else open_time.between(F.lit(time_range[0]), F.lit(time_range[1])),
+        )
+        return candle_series(own) if latest_only else own
+
+    return decimals_to_text(_klines_page(scoped(table), limit, after, most, None if forming is None else scoped(forming)))
 
 
 def candle_series(rows: DataFrame) -> DataFrame:
@@ -134,16 +141,22 @@ def candle_series(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["symbol", "interval", "open_time"])
 
 
+def _series_page(
+    table: DataFrame, symbol: str, interval: str, limit: int, after: Cursor | None, latest_only: bool, forming: DataFrame | None
+) -> DataFrame:
+    scoped = lambda rows: candle_series(_scoped(rows, symbol, interval)) if latest_only else _scoped(rows, symbol, interval)
+    return _klines_page(scoped(table), limit, after, None, None if forming is None else scoped(forming))
+
+
 def candles(
     table: DataFrame, symbol: str, interval: str = "1m", limit: int = CANDLE_LIMIT, *,
-    after: Cursor | None = None, latest_only: bool = False,
+    after: Cursor | None = None, latest_only: bool = False, forming: DataFrame | None = None,
 ) -> DataFrame:
     """A page of one series without repeats, oldest first.
 
     The limit counts updates, as the feed does; with ``latest_only`` it counts candles.
     """
-    scoped = _scoped(table, symbol, interval)
-    page = _klines_page(candle_series(scoped) if latest_only else scoped, limit, after)
+    page = _series_page(table, symbol, interval, limit, after, latest_only, forming)
     return decimals_to_text(candle_series(page).orderBy("open_time"))
 
 
@@ -168,11 +181,10 @@ def merge_candles(history: DataFrame, live: DataFrame) -> DataFrame:
 
 def live_chart(
     klines_table: DataFrame, live_window: DataFrame, symbol: str, limit: int = CANDLE_LIMIT, *,
-    after: Cursor | None = None, latest_only: bool = False,
+    after: Cursor | None = None, latest_only: bool = False, forming: DataFrame | None = None,
 ) -> DataFrame:
     """One-second chart: a page of lake history under the live window, oldest first."""
-    scoped = _scoped(klines_table, symbol, WINDOW_INTERVAL)
-    page = _klines_page(candle_series(scoped) if latest_only else scoped, limit, after)
+    page = _series_page(klines_table, symbol, WINDOW_INTERVAL, limit, after, latest_only, forming)
     live = to_candles(live_window.filter(F.col("symbol") == F.lit(symbol)))
     merged = merge_candles(candle_series(page), live)
     return decimals_to_text(

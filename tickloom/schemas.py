@@ -155,18 +155,25 @@ KLINES_LAKE = _schema(
 
 @dataclass(frozen=True)
 class LakeTable:
-    """One lake table: its topic, event kind, schema and path columns."""
+    """One lake table: its topic, event kind, schema, path columns, and what its rows are ordered by."""
 
     topic: str
     kind: str
     schema: T.StructType
     path_columns: tuple[str, ...]
     time_column: str | None
+    order_column: str
 
+    @property
+    def grain_column(self) -> str:
+        """The directory below the path columns: a day, or the id range of one flush where there is no time."""
+        return DAY_COLUMN if self.time_column else SPAN_COLUMN
 
-TRADES = LakeTable(TRADES_TOPIC, AGG_TRADE, TRADES_LAKE, ("symbol",), "trade_time")
-BOOK_TICKERS = LakeTable(BOOK_TICKERS_TOPIC, BOOK_TICKER, BOOK_TICKERS_LAKE, ("symbol",), None)
-KLINES = LakeTable(KLINES_TOPIC, KLINE, KLINES_LAKE, ("symbol", "interval"), "open_time")
+
+DAY_COLUMN, SPAN_COLUMN = "event_date", "id_span"
+TRADES = LakeTable(TRADES_TOPIC, AGG_TRADE, TRADES_LAKE, ("symbol",), "trade_time", "trade_time")
+BOOK_TICKERS = LakeTable(BOOK_TICKERS_TOPIC, BOOK_TICKER, BOOK_TICKERS_LAKE, ("symbol",), None, "update_id")
+KLINES = LakeTable(KLINES_TOPIC, KLINE, KLINES_LAKE, ("symbol", "interval"), "open_time", "open_time")
 LAKE_TABLES = (TRADES, BOOK_TICKERS, KLINES)
 
 # Micro-batch column written as the innermost lake directory.

@@ -1,22 +1,25 @@
-"""Hot path: topic records to live tables."""
+"""Hot path: topic records to live tables and their changes."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.market import composite_key
 from tickloom.operators.decode import decode_envelopes
 from tickloom.operators.encode import dead_letters
-from tickloom.operators.latest import latest_per_key, upsert
-from tickloom.operators.window import reduce_arrivals, window_after
+from tickloom.operators.latest import CHANGE, apply_changes, changes_between, latest_per_key, upsert
 from tickloom.schemas import (
-    AGG_TRADE, BOOK_TICKER, KLINE, LIVE_BOOK_TICKER, LIVE_KLINE, LIVE_KLINE_SECOND, LIVE_TRADE,
-    WINDOW_INTERVAL, WINDOW_KEEP, WINDOW_SLACK,
+    AGG_TRADE, BATCH_COLUMN, BOOK_TICKER, KLINE, LIVE_BOOK_TICKER, LIVE_KLINE, LIVE_KLINE_SECOND, LIVE_TRADE, WINDOW_KEEP, WINDOW_SLACK,
 )
+from tickloom.sources.layout import children
 from tickloom.streaming.cold import DeadLetterSink
-from tickloom.streaming.sinks import query_id
+from tickloom.streaming.live_window import window_changes, with_keyed_state
+from tickloom.streaming.sinks import query_id, write_records
 from tickloom.streaming.snapshots import Snapshot
 
 
@@ -40,49 +43,67 @@ def latest_book_tickers(decoded: DataFrame) -> DataFrame:
     return _latest(_arrivals(decoded, BOOK_TICKER), ["symbol"], LIVE_BOOK_TICKER.names)
 
 
-def _live_candles(decoded: DataFrame) -> DataFrame:
-    return _arrivals(decoded, KLINE).withColumnRenamed("interval", "bar_interval")
-
-
 def current_candles(decoded: DataFrame) -> DataFrame:
     """Last candle to arrive per series, even if an older candle is re-sent."""
-    candles = _live_candles(decoded).withColumn("id", composite_key(F.col("symbol"), F.col("bar_interval")))
+    candles = _arrivals(decoded, KLINE).withColumnRenamed("interval", "bar_interval").withColumn("id", composite_key(F.col("symbol"), F.col("bar_interval")))
     return _latest(candles, ["symbol", "bar_interval"], LIVE_KLINE.names)
 
 
-def window_arrivals(decoded: DataFrame) -> DataFrame:
-    """One-second candles only, with their arrival position."""
-    return (
-        _live_candles(decoded).filter(F.col("bar_interval") == WINDOW_INTERVAL)
-        .withColumn("id", composite_key(F.col("symbol"), F.col("open_time")))
-        .select(*LIVE_KLINE_SECOND.names, "kafka_partition", "kafka_offset")
-    )
-
-
 class LiveTables:
-    """The four live tables under one root. A new checkpoint goes on from the newest state."""
+    """The four live tables under one root. A new checkpoint goes on from the newest state.
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = WINDOW_KEEP, slack: int = WINDOW_SLACK):
+    With a ``feed`` folder every batch also leaves the rows it changed, per table and
+    batch (see ``read_feed``): inserts and updates whole, deletes by key.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, keep: int = WINDOW_KEEP, slack: int = WINDOW_SLACK, feed: str | None = None
+    ):
         self.trade = Snapshot(spark, root, "live_trade", LIVE_TRADE)
         self.book_ticker = Snapshot(spark, root, "live_book_ticker", LIVE_BOOK_TICKER)
         self.kline = Snapshot(spark, root, "live_kline", LIVE_KLINE)
         self.kline_second = Snapshot(spark, root, "live_kline_second", LIVE_KLINE_SECOND)
-        self._keep, self._slack = keep, slack
+        self.keep, self.slack, self._feed, self._spark = keep, slack, feed, spark
 
     def apply(self, decoded: DataFrame, batch_id: int, writer: str = "direct") -> None:
-        """Move every table one version on; one-second candles feed two of them."""
-        for snapshot, updates, keys in (
+        """Move the tables of latest rows one version on, at the same time."""
+        moves = (
             (self.trade, latest_trades(decoded), ["symbol"]),
             (self.book_ticker, latest_book_tickers(decoded), ["symbol"]),
             (self.kline, current_candles(decoded), ["symbol", "bar_interval"]),
-        ):
-            snapshot.write(upsert(snapshot.before(batch_id, writer), updates, keys), batch_id, writer)
-        held, arrivals = self.kline_second.before(batch_id, writer), window_arrivals(decoded)
-        reduced = reduce_arrivals(held, arrivals).persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        with ThreadPoolExecutor(len(moves)) as pool:
+            # Threads keep the properties of this one, the streaming query's id among them.
+            move = inheritable_thread_target(self._spark)(self._upsert)
+            for done in [pool.submit(move, *m, batch_id, writer) for m in moves]:
+                done.result()
+
+    def _upsert(self, snapshot: Snapshot, updates: DataFrame, keys: list[str], batch_id: int, writer: str) -> None:
+        before = snapshot.before(batch_id, writer)
+        after = snapshot.write(upsert(before, updates, keys), batch_id, writer)
+        self._tell(snapshot, changes_between(before, after, keys), batch_id, writer)
+
+    def apply_window(self, changes: DataFrame, batch_id: int, writer: str = "direct") -> None:
+        """Move the rolling window one version on by the changes its keyed state gave."""
+        changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self.kline_second.write(window_after(reduced, held, arrivals, self._keep, self._slack), batch_id, writer)
+            before = self.kline_second.before(batch_id, writer)
+            self.kline_second.write(apply_changes(before, changes, ["symbol", "open_time"]), batch_id, writer)
+            self._tell(self.kline_second, changes, batch_id, writer)
         finally:
-            reduced.unpersist()
+            changes.unpersist()
+
+    def _tell(self, snapshot: Snapshot, changes: DataFrame, batch_id: int, writer: str) -> None:
+        if self._feed:
+            write_records(changes, f"{self._feed}/{snapshot.name}", batch_id, writer)
+
+    def read_feed(self, snapshot: Snapshot) -> DataFrame:
+        """All changes of a table with the ``batch`` of its writer that made them."""
+        schema = T.StructType([
+            *[T.StructField(f.name, f.dataType) for f in snapshot.schema.fields],
+            T.StructField(CHANGE, T.StringType()), T.StructField(BATCH_COLUMN, T.StringType())])
+        rows = self._spark.read.schema(schema).parquet(f"{self._feed}/{snapshot.name}")
+        return rows.withColumn("batch", F.regexp_extract(BATCH_COLUMN, "([0-9]+)$", 1).cast("bigint"))
 
     def register_views(self, spark: SparkSession) -> None:
         """Temp views over the newest versions, for ad-hoc SQL."""
@@ -109,6 +130,10 @@ def hot_batch(
         decoded.unpersist()
 
 
+def _trigger(available_now: bool, trigger_seconds: int) -> dict:
+    return {"availableNow": True} if available_now else {"processingTime": f"{trigger_seconds} seconds"}
+
+
 def start_hot_path(
     records: DataFrame,
     tables: LiveTables,
@@ -119,20 +144,54 @@ def start_hot_path(
     trigger_seconds: int = 1,
     strict_version: bool = False,
 ) -> StreamingQuery:
+    """The tables of latest rows. The rolling window has a query of its own (``start_window_path``)."""
     observed = records.observe(
         "hot_path", F.count("*").alias("records"), F.count_if(F.col("value").isNull()).alias("empty_payloads")
     )
-    trigger = {"availableNow": True} if available_now else {"processingTime": f"{trigger_seconds} seconds"}
     return (
         observed.writeStream.queryName("hot_path")
         .foreachBatch(
             lambda batch, batch_id: hot_batch(batch, batch_id, tables, dead_letter_sink, strict_version, query_id(batch)))
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(available_now, trigger_seconds))
         .start()
     )
 
 
+def _known_writer(spark: SparkSession, checkpoint: str) -> str | None:
+    """Id of the query a checkpoint belongs to, if it has run before."""
+    if "metadata" not in children(spark, checkpoint):
+        return None
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()["value"])["id"]
+
+
+def start_window_path(
+    records: DataFrame,
+    tables: LiveTables,
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    trigger_seconds: int = 1,
+    strict_version: bool = False,
+) -> StreamingQuery:
+    """The rolling window from keyed state. A new checkpoint starts from what the table holds.
+
+    Undecodable records are parked by the hot path, which reads the same topics.
+    """
+    spark = records.sparkSession
+    writer = _known_writer(spark, checkpoint)
+    held = tables.kline_second.read() if writer is None else tables.kline_second.before(0, writer)
+    changes = window_changes(records, held, tables.keep, tables.slack, strict_version)
+    with with_keyed_state(spark):
+        return (
+            changes.writeStream.queryName("window_path").outputMode("update")
+            .foreachBatch(lambda batch, batch_id: tables.apply_window(batch, batch_id, query_id(batch)))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**_trigger(available_now, trigger_seconds))
+            .start()
+        )
+
+
 def latest_stream(records: DataFrame, kind: str, keys: list[str]) -> DataFrame:
     """Latest state of one kind as a streaming aggregate, for update-mode subscribers.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.schemas import BATCH_COLUMN, LakeTable
 from tickloom.sources.lake import table_path
+from tickloom.sources.layout import with_grain
 
 
 def query_id(batch: DataFrame) -> str:
@@ -23,21 +24,24 @@ def flush_name(batch_id: int, writer: str) -> str:
 def write_lake(rows: DataFrame, root: str, table: LakeTable, batch_id: int, writer: str = "direct") -> None:
     """Write one micro-batch of a lake table.
 
-    The innermost directory names the writer and its batch, and only directories of
-    that flush are replaced: a batch run again leaves one copy, while a query with a
-    new checkpoint, a backfill or a rewrite never meets another one's batch ids. Rebalancing packs rows of one directory together, but splits a
-    directory that holds a large share of the batch over several tasks. Rows are
-    sorted by time within a file, so its statistics can skip row groups.
+    Below the path columns lies a directory per day, or per id range of the flush where
+    the table has no time (see ``sources.layout``). The innermost directory names the
+    writer and its batch, and only directories of that flush are replaced: a batch run
+    again leaves one copy, while a query with a new checkpoint, a backfill or a rewrite
+    never meets another one's batch ids. Rebalancing packs rows of one directory
+    together, but splits a directory that holds a large share of the batch over several
+    tasks. Rows are sorted within a file, so its statistics can skip row groups.
     """
-    time = [table.time_column] if table.time_column else []
+    directories = [*table.path_columns, table.grain_column]
     (
-        rows.select(table.schema.names)
+        with_grain(rows.select(table.schema.names), table)
         .withColumn(BATCH_COLUMN, F.lit(flush_name(batch_id, writer)))
-        .hint("rebalance", *table.path_columns)
-        .sortWithinPartitions(*table.path_columns, BATCH_COLUMN, *time, "kafka_offset")
+        .hint("rebalance", *directories)
+        .sortWithinPartitions(*directories, BATCH_COLUMN, table.order_column, "kafka_offset")
+        .select(*table.schema.names, table.grain_column, BATCH_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*table.path_columns, BATCH_COLUMN)
+        .partitionBy(*directories, BATCH_COLUMN)
         .parquet(table_path(root, table))
     )
 

@@ -13,6 +13,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tickloom.sources.layout import children
+
 _PREFIX = "version="
 # The newest version, the one a repeated batch builds on, and one more.
 _RETAINED = 3
@@ -20,13 +22,15 @@ _RETAINED = 3
 RETAIN_SECONDS = 3600
 
 
+# How often versions are looked through for old ones: once in so many writes.
+_CLEAN_EVERY = 64
+
+
 class Version(NamedTuple):
     number: int
     writer: str
     batch_id: int
     name: str
-    complete: bool
-    written_ms: int
 
 
 class Snapshot:
@@ -34,39 +38,35 @@ class Snapshot:
         self._spark = spark
         self._path = f"{root.rstrip('/')}/{name}"
         self._retain_ms = retain_seconds * 1000
-        self.schema = schema
-
-    def _filesystem(self):
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
-        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()), path
+        self.name, self.schema = name, schema
 
     def _child(self, name: str):
-        return self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{name}")
+        folder = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{name}")
+        return folder.getFileSystem(self._spark._jsc.hadoopConfiguration()), folder
 
     def _entries(self) -> list[Version]:
-        """Versions by number, also those whose write has not ended."""
-        filesystem, path = self._filesystem()
-        if not filesystem.exists(path):
-            return []
+        """Versions by number, also those whose write has not ended: one listing."""
         found = []
-        for status in filesystem.listStatus(path):
-            name = status.getPath().getName()
+        for name in children(self._spark, self._path):
             if name.startswith(_PREFIX):
                 number, rest = name[len(_PREFIX):].split("-", 1)
                 writer, batch_id = rest.rsplit("-", 1)
-                complete = filesystem.exists(self._child(f"{name}/_SUCCESS"))
-                found.append(Version(int(number), writer, int(batch_id), name, complete, status.getModificationTime()))
+                found.append(Version(int(number), writer, int(batch_id), name))
         return sorted(found)
 
+    def _complete(self, version: Version) -> bool:
+        filesystem, marker = self._child(f"{version.name}/_SUCCESS")
+        return filesystem.exists(marker)
+
     def versions(self) -> list[tuple[str, int]]:
         """Writer and batch id of completed versions, oldest first."""
-        return [(v.writer, v.batch_id) for v in self._entries() if v.complete]
+        return [(v.writer, v.batch_id) for v in self._entries() if self._complete(v)]
 
     def _read(self, entries: list[Version]) -> DataFrame:
-        done = [v for v in entries if v.complete]
-        if not done:
+        newest = next((v for v in reversed(entries) if self._complete(v)), None)
+        if newest is None:
             return self._spark.createDataFrame([], self.schema)
-        return self._spark.read.schema(self.schema).parquet(f"{self._path}/{done[-1].name}")
+        return self._spark.read.schema(self.schema).parquet(f"{self._path}/{newest.name}")
 
     def read(self) -> DataFrame:
         """Newest version; empty if there is none."""
@@ -78,19 +78,24 @@ class Snapshot:
         own = [v.number for v in entries if (v.writer, v.batch_id) == (writer, batch_id)]
         return self._read([v for v in entries if not own or v.number < own[0]])
 
-    def write(self, rows: DataFrame, batch_id: int, writer: str = "direct") -> None:
+    def write(self, rows: DataFrame, batch_id: int, writer: str = "direct") -> DataFrame:
+        """Write the batch's version and return it as a table."""
         entries = self._entries()
         own = [v.name for v in entries if (v.writer, v.batch_id) == (writer, batch_id)]
         number = entries[-1].number + 1 if entries else 0
         name = own[0] if own else f"{_PREFIX}{number:012d}-{writer}-{batch_id}"
-        rows.select(self.schema.names).write.mode("overwrite").parquet(f"{self._path}/{name}")
-        self._drop_old()
-
-    def _drop_old(self) -> None:
-        """Remove versions that a newer one replaced long enough ago."""
-        done = [v for v in self._entries() if v.complete]
-        oldest = time.time() * 1000 - self._retain_ms
-        filesystem, _ = self._filesystem()
-        for version, newer in zip(done[:-_RETAINED], done[1:]):
-            if newer.written_ms < oldest:
-                filesystem.delete(self._child(version.name), True)
+        # A live table is small: as few files as its size asks for.
+        rows.select(self.schema.names).hint("rebalance").write.mode("overwrite").parquet(f"{self._path}/{name}")
+        if number % _CLEAN_EVERY == _CLEAN_EVERY - 1:
+            self.drop_old()
+        return self._spark.read.schema(self.schema).parquet(f"{self._path}/{name}")
+
+    def drop_old(self) -> None:
+        """Remove versions, from the oldest on, that a newer one replaced long enough ago."""
+        oldest, entries = time.time() * 1000 - self._retain_ms, self._entries()
+        for version, newer in zip(entries[:-_RETAINED], entries[1:]):
+            filesystem, folder = self._child(newer.name)
+            if filesystem.getFileStatus(folder).getModificationTime() >= oldest:
+                break
+            filesystem, folder = self._child(version.name)
+            filesystem.delete(folder, True)
