@@ -83,8 +83,7 @@ def main() -> None:
 
     def write_lake() -> None:
         target = new_work_dir(spark, "bench-lake")
-        for table in LAKE_TABLES:
-            sinks.write_lake(registry.SOURCE_OF[table.topic](spark, SF_DIR), target, table, 0)
+        sinks.write_tables({table: registry.SOURCE_OF[table.topic](spark, SF_DIR) for table in LAKE_TABLES}, target, 0)
 
     def cold_batch() -> None:
         target = new_work_dir(spark, "bench-cold")

@@ -60,7 +60,7 @@ def test_cold_path_resumes_without_loss_or_repeats(spark, tmp_path):
 
     # The second batch fails after its lake write began: nothing is committed.
     land(spark, topic, [trade("A", "3", 8), ("A", "junk2", TRADES_TOPIC, 1, 9)])
-    real_write, calls = cold.write_lake, []
+    real_write, calls = sinks.write_lake, []
 
     def failing_write(rows, root, table, batch_id, writer):
         calls.append(table)
@@ -69,7 +69,7 @@ def test_cold_path_resumes_without_loss_or_repeats(spark, tmp_path):
         real_write(rows, root, table, batch_id, writer)
 
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(cold, "write_lake", failing_write)
+        patch.setattr(sinks, "write_lake", failing_write)
         with pytest.raises(Exception, match="upload failed"):
             run(cold.dead_letter_files(parked)).awaitTermination()
     assert TRADES in calls

@@ -76,6 +76,23 @@ def upsert(snapshot: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Data
     return override(snapshot, updates, keys)
 
 
+def upsert_arrivals(
+    snapshot: DataFrame, arrivals: DataFrame, keys: Sequence[str], *, partition: str = PARTITION, offset: str = OFFSET
+) -> DataFrame:
+    """The snapshot after ``arrivals``: per key the last to arrive (partition, then offset), else its own row.
+
+    One aggregation, combined before the shuffle: any arrival outranks the snapshot.
+    """
+    columns = snapshot.columns
+    values = [c for c in columns if c not in keys]
+    at = F.struct(F.col(partition).cast("int").alias("partition"), F.col(offset).cast("bigint").alias("offset"))
+    held = snapshot.withColumn("_at", F.lit(None).cast("struct<partition:int,offset:bigint>"))
+    both = held.unionByName(arrivals.select(*columns, at.alias("_at")))
+    order = F.struct(F.col("_at").isNotNull().alias("arrived"), "_at")
+    newest = both.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("_row"))
+    return newest.select(*keys, "_row.*").select(*columns)
+
+
 # --- Changes of a table ---------------------------------------------------------
 
 CHANGE, INSERTED, UPDATED, DELETED = "change", "insert", "update", "delete"

@@ -1,8 +1,8 @@
 """Newest-first pages that read only the newest directories of a series.
 
 The rows of a day are all newer than those of the days before it, so a page needs the
-newest days alone, as many as it takes to fill it: they are read from the newest on, twice
-as many at each step, until the rows asked for are there. A table without a time is cut to
+newest days alone, as many as it takes to fill it: the newest one is looked into first, and
+then as many as its rows make likely to do, until the rows asked for are there. A table without a time is cut to
 the flushes whose id ranges can hold the page; their names tell. Pages have the rows and
 the order of ``plans.queries``; a call that leaves the series open reads the whole table.
 """
@@ -35,9 +35,12 @@ def newest_days(
     days, taken = _days(spark, root, table, symbol, interval, last_ms), 1
     while True:
         rows = read_grains(spark, root, table, symbol, interval, days[:taken])
-        if taken >= len(days) or wanted(rows).limit(count).count() >= count:
+        if taken >= len(days):
             return rows
-        taken *= 2
+        found = wanted(rows).limit(count).count()
+        if found >= count:
+            return rows
+        taken = max(2 * taken, -(-taken * count * 5 // (4 * found)) if found else 8 * taken)
 
 
 class LakePages:

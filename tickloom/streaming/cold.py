@@ -12,7 +12,7 @@ from tickloom.operators.decode import decode_envelopes, lake_rows
 from tickloom.operators.encode import dead_letters
 from tickloom.operators.stats import flush_manifest, object_name
 from tickloom.schemas import FLUSH_SECONDS, LAKE_TABLES
-from tickloom.streaming.sinks import query_id, write_lake, write_records
+from tickloom.streaming.sinks import query_id, write_records, write_tables
 
 DeadLetterSink = Callable[[DataFrame, int, str], None]
 
@@ -31,15 +31,14 @@ def cold_batch(
 ) -> None:
     """One flush. Dead letters are parked before the batch can be committed.
 
-    The batch is decoded once and kept for its four writes. Any failed write fails
+    The batch is decoded once and kept for its writes; the lake tables are written together. Any failed write fails
     the batch, so the position does not move and the batch is run again.
     """
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
     decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dead_letter_sink(dead_letters(decoded, "cold"), batch_id, writer)
-        for table in LAKE_TABLES:
-            write_lake(lake_rows(decoded, table), lake_root, table, batch_id, writer)
+        write_tables({table: lake_rows(decoded, table) for table in LAKE_TABLES}, lake_root, batch_id, writer)
     finally:
         decoded.unpersist()
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.functions.market import composite_key
 from tickloom.operators.decode import decode_envelopes
 from tickloom.operators.encode import dead_letters
-from tickloom.operators.latest import CHANGE, apply_changes, changes_between, latest_per_key, upsert
+from tickloom.operators.latest import CHANGE, apply_changes, changes_between, upsert_arrivals
 from tickloom.schemas import (
     AGG_TRADE, BATCH_COLUMN, BOOK_TICKER, KLINE, LIVE_BOOK_TICKER, LIVE_KLINE, LIVE_KLINE_SECOND, LIVE_TRADE, WINDOW_KEEP, WINDOW_SLACK,
 )
@@ -29,24 +29,19 @@ def _arrivals(decoded: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def _latest(arrivals: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    lineage = ["kafka_partition", "kafka_offset"]
-    return latest_per_key(arrivals.select(*columns, *lineage), keys, across_partitions="arrival").select(*columns)
+def trade_arrivals(decoded: DataFrame) -> DataFrame:
+    """The last trade to arrive per symbol counts; trade times are not compared."""
+    return _arrivals(decoded, AGG_TRADE)
 
 
-def latest_trades(decoded: DataFrame) -> DataFrame:
-    """Last trade to arrive per symbol; trade times are not compared."""
-    return _latest(_arrivals(decoded, AGG_TRADE), ["symbol"], LIVE_TRADE.names)
+def book_ticker_arrivals(decoded: DataFrame) -> DataFrame:
+    return _arrivals(decoded, BOOK_TICKER)
 
 
-def latest_book_tickers(decoded: DataFrame) -> DataFrame:
-    return _latest(_arrivals(decoded, BOOK_TICKER), ["symbol"], LIVE_BOOK_TICKER.names)
-
-
-def current_candles(decoded: DataFrame) -> DataFrame:
-    """Last candle to arrive per series, even if an older candle is re-sent."""
-    candles = _arrivals(decoded, KLINE).withColumnRenamed("interval", "bar_interval").withColumn("id", composite_key(F.col("symbol"), F.col("bar_interval")))
-    return _latest(candles, ["symbol", "bar_interval"], LIVE_KLINE.names)
+def candle_arrivals(decoded: DataFrame) -> DataFrame:
+    """The last candle to arrive per series counts, even if an older candle is re-sent."""
+    candles = _arrivals(decoded, KLINE).withColumnRenamed("interval", "bar_interval")
+    return candles.withColumn("id", composite_key(F.col("symbol"), F.col("bar_interval")))
 
 
 class LiveTables:
@@ -68,9 +63,9 @@ class LiveTables:
     def apply(self, decoded: DataFrame, batch_id: int, writer: str = "direct") -> None:
         """Move the tables of latest rows one version on, at the same time."""
         moves = (
-            (self.trade, latest_trades(decoded), ["symbol"]),
-            (self.book_ticker, latest_book_tickers(decoded), ["symbol"]),
-            (self.kline, current_candles(decoded), ["symbol", "bar_interval"]),
+            (self.trade, trade_arrivals(decoded), ["symbol"]),
+            (self.book_ticker, book_ticker_arrivals(decoded), ["symbol"]),
+            (self.kline, candle_arrivals(decoded), ["symbol", "bar_interval"]),
         )
         with ThreadPoolExecutor(len(moves)) as pool:
             # Threads keep the properties of this one, the streaming query's id among them.
@@ -78,13 +73,14 @@ class LiveTables:
             for done in [pool.submit(move, *m, batch_id, writer) for m in moves]:
                 done.result()
 
-    def _upsert(self, snapshot: Snapshot, updates: DataFrame, keys: list[str], batch_id: int, writer: str) -> None:
+    def _upsert(self, snapshot: Snapshot, arrivals: DataFrame, keys: list[str], batch_id: int, writer: str) -> None:
         before = snapshot.before(batch_id, writer)
-        after = snapshot.write(upsert(before, updates, keys), batch_id, writer)
+        after = snapshot.write(upsert_arrivals(before, arrivals, keys), batch_id, writer)
         self._tell(snapshot, changes_between(before, after, keys), batch_id, writer)
 
     def apply_window(self, changes: DataFrame, batch_id: int, writer: str = "direct") -> None:
         """Move the rolling window one version on by the changes its keyed state gave."""
+        changes.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             before = self.kline_second.before(batch_id, writer)
