@@ -223,11 +223,12 @@ def mixed(sizes: DataFrame, sources: DataFrame, block_words: int = BLOCK_WORDS,
     """The mix: per slot the stretches of documents it takes, ``start`` and ``length`` in words of the document.
 
     A block meets at most ``most_passes`` + 1 slots, and a slot at most ``block_words``
-    documents, so no key of the join holds much.
+    documents, so no key of the join holds much. Both sides grow with the documents: they
+    are merged, never broadcast.
     """
     slots, pieces = slots_of(sources, block_words, shard_slots, seed), pieces_of(sizes, block_words)
     taken = F.least(F.col("length"), F.col("words") - F.col("begin"))
-    return pieces.join(slots, [*SOURCE, "block"]).withColumn("length", taken).filter("length > 0").select(
+    return pieces.join(slots.hint("merge"), [*SOURCE, "block"]).withColumn("length", taken).filter("length > 0").select(
         "shard", "place", *SOURCE, "block", "doc_id", "at", (F.col("block") * block_words + F.col("begin") - F.col("at")).alias("start"), "length")
 
 
@@ -238,5 +239,5 @@ def takes(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_passes: int =
     # A document with words is known by its source and place; those without are taken 0 times.
     by_place = mixed(sizes, sources, block_words, seed=seed).groupBy(*SOURCE, "at").agg(F.sum("length").alias("taken"))
     with_words = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
-    return sizes.join(by_place, [*SOURCE, "at"], "left").join(sources, SOURCE).select(
+    return sizes.join(by_place.hint("merge"), [*SOURCE, "at"], "left").join(sources, SOURCE).select(
         "doc_id", "size", "source_size", "target", with_words.alias("taken"))
