@@ -1,5 +1,7 @@
 """Main text of pages and the quality classifier."""
 
+import time
+
 import pytest
 
 from tickloom.llm import html_extract, queries, rule_ensemble
@@ -117,3 +119,10 @@ def test_training_is_bounded_and_leaves_the_fold_out(spark):
     rows = rule_ensemble.training_rows(docs, labels, limit=500)
     assert rows.count() == 500
     assert rows.filter(rule_ensemble.held_out(rows.doc_id)).count() == 0
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "</p>" * 100_000, "<p>x" * 50_000, "<div><li>x" * 50_000, "<b><p>" * 50_000 + "</i>" * 50_000])
+def test_unclosed_elements_take_no_longer_each(html):
+    started = time.time()
+    html_extract.blocks_of(html)
+    assert time.time() - started < 20

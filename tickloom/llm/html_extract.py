@@ -16,6 +16,7 @@ Markup that is never closed ends with its parent or with the page.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -137,6 +138,7 @@ def blocks_of(html: str) -> list[Block]:
     named: list[Named] = []
     mains: set[int] = set()
     stack: list[tuple[str, bool, bool, bool, int]] = []  # name, barred, inside, link, last in named, each with what stands above
+    open_: Counter[str] = Counter()  # of each name, how many stand in the stack
     parts: list[str] = []
     linked: list[str] = []
     heading = False
@@ -186,9 +188,12 @@ def blocks_of(html: str) -> list[Block]:
         elif name in ("br", "img"):
             parts.append(" ")
         if closing:
-            if any(x[0] == name for x in reversed(stack)):
-                while stack.pop()[0] != name:
-                    pass
+            if open_[name]:
+                while True:
+                    last_name = stack.pop()[0]
+                    open_[last_name] -= 1
+                    if last_name == name:
+                        break
             continue
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(html, at)
@@ -198,8 +203,9 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if name in ("p", "li", "a", "dt", "dd", "tr", "td", "th", "option") and any(x[0] == name for x in stack[-3:]):
             # Elements that end where the next of their kind begins, inline ones inside them too.
-            k = max(k for k, x in enumerate(stack) if x[0] == name)
+            k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
             if all(x[0] in INLINE for x in stack[k + 1:]):
+                open_.subtract(x[0] for x in stack[k:])
                 del stack[k:]
         _, barred, inside, link, last = stack[-1] if stack else ("", False, False, False, -1)
         by_attribute, hints, href = attributes(m[2]) if m[2] else (False, frozenset(), False)
@@ -214,6 +220,7 @@ def blocks_of(html: str) -> list[Block]:
             if name == "main" and not barred and last >= 0:
                 mains.add(last)
         heading = heading or name in HEADINGS
+        open_[name] += 1
         stack.append((name, barred, inside or name in MAIN, link or (name == "a" and href), last))
     flush()
     bars = barring(named, mains, out)
