@@ -163,3 +163,15 @@ def test_packing_query_pads_little(spark):
     sequences = check_packing(queries.op4_histogram_packing(spark, "/root/testdata/sf0.001").collect(), docs)
     used = sum(n for parts in sequences.values() for _, n in parts)
     assert used / (2048 * len(sequences)) > 0.98
+
+
+def test_trie_takes_words_of_any_length():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library = trie_bpe.TrieEncoder(trie_bpe.Vocabulary(path)), Tokenizer.from_file(path)
+    random.seed(9)
+    texts = ["".join(random.choices("abcdefgh", k=30_000)), "a" * 50_000, "ab" * 20_000 + " " + "ab" * 20_001]
+    assert encoder.encode(texts) == [np.array(x.ids, dtype="<u4").tobytes() for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    # What is kept per letter does not grow with the word: a million of them take seconds.
+    long_run = "".join(random.choices("abcdefgh", k=1_000_000))
+    (ids,) = encoder.encode([long_run])
+    assert trie_bpe.Decoder(trie_bpe.Vocabulary(path)).decode(ids) == long_run

@@ -110,21 +110,22 @@ class TrieEncoder:
                     child = node[byte] = {}
                 node = child
             node[end] = word
-        id_of, packed, joins = self.vocabulary.id_of.get, self.vocabulary.packed, self.joins
+        id_of, packed, joins = self.vocabulary.id_of.get, self.vocabulary.packed.__getitem__, self.joins
         longest, split = self.vocabulary.longest, self.vocabulary.stays_split
-        last: list[int] = [-1]  # per depth of the path: the last token of the prefix,
-        back: list[int] = [0]  # where it starts,
-        coded: list[bytes] = [b""]  # and all ids of the prefix
-        path = b""
+        # Per depth of the path the last token of the prefix and where it starts: the ids of
+        # a prefix are read back from there, so a long word takes no more than its letters.
+        last: list[int] = [-1]
+        back: list[int] = [0]
+        path = bytearray()
         stack = [(0, byte, child) for byte, child in root.items()]
         while stack:
             depth, byte, node = stack.pop()
             if depth + 1 < len(last):
-                del last[depth + 1:], back[depth + 1:], coded[depth + 1:]
-            path = path[:depth] + bytes((byte,))
+                del last[depth + 1:], back[depth + 1:], path[depth:]
+            path.append(byte)
             first = back[depth]
             for start in (first, *range(depth, max(-1, depth - longest), -1)):
-                token = id_of(path[start:])
+                token = id_of(bytes(path[start:]))
                 if token is None:
                     continue
                 if start:
@@ -136,11 +137,14 @@ class TrieEncoder:
                         continue
                 last.append(token)
                 back.append(start)
-                coded.append(coded[start] + packed[token])
                 break
             for key, child in node.items():
                 if key == end:
-                    self.words[child] = coded[-1]
+                    ids, at = [], depth + 1
+                    while at:
+                        ids.append(last[at])
+                        at = back[at]
+                    self.words[child] = b"".join(map(packed, reversed(ids)))
                 else:
                     stack.append((depth + 1, key, child))
 
