@@ -442,6 +442,12 @@ ORACLES["live_changes"] = f"WITH {_BATCHED} " + " UNION ALL ".join((
     _changes("live_trade", "[CAST(event_id AS VARCHAR)]", "symbol"), _changes("live_book_ticker", "[CAST(event_id AS VARCHAR)]", "symbol"),
     _changes("live_kline", "[CAST(event_id AS VARCHAR)]", 'symbol, "interval"')))
 
+ORACLES["path_metrics"] = f"""WITH {TOPIC}, done AS (
+  SELECT topic, count(*) FILTER (error IS NULL) AS applied, count(*) FILTER (error IS NOT NULL) AS dead_lettered FROM kinds GROUP BY topic),
+read_ AS (SELECT topic, count(*) AS records, count(*) FILTER (value IS NULL) AS empty_payloads FROM v_topic GROUP BY topic)
+SELECT path, topic, records, empty_payloads, applied, dead_lettered FROM read_ JOIN done USING (topic),
+  (VALUES ('cold'), ('hot')) AS paths(path)"""
+
 # One arrival at a time.
 ORACLES["live_window_out_of_order"] = f"""WITH RECURSIVE {GOOD},
 seconds AS (SELECT *, kafka_offset * {SHUFFLE[0]} % {SHUFFLE[1]} AS arrival FROM good WHERE kind = 'kline' AND "interval" = '1s'),
@@ -458,3 +464,4 @@ held AS (SELECT symbol, unnest(times) AS open_time FROM (
 newest AS (SELECT * FROM seconds
   QUALIFY row_number() OVER (PARTITION BY symbol, open_time ORDER BY kafka_partition DESC, arrival DESC) = 1)
 SELECT symbol || ':' || open_time AS id, symbol, {_LAKE_KLINE} FROM newest SEMI JOIN held USING (symbol, open_time)"""
+ORACLES["recorder_stream"] = ORACLES["raw_frame_recorder"]

@@ -20,7 +20,7 @@ from tickloom.sources import history
 from tickloom.sources.frames import not_blank, read_frames, stream_frames
 from tickloom.sources.lake import read_table
 from tickloom.sources.topics import read_topic_files, stream_topic_files
-from tickloom.streaming import cold, hot, ingest, sinks
+from tickloom.streaming import cold, hot, ingest, metrics, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,10 +119,10 @@ def live_tables(spark: SparkSession, sf_dir: str) -> hot.LiveTables:
 BATCHES = 3
 
 
-def live_tables_in_batches(spark: SparkSession, sf_dir: str) -> hot.LiveTables:
-    """Live tables with their change feed, after both paths took the topic in three batches by offset."""
+def paths_in_batches(spark: SparkSession, sf_dir: str) -> tuple[hot.LiveTables, str]:
+    """Live tables with their change feed, and the counters, after all paths took the topic in three batches by offset."""
 
-    def build(root: str) -> hot.LiveTables:
+    def build(root: str) -> tuple[hot.LiveTables, str]:
         tables = hot.LiveTables(spark, f"{root}/live", WINDOW_KEEP, WINDOW_SLACK, feed=f"{root}/feed")
         records = read_topic_files(spark, topic_path(spark, sf_dir))
         most = records.agg(F.max("offset")).first()[0]
@@ -131,12 +131,16 @@ def live_tables_in_batches(spark: SparkSession, sf_dir: str) -> hot.LiveTables:
             records.filter(part == batch_id).write.mode("append").parquet(f"{root}/topic")
             stream = stream_topic_files(spark, f"{root}/topic")
             paths = [
+                cold.start_cold_path(
+                    stream, f"{root}/lake", f"{root}/cold-checkpoint", cold.dead_letter_files(f"{root}/cold-dead-letters"),
+                    available_now=True, metrics=f"{root}/metrics"),
                 hot.start_hot_path(
-                    stream, tables, f"{root}/checkpoint", cold.dead_letter_files(f"{root}/dead-letters"), available_now=True),
+                    stream, tables, f"{root}/checkpoint", cold.dead_letter_files(f"{root}/dead-letters"), available_now=True,
+                    metrics=f"{root}/metrics"),
                 hot.start_window_path(stream, tables, f"{root}/window-checkpoint", available_now=True)]
             for path in paths:
                 path.awaitTermination()
-        return tables
+        return tables, f"{root}/metrics"
 
     return _once(spark, sf_dir, "hot-batches", build)
 
@@ -238,6 +242,22 @@ def raw_frame_recorder(spark, sf_dir):
     return frames.select("value", F.length("value").alias("length"))
 
 
+def recorder_stream(spark, sf_dir):
+    """Frames recorded while they stream, over a restart, read back through the frame source."""
+
+    def build(root: str) -> str:
+        frames = read_frames(spark, frames_path(spark, sf_dir))
+        odd = F.length("value") % 2
+        for part in (0, 1):
+            frames.filter(odd == part).select("value").write.mode("append").text(f"{root}/landed")
+            ingest.start_recorder(
+                stream_frames(spark, f"{root}/landed"), f"{root}/recorded", f"{root}/checkpoint", available_now=True).awaitTermination()
+        return f"{root}/recorded"
+
+    frames = read_frames(spark, _once(spark, sf_dir, "recorder", build))
+    return frames.select("value", F.length("value").alias("length"))
+
+
 def decode_only_replay(spark, sf_dir):
     """Decode into the null sink, then the counts of the same decode."""
     decoded = decode.decode_frames(read_frames(spark, frames_path(spark, sf_dir)))
@@ -441,9 +461,14 @@ def live_subscription(spark, sf_dir):
     return state.select("symbol", "price", "quantity", "trade_time", "agg_trade_id", "is_buyer_maker")
 
 
+def path_metrics(spark, sf_dir):
+    """Counters of the cold and the hot path, as their batches left them."""
+    return stats.total_metrics(metrics.read_metrics(spark, paths_in_batches(spark, sf_dir)[1]))
+
+
 def live_changes(spark, sf_dir):
     """Rows inserted and updated per batch in the tables of latest rows, from their change feed."""
-    tables = live_tables_in_batches(spark, sf_dir)
+    tables = paths_in_batches(spark, sf_dir)[0]
     counted = [
         tables.read_feed(s).groupBy("batch", "change").agg(F.count("*").alias("rows")).withColumn("live_table", F.lit(s.name))
         for s in (tables.trade, tables.book_ticker, tables.kline)]
@@ -452,7 +477,7 @@ def live_changes(spark, sf_dir):
 
 def live_changes_window(spark, sf_dir):
     """The rolling window put together from its change feed alone: the last change of each candle, if not its end."""
-    tables = live_tables_in_batches(spark, sf_dir)
+    tables = paths_in_batches(spark, sf_dir)[0]
     feed = tables.read_feed(tables.kline_second)
     columns = [c for c in feed.columns if c not in ("symbol", "open_time", "batch_id", "batch")]
     last = feed.groupBy("symbol", "open_time").agg(F.max_by(F.struct(*columns), "batch").alias("_last"))
@@ -461,7 +486,7 @@ def live_changes_window(spark, sf_dir):
 
 def live_window_batches(spark, sf_dir):
     """The rolling window after several batches."""
-    return live_tables_in_batches(spark, sf_dir).kline_second.read()
+    return paths_in_batches(spark, sf_dir)[0].kline_second.read()
 
 
 def live_window_out_of_order(spark, sf_dir):
@@ -793,6 +818,7 @@ QUERIES: dict[str, Query] = {
     "path_counters": path_counters,
     "symbol_mismatches": symbol_mismatches,
     "raw_frame_recorder": raw_frame_recorder,
+    "recorder_stream": recorder_stream,
     "decode_only_replay": decode_only_replay,
     "ingest_stream": ingest_stream,
     "lake_roundtrip_trades": _roundtrip(TRADES),
@@ -861,6 +887,7 @@ QUERIES: dict[str, Query] = {
     "trades_window_all": trades_window_all,
     "compaction_in_place": compaction_in_place,
     "retention_drops_days": retention_drops_days,
+    "path_metrics": path_metrics,
     "live_changes": live_changes,
     "live_changes_window": live_changes_window,
     "live_window_batches": live_window_batches,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.samples import TICKER, TRADE, candle_payload, envelope, frame, records
 from tests.test_window import Reference
-from tickloom.operators import maintenance
+from tickloom.operators import maintenance, stats
 from tickloom.operators.decode import decode_envelopes
 from tickloom.operators.latest import apply_changes, changes_between
 from tickloom.plans import queries as reads
@@ -15,7 +15,7 @@ from tickloom.schemas import BOOK_TICKERS, KLINES, TRADES
 from tickloom.sources.frames import stream_frames
 from tickloom.sources.lake import read_table
 from tickloom.sources.topics import stream_topic_files
-from tickloom.streaming import cold, hot, ingest, sinks
+from tickloom.streaming import cold, hot, ingest, metrics, sinks
 from tickloom.streaming.live_window import CHANGES, arrive
 from tickloom.streaming.snapshots import Snapshot
 
@@ -312,3 +312,27 @@ def test_listing_of_many_versions_is_flat(spark, tmp_path):
     started = time.time()
     assert len(snapshot._entries()) == 4000
     assert time.time() - started < 2
+
+
+def test_counters_of_a_batch_that_ran_twice(spark, tmp_path):
+    topic, checkpoint, counted = (str(tmp_path / name) for name in ("topic", "checkpoint", "metrics"))
+    lake, parked = str(tmp_path / "lake"), str(tmp_path / "dlq")
+
+    def run():
+        return cold.start_cold_path(
+            stream_topic_files(spark, topic), lake, checkpoint, cold.dead_letter_files(parked), available_now=True, metrics=counted)
+
+    land(spark, topic, [trade("A", "1", 1), ("A", "junk", TRADES_TOPIC, 1, 2), ("A", None, TRADES_TOPIC, 1, 3), candle("A", "1m", 0, 4)])
+    with pytest.MonkeyPatch.context() as patch:
+        def lost(*args):
+            metrics.record_metrics(*args)
+            raise OSError("lost after counting")
+
+        patch.setattr(cold, "record_metrics", lost)
+        with pytest.raises(Exception, match="lost after counting"):
+            run().awaitTermination()
+    drain(run())
+    land(spark, topic, [trade("A", "2", 5)])
+    drain(run())
+    totals = stats.total_metrics(metrics.read_metrics(spark, counted)).collect()
+    assert sorted(map(tuple, totals)) == [("cold", KLINES_TOPIC, 1, 0, 1, 0), ("cold", TRADES_TOPIC, 4, 1, 2, 1)]

@@ -85,5 +85,23 @@ def path_counters(decoded: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+_COUNTED = ("records", "empty_payloads", "applied", "dead_lettered")
+
+
+def path_metrics(records: DataFrame, decoded: DataFrame) -> DataFrame:
+    """What a path did with a batch, per topic: records, those without a value, applied, dead-lettered."""
+    none = F.lit(0).cast("bigint")
+    read = records.groupBy("topic").agg(F.count("*").alias("records"), F.count_if(F.col("value").isNull()).alias("empty_payloads"))
+    done = path_counters(decoded, ["topic"])
+    both = read.select("*", none.alias("applied"), none.alias("dead_lettered")).unionByName(
+        done.select("*", none.alias("records"), none.alias("empty_payloads")))
+    return both.groupBy("topic").agg(*[F.sum(c).alias(c) for c in _COUNTED])
+
+
+def total_metrics(batches: DataFrame) -> DataFrame:
+    """Totals per path and topic over all batches."""
+    return batches.groupBy("path", "topic").agg(*[F.sum(c).alias(c) for c in _COUNTED])
+
+
 def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("n"))

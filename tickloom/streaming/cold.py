@@ -12,6 +12,7 @@ from tickloom.operators.decode import decode_envelopes, lake_rows
 from tickloom.operators.encode import dead_letters
 from tickloom.operators.stats import flush_manifest, object_name
 from tickloom.schemas import FLUSH_SECONDS, LAKE_TABLES
+from tickloom.streaming.metrics import record_metrics
 from tickloom.streaming.sinks import query_id, write_records, write_tables
 
 DeadLetterSink = Callable[[DataFrame, int, str], None]
@@ -28,17 +29,20 @@ def cold_batch(
     dead_letter_sink: DeadLetterSink,
     strict_version: bool = False,
     writer: str = "direct",
+    metrics: str | None = None,
 ) -> None:
     """One flush. Dead letters are parked before the batch can be committed.
 
-    The batch is decoded once and kept for its writes; the lake tables are written together. Any failed write fails
-    the batch, so the position does not move and the batch is run again.
+    The batch is decoded once and kept for its writes; the lake tables are written
+    together. Any failed write fails the batch, so the position does not move and the
+    batch is run again.
     """
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
     decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dead_letter_sink(dead_letters(decoded, "cold"), batch_id, writer)
         write_tables({table: lake_rows(decoded, table) for table in LAKE_TABLES}, lake_root, batch_id, writer)
+        record_metrics(metrics, "cold", records, decoded, batch_id, writer)
     finally:
         decoded.unpersist()
 
@@ -52,8 +56,12 @@ def start_cold_path(
     available_now: bool = False,
     flush_seconds: int = FLUSH_SECONDS,
     strict_version: bool = False,
+    metrics: str | None = None,
 ) -> StreamingQuery:
-    """Flush every ``flush_seconds``; the source's rate limit bounds a flush by size."""
+    """Flush every ``flush_seconds``; the source's rate limit bounds a flush by size.
+
+    ``metrics`` is a folder for the counters of each batch (``streaming.metrics``).
+    """
     observed = records.observe(
         "cold_path", F.count("*").alias("records"), F.count_if(F.col("value").isNull()).alias("empty_payloads")
     )
@@ -61,7 +69,8 @@ def start_cold_path(
     return (
         observed.writeStream.queryName("cold_path")
         .foreachBatch(
-            lambda batch, batch_id: cold_batch(batch, batch_id, lake_root, dead_letter_sink, strict_version, query_id(batch)))
+            lambda batch, batch_id: cold_batch(
+                batch, batch_id, lake_root, dead_letter_sink, strict_version, query_id(batch), metrics))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -19,6 +19,7 @@ from tickloom.schemas import (
 from tickloom.sources.layout import children
 from tickloom.streaming.cold import DeadLetterSink
 from tickloom.streaming.live_window import window_changes, with_keyed_state
+from tickloom.streaming.metrics import record_metrics
 from tickloom.streaming.sinks import query_id, write_records
 from tickloom.streaming.snapshots import Snapshot
 
@@ -116,12 +117,14 @@ def hot_batch(
     dead_letter_sink: DeadLetterSink,
     strict_version: bool = False,
     writer: str = "direct",
+    metrics: str | None = None,
 ) -> None:
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
     decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dead_letter_sink(dead_letters(decoded, "hot"), batch_id, writer)
         tables.apply(decoded, batch_id, writer)
+        record_metrics(metrics, "hot", records, decoded, batch_id, writer)
     finally:
         decoded.unpersist()
 
@@ -139,6 +142,7 @@ def start_hot_path(
     available_now: bool = False,
     trigger_seconds: int = 1,
     strict_version: bool = False,
+    metrics: str | None = None,
 ) -> StreamingQuery:
     """The tables of latest rows. The rolling window has a query of its own (``start_window_path``)."""
     observed = records.observe(
@@ -147,7 +151,8 @@ def start_hot_path(
     return (
         observed.writeStream.queryName("hot_path")
         .foreachBatch(
-            lambda batch, batch_id: hot_batch(batch, batch_id, tables, dead_letter_sink, strict_version, query_id(batch)))
+            lambda batch, batch_id: hot_batch(
+                batch, batch_id, tables, dead_letter_sink, strict_version, query_id(batch), metrics))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(available_now, trigger_seconds))
         .start()

@@ -30,3 +30,19 @@ def start_ingest(
         .trigger(**trigger)
         .start()
     )
+
+
+def start_recorder(
+    frames: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger_seconds: int = 1
+) -> StreamingQuery:
+    """Record raw frames one per line while they come, each once across restarts.
+
+    A run records to a folder of its own; its sink's log says which files count.
+    """
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{trigger_seconds} seconds"}
+    return (
+        frames.select("value").writeStream.queryName("recorder").format("text")
+        .option("path", path).option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
