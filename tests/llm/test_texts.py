@@ -200,6 +200,31 @@ def test_signatures_meet_for_linked_sets():
                 assert len(a) == len(b) == len(set(a) & set(b)) or len(shared) >= max(1, least.min())
 
 
+@pytest.mark.parametrize("levels, small", [(3, 4), (0, 0)])
+def test_large_groups_of_edited_copies(spark, monkeypatch, levels, small):
+    """Copies near and beyond the bound, in buckets that stay large, after the last partition too."""
+    monkeypatch.setattr(shingle_join, "LEVELS", levels)
+    monkeypatch.setattr(shingle_join, "SMALL_BUCKET", small)
+    random.seed(9)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for at in random.sample(range(80), random.randint(0, 6)):
+            words[at] = random.choice(["x", "y", "z"])  # edits that copies share
+        rows.append((k, " ".join(words)))
+    random.shuffle(rows)
+    found = shingle_join.groups(docs(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.groups([i for i, _ in rows], [t for _, t in rows])
+
+
+def test_rows_of_one_id_link_all_their_texts(spark):
+    x, y = (" ".join(f"{c}{k}" for k in range(60)) for c in "xy")
+    rows = [(3, x), (5, x), (5, y), (7, y), (9, y + " more"), (10, "alone"), (10, None), (11, None)]
+    found = {(r.doc_id, r.component_id) for r in shingle_join.groups(docs(spark, rows)).collect()}
+    assert found == {(3, 3), (5, 3), (7, 3), (9, 3), (10, 10), (11, 11)}
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(7, text), (3, text + " x"), (9, text.upper()), (5, None), (6, ""), (None, text), (8, "other words"), (8, "other words"), (8, "a third text")]

@@ -14,15 +14,19 @@ Links without all pairs of a bucket:
 1. Signatures are counted; documents are read again for those that recur, told by a
    Bloom filter where that is small and by a join where it is not. Parts that agree are
    at least those with shingles less k, so a set with fewer recurring signatures links
-   with nothing, and of the others the most frequent ones are left out. A bucket's members are compared with its head, the smallest document
-   id, once per pair.
-2. By the triangle inequality of the Jaccard distance a member farther than 0.4 from
-   the head links with none that is within 0.2 of it; one between 0.2 and 0.4 is
-   compared with those near enough.
-3. Members not linked with their head may link with each other. Buckets whose
-   remaining members are in one group already are done. In small ones the members of
-   different groups are compared; large ones are split by the signatures of another
-   partition of the domain, under which linked sets agree somewhere too, and so on.
+   with nothing, and of the others the most frequent ones are left out. A bucket's
+   members are compared with its head, the smallest document id, once per pair.
+2. A bucket whose members are in one group by then is done, as its other links would
+   join nothing. Of the sets in buckets that stay open the shingles are counted: what no
+   other open set has is shared with none, so two sets share at most the smaller number
+   of common shingles. Edited copies of one template mostly fail this bound, without a
+   partner being looked at; those that can link with nothing leave.
+3. Buckets with few pairs of members of different groups, in proportion to their
+   members, are compared whole, the pairs within the bound. In others the members with
+   the most common shingles are compared with those of other groups. What is still open
+   is dealt anew, by the signatures of another partition of the domain, under which
+   linked sets agree somewhere too; after ``LEVELS`` partitions buckets stay as they are
+   and lose the members compared in each round, twice as many as before, until none is open.
 
 Sets travel for compared pairs only. Documents of equal sets are one class, named by
 its smallest id, and are compared once. Groups are found by passing the smallest id
@@ -47,10 +51,11 @@ from tickloom.llm.words import joined, lower_ascii, slices, words_of
 
 SHINGLE, SHARED, OF = 5, 80, 100  # words; linked when OF * intersection >= SHARED * union
 BAND = 1.6
-SMALL_BUCKET, LEVELS = 256, 5
+# Buckets of up to half so many open pairs a member are compared whole; heads of others; partitions.
+SMALL_BUCKET, HEADS, LEVELS = 32, 4, 3
 # A broadcast is made below these sizes; beyond them there is a shuffle instead.
 BROADCAST_IDS, BROADCAST_SIGNATURES = 2_000_000, 12_000_000
-KEPT_BYTES = 5  # of a shingle's hash in sets that travel
+SALTS = 16  # places of the rows of a set that recurs
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -154,13 +159,16 @@ def signatures(sets: Sets, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def packed(hashes: np.ndarray) -> bytes:
-    return (hashes >> np.uint64(64 - 8 * KEPT_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()
+    return hashes.astype("<u8").tobytes()
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // KEPT_BYTES, 8), dtype=np.uint8)
-    out[:, :KEPT_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, KEPT_BYTES)
-    return out.reshape(-1).view("<u8")
+    return np.frombuffer(raw, dtype="<u8")
+
+
+def unpacked_sets(column: pa.Array) -> Sets:
+    parts = [unpacked(x) for x in column.to_pylist()]
+    return Sets(np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64), np.array([len(x) for x in parts], dtype=np.int64))
 
 
 # --- Passes over the texts ------------------------------------------------------------
@@ -229,32 +237,39 @@ def bloom_of(signatures_: DataFrame, n: int) -> Bloom:
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column("signature").to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("signature"), pa.array(Bloom.block_of(values, blocks), type=pa.int32())], ["signature", "block"])
+            values = batch.column("bucket").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(Bloom.block_of(values, blocks), type=pa.int32())], ["bucket", "block"])
 
     def filled(key: tuple, table: pa.Table) -> pa.Table:
         bits = np.zeros(Bloom.BLOCK, dtype=bool)
-        for place in Bloom.places(table.column("signature").to_numpy().view(np.uint64)):
+        for place in Bloom.places(table.column("bucket").to_numpy().view(np.uint64)):
             bits[place] = True
         return pa.table({"block": pa.array([key[0].as_py()], type=pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], type=pa.binary())})
 
     out = Bloom(blocks)
-    rows = map_batches(signatures_, dealt, "signature bigint, block int").groupBy("block").applyInArrow(filled, "block int, bits binary")
+    rows = map_batches(signatures_, dealt, "bucket bigint, block int").groupBy("block").applyInArrow(filled, "block int, bits binary")
     for row in rows.toLocalIterator():
         out.bits[row["block"]] = np.frombuffer(row["bits"], dtype=np.uint8)
     return out
 
 
+def repeated(values: DataFrame) -> DataFrame:
+    """The values of column bucket that occur more than once."""
+    return written(values.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "shingle-repeated")
+
+
+MEMBERS = "bucket bigint, member bigint, least bigint, size bigint"
+
+
 def recurring_signatures(docs: DataFrame) -> DataFrame:
     def rows(ids: np.ndarray, sets: Sets) -> list[pa.Array]:
         return [pa.array(signatures(sets)[1].view(np.int64))]
 
-    counted = over_sets(docs, "signature bigint", rows).groupBy("signature").agg(F.count("*").alias("n"))
-    return counted.filter("n > 1").select("signature")
+    return repeated(over_sets(docs, "bucket bigint", rows))
 
 
 def members(docs: DataFrame, recurring: DataFrame) -> DataFrame:
-    """signature, head and member of all buckets, but for the heads themselves."""
+    """bucket, member and the size of its set, of the buckets of two members and more."""
     spark = docs.sparkSession
     n = recurring.count()
     bloom = spark.sparkContext.broadcast(bloom_of(recurring, n)) if n <= BROADCAST_SIGNATURES else None
@@ -266,14 +281,26 @@ def members(docs: DataFrame, recurring: DataFrame) -> DataFrame:
             kept = bloom.value.test(found)
             kept &= (np.bincount(at[kept], minlength=len(ids)) >= least)[at]
             at, found = at[kept], found[kept]
-        return [pa.array(found.view(np.int64)), pa.array(ids[at]), pa.array(least[at])]
+        return [pa.array(found.view(np.int64)), pa.array(ids[at]), pa.array(least[at]), pa.array(sets.sizes[at].astype(np.int64))]
 
-    rows_ = over_sets(docs, "signature bigint, doc_id bigint, least bigint", rows)
+    rows_ = over_sets(docs, MEMBERS, rows)
     if bloom is None:
-        rows_ = rows_.join(recurring, "signature", "left_semi")
-    rows_ = written(rarest(written(rows_, "shingle-members")), "shingle-rarest")
-    heads = rows_.groupBy("signature").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).filter("head < tail")
-    return rows_.join(heads.drop("tail"), "signature").filter("doc_id > head").select("signature", "head", F.col("doc_id").alias("member"))
+        rows_ = rows_.join(recurring, "bucket", "left_semi")
+    return rarest(written(rows_, "shingle-members"))
+
+
+def members_again(sets: DataFrame, seed: int) -> DataFrame:
+    """The same of some sets, by the signatures of another partition."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = unpacked_sets(batch.column("shingles"))
+            at, found, least = signatures(sets, seed)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(batch.column("doc_id").to_numpy()[at]), pa.array(least[at]),
+                 pa.array(sets.sizes[at].astype(np.int64))], ["bucket", "member", "least", "size"])
+
+    return rarest(written(map_batches(sets.select("doc_id", "shingles"), step, MEMBERS), "shingle-members"))
 
 
 def rarest(rows: DataFrame) -> DataFrame:
@@ -283,18 +310,19 @@ def rarest(rows: DataFrame) -> DataFrame:
     for all, they share one that both keep. Signatures that many documents have by a
     common passage go first.
     """
-    counts = rows.groupBy("signature").agg(F.count("*").alias("n")).filter("n > 1")
-    of_doc = Window.partitionBy("doc_id")
-    ranked = rows.join(counts, "signature").select(
-        "signature", "doc_id", F.row_number().over(of_doc.orderBy("n", "signature")).alias("place"),
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    of_doc = Window.partitionBy("member")
+    ranked = rows.join(counts, "bucket").select(
+        "bucket", "member", "size", F.row_number().over(of_doc.orderBy("n", "bucket")).alias("place"),
         (F.count("*").over(of_doc) - F.min("least").over(of_doc) + 1).alias("kept"))
-    return ranked.filter("place <= kept").select("signature", "doc_id")
+    kept = written(ranked.filter("place <= kept").select("bucket", "member", "size").distinct(), "shingle-rarest")
+    several = kept.groupBy("bucket").agg(F.min("member").alias("first"), F.max("member").alias("last")).filter("first < last")
+    return written(kept.join(several.select("bucket"), "bucket", "left_semi"), "shingle-buckets")
 
 
-def without_copies(docs: DataFrame, keyed: DataFrame, classes: DataFrame) -> DataFrame:
+def without_copies(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The documents but for those whose set a smaller id has too."""
-    copies = keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n = 1").join(classes, "doc_id").filter("rep < doc_id").select("doc_id")
-    copies = written(copies, "shingle-copies")
+    copies = written(classes.filter("n = 1 AND rep < doc_id").select("doc_id"), "shingle-copies")
     return docs.join(F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, "doc_id", "left_anti")
 
 
@@ -313,26 +341,20 @@ def sets_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
 # --- Pairs, groups ----------------------------------------------------------------------
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, shared and united sizes of the sets of each pair."""
+    """The pairs a, b whose sets are similar enough."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, united, last, set_a = [], [], None, None
-            for a, raw_a, raw_b in zip(batch.column("a").to_pylist(), batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                if a != last:
-                    last, set_a = a, unpacked(raw_a)
-                set_b = unpacked(raw_b)
+            linked = []
+            for raw_a, raw_b in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
+                set_a, set_b = unpacked(raw_a), unpacked(raw_b)
                 both = len(np.intersect1d(set_a, set_b, assume_unique=True))
-                shared.append(both)
-                united.append(len(set_a) + len(set_b) - both)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(shared, type=pa.int64()), pa.array(united, type=pa.int64())],
-                ["a", "b", "shared", "united"])
+                linked.append(both * OF >= (len(set_a) + len(set_b) - both) * SHARED)
+            yield batch.select(["a", "b"]).filter(pa.array(linked, type=pa.bool_()))
 
     with_b = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = with_b.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    out = written(map_batches(both.select("a", "b", "set_a", "set_b"), step, "a bigint, b bigint, shared bigint, united bigint"), "shingle-pairs")
-    return out.withColumn("linked", F.col("shared") * OF >= F.col("united") * SHARED).withColumn("distance", 1 - F.col("shared") / F.col("united"))
+    return written(map_batches(both.select("a", "b", "set_a", "set_b"), step, "a bigint, b bigint").distinct(), "shingle-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -350,85 +372,115 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def relabelled(rows: DataFrame, column: str, classes: DataFrame, to: str) -> DataFrame:
-    return rows.join(classes.select(F.col("doc_id").alias(column), F.col("rep").alias(to)), column)
-
-
-def with_groups(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Each row's group: its label, or its own id if it has no link."""
-    return rows.join(labels.withColumnRenamed("id", "member"), "member", "left").withColumn("label", F.coalesce("label", "member"))
-
-
-def cross_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs of members of different groups in buckets of bounded size."""
-    right = buckets.select("bucket", F.col("member").alias("b"), F.col("label").alias("other"))
-    pairs = buckets.withColumnRenamed("member", "a").join(right, "bucket").filter("a < b AND label <> other")
-    return pairs.select("a", "b").distinct()
+def commons(sets: DataFrame) -> DataFrame:
+    """Per set of the table how many shingles another of them may have too, at most."""
+    spark = sets.sparkSession
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = unpacked_sets(batch.column("shingles"))
+            owner = np.repeat(batch.column("doc_id").to_numpy(), held.sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(held.hashes.view(np.int64))], ["member", "bucket"])
 
-def split_buckets(rows: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
-    """Deal the members of large buckets by the signatures of another partition."""
+    shingles = map_batches(sets.select("doc_id", "shingles"), each, "member bigint, bucket bigint")
+    recurring = repeated(shingles.select("bucket"))
+    n = recurring.count()
+    if n > BROADCAST_SIGNATURES:
+        return written(shingles.join(recurring, "bucket").groupBy("member").agg(F.count("*").alias("common")), "shingle-commons")
+    bloom = spark.sparkContext.broadcast(bloom_of(recurring, n))
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [unpacked(x) << np.uint64(64 - 8 * KEPT_BYTES) for x in batch.column("shingles").to_pylist()]
-            sets = Sets(np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64), np.array([len(x) for x in parts], dtype=np.int64))
-            at, found, _ = signatures(sets, seed)
-            above = batch.column("bucket").to_numpy().view(np.uint64)[at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(above ^ found).view(np.int64)), pa.array(batch.column("member").to_numpy()[at])], ["bucket", "member"])
-
-    held = rows.select("bucket", "member").join(sets.withColumnRenamed("doc_id", "member"), "member")
-    return map_batches(held.select("bucket", "member", "shingles"), step, "bucket bigint, member bigint")
-
-
-def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links between class representatives: enough of them to connect every group."""
-    recurring = written(recurring_signatures(docs), "shingle-signatures")
-    buckets = written(members(docs, recurring), "shingle-buckets")
-    raw = buckets.select("head", "member").distinct()
-    named = written(relabelled(relabelled(raw, "head", classes, "a0"), "member", classes, "b0").filter("a0 <> b0"), "shingle-named")
-    pairs = named.select(F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b")).distinct()
-    sets = sets_for(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    met = compared(pairs, sets)
-    links = met.filter("linked").select("a", "b")
-
-    # What each member knows of its head, in both directions of the pair.
-    either = met.select("a", "b", "linked", "distance").union(met.select("b", "a", "linked", "distance"))
-    known = named.join(either, (F.col("a0") == F.col("a")) & (F.col("b0") == F.col("b"))).select("head", "member", "a0", "b0", "linked", "distance")
-    known = written(known, "shingle-known")
-    between = known.filter("NOT linked AND distance <= 0.4000001").select("a0", "b0", "distance").distinct()
-    within = known.filter("linked").select("a0", F.col("b0").alias("other"), F.col("distance").alias("away")).distinct()
-    near = between.join(within, "a0").filter("b0 <> other AND away >= distance - 0.2000001")
-    near = near.select(F.least("b0", "other").alias("a"), F.greatest("b0", "other").alias("b")).distinct()
-
-    rest = buckets.join(known.filter("NOT linked").select("head", "member", "b0"), ["head", "member"])
-    rest = written(rest.select(F.col("signature").alias("bucket"), F.col("b0").alias("member")).distinct(), "shingle-rest")
-    found = compared(near, sets).filter("linked").select("a", "b")
-    links = written(links.union(found), "shingle-links")
-    for level in range(1, LEVELS + 1):
-        labels = components(links)
-        grouped = with_groups(rest, labels)
-        of_bucket = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-        open_ = written(grouped.join(of_bucket.filter("least < most").select("bucket", "n"), "bucket"), "shingle-open")
-        large = F.col("n") > (SMALL_BUCKET if level < LEVELS else 1 << 62)
-        found = compared(cross_pairs(open_.filter(~large)), sets).filter("linked").select("a", "b")
-        links = written(links.union(found), "shingle-links")
-        rest = written(split_buckets(open_.filter(large), sets, level), "shingle-rest")
-        if rest.isEmpty():
+            counts = [int(bloom.value.test(unpacked(x)).sum()) for x in batch.column("shingles").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, type=pa.int64())], ["member", "common"])
+
+    # Rows of one id with several sets: what one has is no less than any of them.
+    counted = map_batches(sets.select("doc_id", "shingles"), told, "member bigint, common bigint")
+    return written(counted.groupBy("member").agg(F.sum("common").alias("common")), "shingle-commons")
+
+
+def still_open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of buckets with members of several groups, with their label and whether the bucket is small."""
+    labels = components(links).withColumnRenamed("id", "member")
+    rows = written(rows.join(labels, "member", "left").withColumn("label", F.coalesce("label", "member")), "shingle-labelled")
+    of_label = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    of_bucket = of_label.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    of_bucket = of_bucket.filter("n * n > within").select("bucket", (F.col("n") * F.col("n") - F.col("within") <= F.col("n") * SMALL_BUCKET).alias("small"))
+    return written(rows.join(of_bucket, "bucket"), "shingle-open")
+
+
+def open_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket and different groups that share enough at best."""
+    a = first.select("bucket", F.col("member").alias("a"), F.col("label").alias("label_a"), F.col("size").alias("size_a"), F.col("common").alias("common_a"))
+    b = second.select("bucket", F.col("member").alias("b"), F.col("label").alias("label_b"), F.col("size").alias("size_b"), F.col("common").alias("common_b"))
+    most = F.least("common_a", "common_b", "size_a", "size_b")
+    linkable = most * OF >= (F.col("size_a") + F.col("size_b") - most) * SHARED
+    met = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("label_a") != F.col("label_b")) & linkable)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def links_of(docs: DataFrame) -> DataFrame:
+    """Links between documents: enough of them to connect every group."""
+    rows = members(docs, recurring_signatures(docs))
+    sets = sets_for(docs, rows.select(F.col("member").alias("doc_id")).distinct())
+    heads = rows.groupBy("bucket").agg(F.min(F.struct("member", "size")).alias("head"))
+    with_head = rows.join(heads, "bucket").filter(
+        (F.col("member") > F.col("head.member")) & (F.least("size", "head.size") * OF >= F.greatest("size", "head.size") * SHARED))
+    links = compared(with_head.select(F.col("head.member").alias("a"), F.col("member").alias("b")).distinct(), sets)
+    level = 0
+    while True:
+        open_ = still_open(rows, links)
+        if open_.isEmpty():
+            return links
+        alive = open_.select(F.col("member").alias("doc_id")).distinct()
+        sets = written(sets.join(alive, "doc_id", "left_semi"), "shingle-sets")
+        kept = open_.drop("common").join(commons(sets), "member").filter(F.col("common") * OF >= F.col("size") * SHARED)
+        open_ = still_open(kept.drop("label", "small"), links)
+        small, large = open_.filter("small"), open_.filter("NOT small")
+        links = written(links.union(compared(open_pairs(small, small), sets)), "shingle-links")
+        if large.isEmpty():
             return links
-    return links
+        ranked = large.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("common"), "member")))
+        most = HEADS << max(0, level - LEVELS)  # so that rounds on the last partition are few
+        heads = written(ranked.filter(F.col("place") <= most).drop("place"), "shingle-heads")
+        links = written(links.union(compared(open_pairs(heads, large), sets)), "shingle-links")
+        level += 1
+        if level <= LEVELS:
+            alive = large.select(F.col("member").alias("doc_id")).distinct()
+            sets = written(sets.join(alive, "doc_id", "left_semi"), "shingle-sets")
+            rows = members_again(sets, level)
+        else:
+            # The heads have met all they may link with in this bucket.
+            rows = written(large.join(heads.select("bucket", "member"), ["bucket", "member"], "left_anti").select("bucket", "member", "size"), "shingle-rest")
+
+
+def sets_and_classes(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with the smallest id of their set (of an empty one: null), and per id the least of these.
+
+    Ids of sets that recur are dealt to SALTS places, so that a set of very many rows is
+    not joined in one task.
+    """
+    keyed = written(sizes_and_keys(known).withColumn("salt", F.floor(F.rand(7) * SALTS).cast("int")), "shingle-keys")
+    key = ["n_shingles", "c1", "c2"]
+    reps = keyed.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    reps = reps.select(*key, "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    named = keyed.join(reps, [*key, "salt"], "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id")).alias("rep"))
+    named = written(named, "shingle-named")
+    return named, written(named.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.count("*").alias("n")), "shingle-classes")
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id per row."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = rows.filter("doc_id IS NOT NULL")
-    keyed = written(sizes_and_keys(known), "shingle-keys")
-    reps = keyed.filter("n_shingles > 0").groupBy("n_shingles", "c1", "c2").agg(F.min("doc_id").alias("rep"))
-    classes = written(keyed.join(reps, ["n_shingles", "c1", "c2"]).groupBy("doc_id").agg(F.min("rep").alias("rep")), "shingle-classes")
-    labels = components(links_of(without_copies(known, keyed, classes), classes))
-    named = classes.join(labels, classes["rep"] == labels["id"], "left").select("doc_id", F.coalesce("label", "rep").alias("component_id"))
+    keyed, classes = sets_and_classes(known)
+    # An id of several rows is one document: it links with the sets of all of them.
+    repeated_ids = keyed.join(classes.filter("n > 1").select("doc_id"), "doc_id", "left_semi")
+    own = repeated_ids.filter("rep < doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+    labels = components(links_of(without_copies(known, classes)).union(own))
+    named = classes.filter("rep IS NOT NULL").join(labels, F.col("rep") == F.col("id"), "left").select(
+        "doc_id", F.coalesce("label", "rep").alias("component_id"))
     out = keyed.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn(
         "component_id", F.coalesce("component_id", "doc_id"))
     unnamed = rows.filter("doc_id IS NULL").select(F.lit(0).cast("bigint").alias("doc_id"), "text")
