@@ -26,7 +26,7 @@ Links without all pairs of a bucket:
    the most common shingles are compared with those of other groups. What is still open
    is dealt anew, by the signatures of another partition of the domain, under which
    linked sets agree somewhere too; after ``LEVELS`` partitions buckets stay as they are
-   and lose the members compared in each round, twice as many as before, until none is open.
+   and lose the members compared in each round, four times as many as before, until none is open.
 
 Sets travel for compared pairs only. Documents of equal sets are one class, named by
 its smallest id, and are compared once. Groups are found by passing the smallest id
@@ -52,7 +52,7 @@ from tickloom.llm.words import joined, lower_ascii, slices, words_of
 SHINGLE, SHARED, OF = 5, 80, 100  # words; linked when OF * intersection >= SHARED * union
 BAND = 1.6
 # Buckets of up to half so many open pairs a member are compared whole; heads of others; partitions.
-SMALL_BUCKET, HEADS, LEVELS = 32, 4, 3
+SMALL_BUCKET, HEADS, LEVELS = 64, 16, 2
 # A broadcast is made below these sizes; beyond them there is a shuffle instead.
 BROADCAST_IDS, BROADCAST_SIGNATURES = 2_000_000, 12_000_000
 SALTS = 16  # places of the rows of a set that recurs
@@ -399,10 +399,15 @@ def commons(sets: DataFrame) -> DataFrame:
     return written(counted.groupBy("member").agg(F.sum("common").alias("common")), "shingle-commons")
 
 
-def still_open(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of buckets with members of several groups, with their label and whether the bucket is small."""
+def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Each member with its group: the smallest id its links reach, or its own."""
     labels = components(links).withColumnRenamed("id", "member")
-    rows = written(rows.join(labels, "member", "left").withColumn("label", F.coalesce("label", "member")), "shingle-labelled")
+    return rows.join(labels, "member", "left").withColumn("label", F.coalesce("label", "member"))
+
+
+def still_open(rows: DataFrame) -> DataFrame:
+    """Rows of buckets with members of several groups, and whether these make few pairs."""
+    rows = written(rows, "shingle-labelled")
     of_label = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     of_bucket = of_label.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
     of_bucket = of_bucket.filter("n * n > within").select("bucket", (F.col("n") * F.col("n") - F.col("within") <= F.col("n") * SMALL_BUCKET).alias("small"))
@@ -429,19 +434,19 @@ def links_of(docs: DataFrame) -> DataFrame:
     links = compared(with_head.select(F.col("head.member").alias("a"), F.col("member").alias("b")).distinct(), sets)
     level = 0
     while True:
-        open_ = still_open(rows, links)
+        open_ = still_open(labelled(rows, links))
         if open_.isEmpty():
             return links
         alive = open_.select(F.col("member").alias("doc_id")).distinct()
         sets = written(sets.join(alive, "doc_id", "left_semi"), "shingle-sets")
-        kept = open_.drop("common").join(commons(sets), "member").filter(F.col("common") * OF >= F.col("size") * SHARED)
-        open_ = still_open(kept.drop("label", "small"), links)
+        kept = open_.drop("small").join(commons(sets), "member").filter(F.col("common") * OF >= F.col("size") * SHARED)
+        open_ = still_open(kept)
         small, large = open_.filter("small"), open_.filter("NOT small")
         links = written(links.union(compared(open_pairs(small, small), sets)), "shingle-links")
         if large.isEmpty():
             return links
         ranked = large.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("common"), "member")))
-        most = HEADS << max(0, level - LEVELS)  # so that rounds on the last partition are few
+        most = HEADS << 2 * max(0, level - LEVELS)  # so that rounds on the last partition are few
         heads = written(ranked.filter(F.col("place") <= most).drop("place"), "shingle-heads")
         links = written(links.union(compared(open_pairs(heads, large), sets)), "shingle-links")
         level += 1
