@@ -1,7 +1,8 @@
 """Ids of whole texts from a tokenizers file, with bounded tables of pieces met before.
 
-A table has two generations: a full one becomes the old one, and what is met again
-moves from there to the new one, so frequent pieces are never computed anew.
+A piece's place in the table leads to arrays of ids, so a batch looks up its distinct
+pieces and gathers all ids at once; a full table keeps the half met last. Words within pieces have two generations: a full one becomes the old one, and what is met
+again moves from there to the new one.
 
 A text is cut at spaces and each distinct piece goes through the library once per
 worker. Both kinds of vocabulary file start a new word at a space that stands between
@@ -18,6 +19,9 @@ import sys
 import unicodedata
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from tickloom.llm.trie_bpe import byte_letters
@@ -33,6 +37,12 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, as many as its count says."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class PieceCache:
     def __init__(self, path: str, max_pieces: int = MAX_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task
@@ -44,9 +54,13 @@ class PieceCache:
         self.keeps_space = data["pre_tokenizer"]["type"] == "ByteLevel"
         self.added = [x["content"] for x in data["added_tokens"]]
         self.max_pieces = max_pieces
-        self.pieces: dict[str, bytes] = {}
+        # The table: the place of each piece and, by place, where its ids start in ``ids``,
+        # how many there are, and the turn that met it last.
+        self.pieces: dict[str, int] = {}
+        self.starts = self.sizes = self.met = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+        self.turn = 0
         self.words: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): letter for b, letter in byte_letters().items()})
@@ -77,10 +91,6 @@ class PieceCache:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [packed(x.ids) for x in coded]
 
-    def _risky(self, piece: str) -> bool:
-        """Pieces beside other white space; an added token would swallow none of it."""
-        return self.keeps_space and (not piece or piece[0].isspace())
-
     def _cut(self, piece: str) -> list[str]:
         """Texts whose ids, one after another, are those of the piece with its space.
 
@@ -105,54 +115,95 @@ class PieceCache:
                 out.append(("" if n else lead) + line)
         return out
 
-    @staticmethod
-    def _unknown(met: set[str], table: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
-        """What no generation knows; what the old one knows moves to the new one."""
-        rest = []
-        for p in met.difference(table):
-            known = old.get(p)
-            if known is None:
-                rest.append(p)
-            else:
-                table[p] = known
-        return rest
-
-    def _add(self, new: list[str]) -> None:
+    def _new(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces not met before; each word in them goes through the library once."""
-        if len(self.words) > self.max_pieces // 2:
+        if len(self.words) > self.max_pieces // 4:
             self.old_words, self.words = self.words, {}
-        cut = [self._cut(piece) for piece in new]
-        words = self._unknown({w for row in cut for w in row}, self.words, self.old_words)
-        for at in range(0, len(words), 5000):
-            some = words[at:at + 5000]
+        cut = [self._cut(piece) for piece in pieces]
+        unmet = []
+        for word in {w for row in cut for w in row}.difference(self.words):
+            known = self.old_words.get(word)
+            if known is None:
+                unmet.append(word)
+            else:
+                self.words[word] = known
+        for at in range(0, len(unmet), 5000):
+            some = unmet[at:at + 5000]
             self.words.update(zip(some, self._words(some)))
-        for piece, row in zip(new, cut):
-            self.pieces[piece] = self.words[row[0]] if len(row) == 1 else b"".join(map(self.words.__getitem__, row))
+        words = self.words
+        return [words[row[0]] if len(row) == 1 else b"".join([words[w] for w in row]) for row in cut]
+
+    def _places(self, distinct: pa.LargeStringArray) -> np.ndarray:
+        """Where each distinct piece lies in the table; -1 if its text must be seen as a whole."""
+        names = distinct.to_numpy(zero_copy_only=False)
+        known = self.pieces.get
+        places = np.array([known(x, -1) for x in names.tolist()], dtype=np.int64)
+        unmet = np.flatnonzero(places < 0)
+        if len(unmet):
+            missing = distinct.take(pa.array(unmet))
+            alone = np.ones(len(missing), dtype=bool)
+            for token in self.added:
+                alone &= ~pc.match_substring(missing, token).to_numpy(zero_copy_only=False)
+            if self.keeps_space:  # beside other white space; an empty piece stands for two spaces
+                alone &= ~pc.match_substring_regex(missing, r"^(\s|\pZ|[\x0B\x1C-\x1F\x85]|$)").to_numpy(zero_copy_only=False)
+            unmet = unmet[alone]
+            new, first = names[unmet].tolist(), len(self.pieces)
+            coded = self._new(new)
+            places[unmet] = first + np.arange(len(new))
+            self.pieces.update(zip(new, range(first, first + len(new))))
+            sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), dtype="<u4")])
+            self.met = np.concatenate([self.met, np.zeros(len(unmet), dtype=np.int64)])
+        self.turn += 1
+        self.met[places[places >= 0]] = self.turn
+        return places
+
+    def _shrink(self) -> None:
+        """A full table keeps the half met last."""
+        if len(self.pieces) <= self.max_pieces:
+            return
+        kept = np.sort(np.argsort(-self.met, kind="stable")[:self.max_pieces // 2])
+        names = np.array(list(self.pieces), dtype=object)[kept]
+        self.pieces = dict(zip(names.tolist(), range(len(names))))
+        self.ids = self.ids[spread(self.starts[kept], self.sizes[kept])]
+        self.sizes, self.met = self.sizes[kept], self.met[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > self.max_pieces // 2:
-            self.old_pieces, self.pieces = self.pieces, {}
-        pieces = self.pieces
-        cut = [text.split(" ") for text in texts]
-        skip = 1 if self.keeps_space else 0  # the first piece of a text has no space
-        met = set().union(*[row[skip:] for row in cut] if skip else cut)
-        self._add([p for p in self._unknown(met, pieces, self.old_pieces) if not self._risky(p)])
-        out: list[bytes | None] = []
-        whole: list[str] = []
-        for text, row in zip(texts, cut):
-            found = list(map(pieces.get, row[skip:]))
-            if None in found or any(x in text for x in self.added):
-                out.append(None)
-                whole.append(text)
-            else:
-                out.append(b"".join(found))
-                if skip:
-                    whole.append(row[0])
-        library = iter(self._library(whole))
-        if skip:
-            return [next(library) + (rest or b"") for rest in out]
-        return [next(library) if x is None else x for x in out]
+        """The ids of each text as little-endian unsigned 32-bit integers.
+
+        Only pieces not in the table are seen one by one; the ids of all texts are then
+        one gather from it. No added token holds a space, so one that is in a text is in
+        one of its pieces.
+        """
+        if not texts:
+            return []
+        self._shrink()
+        split = pc.split_pattern(pa.array(texts, type=pa.large_string()), " ")
+        borders = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        place = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        unclear = place < 0
+        counts = np.where(unclear, 0, self.sizes[place]) if len(self.sizes) else np.zeros(len(place), dtype=np.int64)
+        firsts: list[str] = []
+        if self.keeps_space:  # the first piece of a text has no space: the library is asked
+            counts[borders[:-1]] = 0
+            unclear[borders[:-1]] = False
+            firsts = [t.split(" ", 1)[0] for t in texts]
+        as_whole = np.logical_or.reduceat(unclear, borders[:-1]).tolist()
+        if self.keeps_space:
+            as_whole = [w or any(x in p for x in self.added) for w, p in zip(as_whole, firsts)]
+        starts = self.starts[place] if len(self.starts) else counts
+        flat = self.ids[spread(starts, counts)].tobytes()
+        bounds = (4 * np.concatenate([[0], np.cumsum(counts)]))[borders].tolist()
+        rest = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+        if self.keeps_space:
+            library = self._library([t if w else p for t, p, w in zip(texts, firsts, as_whole)])
+            return [x if w else x + r for x, r, w in zip(library, rest, as_whole)]
+        library = iter(self._library([t for t, w in zip(texts, as_whole) if w]))
+        return [next(library) if w else r for r, w in zip(rest, as_whole)]
 
 
 _made: dict[str, PieceCache] = {}
