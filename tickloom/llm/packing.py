@@ -9,6 +9,8 @@ r-th slot of that length.
 
 Ranks are not made by a window per length, as one length may hold a third of the
 pieces: each task numbers its own pieces per length, and the tasks' counts are summed.
+Those counts grow with the tasks, so they are merged with the pieces, never broadcast; a
+key of that join is one task's pieces of one length.
 
 Rows: a null text counts as empty and has the end id alone; repeated rows and null
 document ids are packed like others. An empty table gives no rows. Memory: a batch of
@@ -142,6 +144,6 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, part: i
         counts.select("task", "length", (F.col("last") + 1).alias("n")).select(
             "task", "length", "n", (F.sum("n").over(by_length) - F.col("n")).alias("before")), "piece-counts")
     histogram = {x["length"]: x["n"] for x in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    ranked = pieces.join(before.drop("n"), ["task", "length"]).select(
+    ranked = pieces.join(before.drop("n").hint("merge"), ["task", "length"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("rank_in_task")).alias("rank"))
     return place(ranked, pack_histogram(histogram, capacity))
