@@ -707,19 +707,26 @@ def live_window_new_checkpoint(spark, sf_dir):
 
 
 PAGE_ROWS = 200
+# Pages that one read of the lake brings.
+PAGES_A_READ = 32
 
 
 def pages_cover_all_rows(spark, sf_dir):
     """Candle pages of one series, each after the last row of the one before, put together."""
-    pages, found, after = LakePages(spark, flushed_lake(spark, sf_dir)), None, None
-    keys = ("open_time", "kafka_partition", "kafka_offset")
-    while True:
-        page = pages.klines(SYMBOL, "1d", PAGE_ROWS, after=after).filter("is_closed")
-        last = page.agg(F.min(F.struct(*keys)).alias("last")).first()["last"]
-        if last is None:
-            return page if found is None else found
-        after = tuple(last)
-        found = page if found is None else found.unionByName(page)
+
+    def build(root: str) -> list[str]:
+        pages, landed, after = LakePages(spark, flushed_lake(spark, sf_dir)), [], None
+        while True:
+            # Each stretch of pages is read once and landed; only its last row's key comes back.
+            path = f"{root}/stretch={len(landed)}"
+            pages.kline_pages(SYMBOL, "1d", PAGE_ROWS, PAGES_A_READ, after=after).drop("page").write.parquet(path)
+            landed.append(path)
+            last = spark.read.parquet(path).agg(F.min(F.struct("open_time", "kafka_partition", "kafka_offset"))).first()[0]
+            if last is None:
+                return landed
+            after = tuple(last)
+
+    return spark.read.parquet(*_once(spark, sf_dir, "pages", build))
 
 
 # --- A lake of many flushes ----------------------------------------------------

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickloom.functions.market import page_size
 from tickloom.plans import queries
@@ -88,6 +88,18 @@ class LakePages:
         closed, forming = self._closed_and_forming(symbol, interval, page_size(limit, most), after, before, latest_only)
         return queries.klines(closed, symbol, interval, limit, forming=forming, **how)
 
+    def kline_pages(
+        self, symbol: str, interval: str, limit: int, pages: int, *, after: Cursor | None = None
+    ) -> DataFrame:
+        """The closed rows of the next ``pages`` pages of ``limit`` rows, each after the last row of the one before.
+
+        They come from one read of the days that hold them, with their ``page`` from 0, so a
+        walk through a long series does not read its days anew for every page.
+        """
+        rows = self.klines(symbol, interval, limit * pages, after=after).filter("is_closed")
+        newest_first = Window.orderBy(F.desc_nulls_last("open_time"), F.desc("kafka_partition"), F.desc("kafka_offset"))
+        return rows.withColumn("page", F.floor((F.row_number().over(newest_first) - 1) / limit))
+
     def candles(
         self, symbol: str, interval: str = "1m", limit: int = CANDLE_LIMIT, *, after: Cursor | None = None, latest_only: bool = False
     ) -> DataFrame:
