@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import views
 from tickloom.functions.decimals import decimals_to_text
@@ -13,7 +13,7 @@ from tickloom.operators import decode, encode, latest, maintenance, quality, sta
 from tickloom.plans import queries as reads
 from tickloom.plans.lake_pages import LakePages
 from tickloom.schemas import (
-    AGG_TRADE, BOOK_TICKER, BOOK_TICKERS, CANDLE_COLUMNS, KLINE, KLINES, LAKE_TABLES, TRADES, VALID_INTERVALS,
+    AGG_TRADE, BOOK_TICKER, BOOK_TICKERS, CANDLE_COLUMNS, KLINE, KLINES, LAKE_TABLES, TRADES, VALID_INTERVALS, LakeTable,
 )
 from tickloom.session import new_work_dir, prepare_session
 from tickloom.sources import history
@@ -57,6 +57,12 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
 
 # Files of the written inputs: a feed lands many, the given table of events is one.
 INPUT_FILES = 8
+# A larger table has one for so many rows, so what reads them is spread as the input grows.
+FILE_ROWS = 100_000
+
+
+def input_files(spark: SparkSession, sf_dir: str) -> int:
+    return max(INPUT_FILES, -(-views.table(spark, sf_dir, "events").count() // FILE_ROWS))
 
 
 def topic_path(spark: SparkSession, sf_dir: str) -> str:
@@ -734,16 +740,26 @@ def pages_cover_all_rows(spark, sf_dir):
 FLUSHES = 12
 
 
+def read_flush(spark: SparkSession, staged: str, table: LakeTable, batch_id: int) -> DataFrame:
+    """Rows staged for one flush; none if no offset fell into it."""
+    schema = T.StructType([*table.schema.fields, T.StructField("flush", T.LongType())])
+    return spark.read.schema(schema).parquet(staged).filter(F.col("flush") == batch_id).drop("flush")
+
+
 def flushed_lake(spark, sf_dir):
     """A lake of the three views in twelve flushes by offset, as a cold path leaves it."""
 
     def build(root: str) -> str:
+        staged, tasks = f"{root}-staged", input_files(spark, sf_dir)
         for table in LAKE_TABLES:
-            rows = SOURCE_OF[table.topic](spark, sf_dir)
-            first, last = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+            rows = SOURCE_OF[table.topic](spark, sf_dir, tasks)
+            first, last = SOURCE_OF[table.topic](spark, sf_dir).agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
             part = F.floor((F.col("kafka_offset") - first) * FLUSHES / (last - first + 1))
-            for batch_id in range(FLUSHES):
-                sinks.write_lake(rows.filter(part == batch_id), root, table, batch_id)
+            # Every row is made once and laid with its flush; a flush reads its own rows alone.
+            rows.withColumn("flush", part).write.partitionBy("flush").parquet(f"{staged}/{table.topic}")
+        for batch_id in range(FLUSHES):
+            flush = {t: read_flush(spark, f"{staged}/{t.topic}", t, batch_id) for t in LAKE_TABLES}
+            sinks.write_tables(flush, root, batch_id)
         return root
 
     return _once(spark, sf_dir, "flushed", build)

@@ -1,7 +1,8 @@
 """Market-shaped views over the given tables, in Spark and, identically, in SQL.
 
-Every view is a projection of one scan: no shuffle, no window, whole tables. They
-stand in for a feed, so that each operator can run on the given data.
+Every view is a projection of one scan: no window, whole tables. They
+stand in for a feed, so that each operator can run on the given data. Written inputs
+deal the events first (``tasks``): a table of few files is not made into texts by few tasks.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One market update per event."""
+def base_events(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """One market update per event; with ``tasks``, events are dealt over so many before anything is made of them."""
+    events = table(spark, sf_dir, "events")
     slot = F.expr("pmod(user_id, 4)")
     interval = F.when(slot == 0, "1s").when(slot == 1, "1m").when(slot == 2, "1h").otherwise("1d")
     length = F.when(slot == 0, 1000).when(slot == 1, 60000).when(slot == 2, 3600000).otherwise(86400000)
@@ -27,7 +29,7 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("value").cast("decimal(18,2)")
     close = price + cents(F.col("k") % 21 - 10)
     return (
-        table(spark, sf_dir, "events")
+        (events if tasks is None else events.repartition(tasks))
         .select(
             "event_id", "user_id", F.upper("event_type").alias("symbol"), F.col("value"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
@@ -72,24 +74,24 @@ base AS (
   FROM base0)"""
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base_events(spark, sf_dir).select(
+def trades(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    return base_events(spark, sf_dir, tasks).select(
         "price", "quantity", F.col("ms").alias("trade_time"), F.col("event_id").alias("agg_trade_id"),
         (F.col("event_id") % 2 == 0).alias("is_buyer_maker"), "kafka_partition", "kafka_offset", "symbol",
     )
 
 
-def book_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base_events(spark, sf_dir).select(
+def book_tickers(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    return base_events(spark, sf_dir, tasks).select(
         F.col("price").alias("best_bid_price"), F.col("quantity").alias("best_bid_qty"),
         F.col("ask").alias("best_ask_price"), (F.col("k") + 1).cast("decimal(38,8)").alias("best_ask_qty"),
         F.col("event_id").alias("update_id"), "kafka_partition", "kafka_offset", "symbol",
     )
 
 
-def klines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def klines(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """An append-only log of candle updates in four intervals."""
-    return base_events(spark, sf_dir).select(
+    return base_events(spark, sf_dir, tasks).select(
         F.col("price").alias("open"), "high", "low", "close", F.col("quantity").alias("volume"), "quote_volume",
         (F.col("k") + 1).alias("trade_count"), "open_time", (F.col("open_time") + F.col("length") - 1).alias("close_time"),
         (F.col("event_id") % 3 == 0).alias("is_closed"), "kafka_partition", "kafka_offset", "symbol", "interval",
@@ -163,7 +165,7 @@ def _payload(kind: Column) -> Column:
     return F.when(kind == 0, _trade_payload()).when(kind == 1, _ticker_payload()).otherwise(_kline_payload())
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frames(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """One raw frame per event: trades, tickers and candles, some of them damaged."""
     kind, fault = F.col("event_id") % 4, F.col("event_id") % 50
     suffix = F.when(kind == 0, "aggTrade").when(kind == 1, "bookTicker").otherwise(_text("kline_", F.col("interval")))
@@ -186,7 +188,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     return (
-        base_events(spark, sf_dir)
+        base_events(spark, sf_dir, tasks)
         .select("event_id", "ms", "symbol", "interval", "price", _payload(kind).alias("payload"))
         .select("event_id", "ms", _text('{"stream":"', F.lower("symbol"), "@", stream, '","data":', damaged, "}").alias("text"))
         .select("event_id", value.alias("value"))
@@ -219,7 +221,7 @@ def _topic(kind: Column) -> Column:
     return F.when(kind == 0, "market.trades").when(kind == 1, "market.book-tickers").otherwise("market.klines")
 
 
-def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topic_records(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """One topic record per event, some empty or damaged, in the topic source's columns."""
     kind, fault = F.col("event_id") % 4, F.col("event_id") % 40
     event_type = F.when(kind == 0, "agg_trade").when(kind == 1, "book_ticker").otherwise("kline")
@@ -234,7 +236,7 @@ def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lineage = ["event_id", "ms", "symbol", "kafka_partition", "kafka_offset"]
     return (
-        base_events(spark, sf_dir).select(*lineage, _payload(kind).alias("payload")).select(*lineage, text.alias("text"))
+        base_events(spark, sf_dir, tasks).select(*lineage, _payload(kind).alias("payload")).select(*lineage, text.alias("text"))
         .select(
             F.encode("symbol", "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"),
             _topic(kind).alias("topic"), F.col("kafka_partition").alias("partition"),

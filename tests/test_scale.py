@@ -27,6 +27,28 @@ def rows_of(df):
     return sorted(map(repr, df.collect()))
 
 
+def test_records_are_made_by_as_many_tasks_as_asked(spark, events):
+    dealt, whole = views.topic_records(spark, events, 5), views.topic_records(spark, events)
+    assert (dealt.rdd.getNumPartitions(), whole.rdd.getNumPartitions()) == (5, 1)
+    assert rows_of(dealt) == rows_of(whole)
+
+
+def test_written_inputs_have_a_file_for_so_many_rows(spark, events, monkeypatch):
+    assert registry.input_files(spark, events) == registry.INPUT_FILES
+    monkeypatch.setattr(registry, "FILE_ROWS", 40)
+    assert registry.input_files(spark, events) == 23
+
+
+def test_a_flush_reads_its_own_rows_alone(spark, events, tmp_path):
+    rows = views.klines(spark, events).withColumn("flush", F.col("kafka_offset") % 3)
+    rows.write.partitionBy("flush").parquet(f"{tmp_path}/rows")
+    flush = registry.read_flush(spark, f"{tmp_path}/rows", KLINES, 1)
+    assert rows_of(flush.select(KLINES.schema.names)) == rows_of(rows.filter("flush = 1").select(KLINES.schema.names))
+    plan = flush._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(flush" in plan
+    assert registry.read_flush(spark, f"{tmp_path}/rows", KLINES, 7).count() == 0
+
+
 def test_pages_of_one_read_are_the_pages_by_cursor(spark, events, tmp_path):
     for flush in range(2):
         rows = views.klines(spark, events).filter(F.col("kafka_offset") % 2 == flush)
