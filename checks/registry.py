@@ -690,7 +690,7 @@ def _live_after_two_checkpoints(spark, sf_dir) -> hot.LiveTables:
     def build(root: str) -> hot.LiveTables:
         tables = hot.LiveTables(spark, f"{root}/live", WINDOW_KEEP, WINDOW_SLACK)
         records = read_topic_files(spark, topic_path(spark, sf_dir))
-        middle = records.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY offset)")).first()[0]
+        middle = stats.middle_value(records, "offset")
         for part, rows in enumerate((records.filter(F.col("offset") <= middle), records.filter(F.col("offset") > middle))):
             rows.write.parquet(f"{root}/topic{part}")
             hot.start_hot_path(

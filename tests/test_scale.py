@@ -1,9 +1,12 @@
 """Steps that must grow with the input, on rows of their own."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import registry, views
+from tickloom.operators import stats
 from tickloom.plans.lake_pages import LakePages
 from tickloom.plans.queries import next_cursor
 from tickloom.schemas import KLINES
@@ -75,3 +78,13 @@ def test_a_walk_over_pages_is_landed_by_stretch(spark, events, monkeypatch):
     assert sorted(r[0] for r in found.select("kafka_offset").collect()) == sorted(r[0] for r in closed.select("kafka_offset").collect())
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and closed.count() > 2 * 3
+
+
+@pytest.mark.parametrize("values", [[], [None], [5], [7, None, 7], [3, 1], [-4, 10**12, 0, None, 2], "many"])
+def test_middle_value(spark, values):
+    if values == "many":
+        rng = random.Random(3)
+        values = [rng.choice([rng.randrange(10**6), 77]) for _ in range(3001)]
+    rows = spark.createDataFrame([(v,) for v in values], "offset bigint")
+    known = rows.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY offset)")).first()[0]
+    assert stats.middle_value(rows, "offset") == known
