@@ -585,8 +585,10 @@ def backfill_union(spark, sf_dir):
     """Backfilled and live candle events in one keyed topic."""
     live = encode.to_topic_rows(decoded_topic(spark, sf_dir).filter(F.col("kind") == KLINE).drop("key", "value", "topic"))
     both = live.unionByName(encode.to_topic_rows(_backfill(spark, sf_dir)))
-    field = lambda path: F.get_json_object("value", f"$.payload.k.{path}")
-    return both.select(
+    # One parse of a value for all of its fields.
+    parsed = F.from_json("value", "payload struct<k:struct<i:string,t:string,o:string,c:string,v:string,f:string,x:string>>")
+    field = lambda name: F.col(f"parsed.payload.k.{name}")
+    return both.withColumn("parsed", parsed).select(
         "topic", "key", field("i").alias("interval"), field("t").cast("bigint").alias("open_time"), field("o").alias("open"),
         field("c").alias("close"), field("v").alias("volume"), field("f").cast("bigint").alias("first_trade_id"),
         (field("x") == "true").alias("is_closed"))

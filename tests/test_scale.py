@@ -88,3 +88,19 @@ def test_middle_value(spark, values):
     rows = spark.createDataFrame([(v,) for v in values], "offset bigint")
     known = rows.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY offset)")).first()[0]
     assert stats.middle_value(rows, "offset") == known
+
+
+def test_backfill_fields_come_from_one_parse(spark, events, tmp_path):
+    folder = tmp_path / "t"
+    spark.read.parquet(f"{events}/events.parquet").write.parquet(f"{folder}/events.parquet")
+    spark.range(40).select(
+        F.col("id").alias("o_orderkey"), F.lit("O").alias("o_orderstatus"), F.lit(10.5).alias("o_totalprice"),
+        F.to_timestamp_ntz(F.lit("1996-01-02 00:00:00")).alias("o_orderdate"), (F.col("id") + 1).alias("o_custkey"),
+    ).write.parquet(f"{folder}/orders.parquet")
+    found = registry.backfill_union(spark, str(folder))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan
+    first = found.filter("key = 'O'")
+    row = first.orderBy("volume").first()
+    assert (row["interval"], row["open"], row["first_trade_id"], row["volume"]) == ("1d", "10.50000000", -1, "1.5")
+    assert found.filter("open_time IS NULL OR is_closed IS NULL").count() == 0
