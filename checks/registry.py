@@ -67,7 +67,7 @@ def input_files(spark: SparkSession, sf_dir: str) -> int:
 
 def topic_path(spark: SparkSession, sf_dir: str) -> str:
     def build(root: str) -> str:
-        views.topic_records(spark, sf_dir).repartition(INPUT_FILES).write.parquet(root)
+        views.topic_records(spark, sf_dir, input_files(spark, sf_dir)).write.parquet(root)
         return root
 
     return _once(spark, sf_dir, "topic", build)
@@ -77,7 +77,7 @@ def frame_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw frames with the event they came from, as a written table."""
 
     def build(root: str) -> str:
-        views.frames(spark, sf_dir).repartition(INPUT_FILES).write.parquet(root)
+        views.frames(spark, sf_dir, input_files(spark, sf_dir)).write.parquet(root)
         return root
 
     return spark.read.parquet(_once(spark, sf_dir, "frame-table", build))

@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import registry, views
-from tickloom.operators import stats
+from tests.samples import TRADE, envelope, records
+from tickloom.operators import decode, encode, stats
 from tickloom.plans.lake_pages import LakePages
 from tickloom.plans.queries import next_cursor
 from tickloom.schemas import KLINES
 from tickloom.streaming import sinks
+from tickloom.streaming.live_window import STATE_PARTITIONS, with_keyed_state
 
 
 @pytest.fixture(scope="module")
@@ -90,6 +92,26 @@ def test_middle_value(spark, values):
     assert stats.middle_value(rows, "offset") == known
 
 
+def test_a_batch_keeps_texts_of_parked_records_alone(spark):
+    good, bad = envelope("agg_trade", TRADE), envelope("candle", TRADE)
+    decoded = decode.decode_envelopes(records(spark, [("A", good, "market.trades", 0, 1), (None, bad, "market.trades", 0, 2)]))
+    kept = decode.for_sinks(decoded)
+    assert [(r["offset"], r["value"] is None, r["key"] is None) for r in kept.orderBy("offset").collect()] == [
+        (1, True, True), (2, False, True)]
+    assert rows_of(encode.dead_letters(kept, "cold")) == rows_of(encode.dead_letters(decoded, "cold"))
+
+
+def test_keyed_state_is_in_few_partitions(spark):
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, "300")
+    try:
+        with with_keyed_state(spark):
+            assert int(spark.conf.get(key)) == STATE_PARTITIONS
+        assert spark.conf.get(key) == "300"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_backfill_fields_come_from_one_parse(spark, events, tmp_path):
     folder = tmp_path / "t"
     spark.read.parquet(f"{events}/events.parquet").write.parquet(f"{folder}/events.parquet")

@@ -315,6 +315,13 @@ def decode_envelopes(records: DataFrame, strict_version: bool = False) -> DataFr
     return _with_payload(parsed, event_type, wrapper_error, prefix)
 
 
+def for_sinks(decoded: DataFrame) -> DataFrame:
+    """What the sinks of a batch need of its decoded topic records: key and text of those to be parked alone."""
+    parked = F.col("error").isNotNull()
+    texts = [F.when(parked, F.col(c)).alias(c) for c in ("key", "value")]
+    return decoded.select(*texts, "topic", "partition", "offset", "kind", "error", *_FIELDS)
+
+
 def event_type(kind: str) -> str:
     """SQL type of the struct column of a kind."""
     types = {"long": "bigint", "boolean": "boolean"}
@@ -356,5 +363,5 @@ def lake_rows(decoded: DataFrame, table: LakeTable) -> DataFrame:
 
 __all__ = [
     "AGG_TRADE", "BOOK_TICKER", "KLINE", "TRADES", "BOOK_TICKERS", "KLINES", "bad_rows", "decode_envelopes",
-    "decode_frames", "events_of", "lake_rows", "with_snippet",
+    "decode_frames", "events_of", "for_sinks", "lake_rows", "with_snippet",
 ]

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.decode import decode_envelopes, lake_rows
+from tickloom.operators.decode import decode_envelopes, for_sinks, lake_rows
 from tickloom.operators.encode import dead_letters
 from tickloom.operators.stats import flush_manifest, object_name
 from tickloom.schemas import FLUSH_SECONDS, LAKE_TABLES
@@ -38,7 +38,7 @@ def cold_batch(
     batch is run again.
     """
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
-    decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = for_sinks(decode_envelopes(records, strict_version)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dead_letter_sink(dead_letters(decoded, "cold"), batch_id, writer)
         write_tables({table: lake_rows(decoded, table) for table in LAKE_TABLES}, lake_root, batch_id, writer)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.market import composite_key
-from tickloom.operators.decode import decode_envelopes
+from tickloom.operators.decode import decode_envelopes, for_sinks
 from tickloom.operators.encode import dead_letters
 from tickloom.operators.latest import CHANGE, apply_changes, changes_between, upsert_arrivals
 from tickloom.schemas import (
@@ -120,7 +120,7 @@ def hot_batch(
     metrics: str | None = None,
 ) -> None:
     records.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
-    decoded = decode_envelopes(records, strict_version).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = for_sinks(decode_envelopes(records, strict_version)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dead_letter_sink(dead_letters(decoded, "hot"), batch_id, writer)
         tables.apply(decoded, batch_id, writer)

@@ -83,21 +83,31 @@ def window_changes(
         RollingWindow(keep, slack), CHANGES, "Update", "None", held.select("symbol", "open_time").groupBy("symbol"))
 
 
+# State is one list per symbol: more partitions only start more stores and workers in every batch.
+STATE_PARTITIONS = 16
+
+
 class with_keyed_state:
-    """The state store that keyed state needs, for queries started inside; others keep theirs."""
+    """The state store that keyed state needs, in few partitions, for queries started inside; others keep theirs.
+
+    A checkpoint that was begun with another number of partitions goes on with it.
+    """
 
-    _KEY = "spark.sql.streaming.stateStore.providerClass"
+    _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
     _CLASS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    _PARTITIONS = "spark.sql.shuffle.partitions"
 
     def __init__(self, spark: SparkSession):
         self._conf = spark.conf
 
     def __enter__(self) -> None:
-        self._before = self._conf.get(self._KEY, None)
-        self._conf.set(self._KEY, self._CLASS)
+        self._before = {key: self._conf.get(key, None) for key in (self._PROVIDER, self._PARTITIONS)}
+        self._conf.set(self._PROVIDER, self._CLASS)
+        self._conf.set(self._PARTITIONS, min(STATE_PARTITIONS, int(self._conf.get(self._PARTITIONS))))
 
     def __exit__(self, *_) -> None:
-        if self._before is None:
-            self._conf.unset(self._KEY)
-        else:
-            self._conf.set(self._KEY, self._before)
+        for key, value in self._before.items():
+            if value is None:
+                self._conf.unset(key)
+            else:
+                self._conf.set(key, value)
