@@ -57,8 +57,8 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
 
 # Files of the written inputs: a feed lands many, the given table of events is one.
 INPUT_FILES = 8
-# A larger table has one for so many rows, so what reads them is spread as the input grows.
-FILE_ROWS = 100_000
+# A larger table has one for so many rows: small ones are dealt evenly to however many cores read them.
+FILE_ROWS = 25_000
 
 
 def input_files(spark: SparkSession, sf_dir: str) -> int:
