@@ -218,6 +218,23 @@ def test_large_groups_of_edited_copies(spark, monkeypatch, levels, small):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.groups([i for i, _ in rows], [t for _, t in rows])
 
 
+def test_a_large_group_of_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies of one text with words of their own: the text says what most of them link with."""
+    random.seed(13)
+    base = [f"w{k}" for k in range(80)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 161):
+        words = list(base)
+        for at in random.sample(range(80), k % 6 + 1):
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    pairs, compared = [], shingle_join.compared
+    monkeypatch.setattr(shingle_join, "compared", lambda p, sets: pairs.append(p.count()) or compared(p, sets))
+    found = shingle_join.groups(docs(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.groups([i for i, _ in rows], [t for _, t in rows])
+    assert sum(pairs) <= 2 * len(rows)
+
+
 def test_rows_of_one_id_link_all_their_texts(spark):
     x, y = (" ".join(f"{c}{k}" for k in range(60)) for c in "xy")
     rows = [(3, x), (5, x), (5, y), (7, y), (9, y + " more"), (10, "alone"), (10, None), (11, None)]

@@ -14,13 +14,17 @@ Links without all pairs of a bucket:
 1. Signatures are counted; documents are read again for those that recur, told by a
    Bloom filter where that is small and by a join where it is not. Parts that agree are
    at least those with shingles less k, so a set with fewer recurring signatures links
-   with nothing, and of the others the most frequent ones are left out. A bucket's
-   members are compared with its head, the smallest document id, once per pair.
-2. A bucket whose members are in one group by then is done, as its other links would
-   join nothing. Of the sets in buckets that stay open the shingles are counted: what no
-   other open set has is shared with none, so two sets share at most the smaller number
-   of common shingles. Edited copies of one template mostly fail this bound, without a
-   partner being looked at; those that can link with nothing leave.
+   with nothing, and of the others the most frequent ones are left out. Of the
+   sets in buckets of several the shingles are counted: what no other of them has is
+   shared with none, so two sets share at most the smaller number of common shingles.
+   Those that can link with nothing leave.
+2. A bucket's members are compared with its head, once per pair: the set with the most
+   room for differences, as it has many common shingles for its size. A member whose
+   common shingles the head all has, and that links with a head of no more shingles,
+   leaves: whatever links with it links with the head too. So of the edited copies of a
+   text those stay that the head says nothing about. A bucket whose members are in one
+   group by then is done, as its other links would join nothing. In those that stay open
+   the shingles are counted again; more of them are common to none by now.
 3. Buckets with few pairs of members of different groups, in proportion to their
    members, are compared whole, the pairs within the bound. In others the members with
    the most common shingles are compared with those of other groups. What is still open
@@ -44,7 +48,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.llm.common import map_batches, mix, texts_of, written
 from tickloom.llm.words import joined, lower_ascii, slices, words_of
@@ -248,7 +252,7 @@ def bloom_of(signatures_: DataFrame, n: int) -> Bloom:
 
     out = Bloom(blocks)
     rows = map_batches(signatures_, dealt, "bucket bigint, block int").groupBy("block").applyInArrow(filled, "block int, bits binary")
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # one job; an iterator runs one for each partition
         out.bits[row["block"]] = np.frombuffer(row["bits"], dtype=np.uint8)
     return out
 
@@ -341,20 +345,27 @@ def sets_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
 # --- Pairs, groups ----------------------------------------------------------------------
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs a, b whose sets are similar enough."""
+    """The pairs a, b whose sets are similar enough, and whether a covers b: whatever links with b links with a.
+
+    For that a column common has the shingles that b may share with others (null: not looked at).
+    If a has all of them and is no larger, it shares as much with any set and is at least as near.
+    """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for raw_a, raw_b in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
+            linked, covers = [], []
+            for raw_a, raw_b, common in zip(*(batch.column(x).to_pylist() for x in ("set_a", "set_b", "common"))):
                 set_a, set_b = unpacked(raw_a), unpacked(raw_b)
                 both = len(np.intersect1d(set_a, set_b, assume_unique=True))
                 linked.append(both * OF >= (len(set_a) + len(set_b) - both) * SHARED)
-            yield batch.select(["a", "b"]).filter(pa.array(linked, type=pa.bool_()))
+                covers.append(both == common and len(set_a) <= len(set_b))
+            found = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(covers, type=pa.bool_())], ["a", "b", "covers"])
+            yield found.filter(pa.array(linked, type=pa.bool_()))
 
     with_b = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = with_b.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    return written(map_batches(both.select("a", "b", "set_a", "set_b"), step, "a bigint, b bigint").distinct(), "shingle-links")
+    found = map_batches(both.select("a", "b", "set_a", "set_b", "common"), step, "a bigint, b bigint, covers boolean")
+    return written(found.distinct(), "shingle-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -414,41 +425,63 @@ def still_open(rows: DataFrame) -> DataFrame:
     return written(rows.join(of_bucket, "bucket"), "shingle-open")
 
 
-def open_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket and different groups that share enough at best."""
+def with_commons(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of sets that may link, by the shingles that another set of the table has too."""
+    return rows.join(commons(sets), "member").filter(F.col("common") * OF >= F.col("size") * SHARED)
+
+
+def linkable(size_a: Column, common_a: Column, size_b: Column, common_b: Column) -> Column:
+    """Whether two sets share enough at best."""
+    most = F.least(common_a, common_b, size_a, size_b)
+    return most * OF >= (size_a + size_b - most) * SHARED
+
+
+def head_pairs(rows: DataFrame) -> DataFrame:
+    """Of each bucket its head, a, with the members, b, of other groups that it may link with.
+
+    The head has the most shingles left to differ in: size / 9 less those that are common to none.
+    A set that covers another comes before it in this order, which is the same in all buckets.
+    """
+    order = F.struct((2 * SHARED * F.col("size") - (OF + SHARED) * F.col("common")).alias("used"), "member", "size", "common", "label")
+    heads = rows.groupBy("bucket").agg(F.min(order).alias("head"))
+    met = rows.join(heads, "bucket").filter((F.col("member") != F.col("head.member")) & (F.col("label") != F.col("head.label")))
+    met = met.filter(linkable(F.col("size"), F.col("common"), F.col("head.size"), F.col("head.common")))
+    return met.select(F.col("head.member").alias("a"), F.col("member").alias("b"), "common").distinct()
+
+
+def open_pairs(first: DataFrame, second: DataFrame, ordered: bool = False) -> DataFrame:
+    """Pairs of members of one bucket and different groups that share enough at best; ordered: both tables are one."""
     a = first.select("bucket", F.col("member").alias("a"), F.col("label").alias("label_a"), F.col("size").alias("size_a"), F.col("common").alias("common_a"))
     b = second.select("bucket", F.col("member").alias("b"), F.col("label").alias("label_b"), F.col("size").alias("size_b"), F.col("common").alias("common_b"))
-    most = F.least("common_a", "common_b", "size_a", "size_b")
-    linkable = most * OF >= (F.col("size_a") + F.col("size_b") - most) * SHARED
-    met = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("label_a") != F.col("label_b")) & linkable)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    may = linkable(F.col("size_a"), F.col("common_a"), F.col("size_b"), F.col("common_b")) & (F.col("label_a") != F.col("label_b"))
+    met = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("a") < F.col("b") if ordered else F.lit(True)) & may)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("common", F.lit(None).cast("bigint"))
 
 
 def links_of(docs: DataFrame) -> DataFrame:
     """Links between documents: enough of them to connect every group."""
     rows = members(docs, recurring_signatures(docs))
     sets = sets_for(docs, rows.select(F.col("member").alias("doc_id")).distinct())
-    heads = rows.groupBy("bucket").agg(F.min(F.struct("member", "size")).alias("head"))
-    with_head = rows.join(heads, "bucket").filter(
-        (F.col("member") > F.col("head.member")) & (F.least("size", "head.size") * OF >= F.greatest("size", "head.size") * SHARED))
-    links = compared(with_head.select(F.col("head.member").alias("a"), F.col("member").alias("b")).distinct(), sets)
-    level = 0
+    rows = rows.withColumn("label", F.col("member"))
+    links, level = None, 0
     while True:
-        open_ = still_open(labelled(rows, links))
+        open_ = still_open(with_commons(rows, sets))
+        of_heads = compared(head_pairs(open_), sets)
+        links = of_heads.select("a", "b") if links is None else written(links.union(of_heads.select("a", "b")), "shingle-links")
+        covered = of_heads.filter("covers").select(F.col("b").alias("member")).distinct()
+        open_ = still_open(labelled(open_.select("bucket", "member", "size").join(covered, "member", "left_anti"), links))
         if open_.isEmpty():
             return links
-        alive = open_.select(F.col("member").alias("doc_id")).distinct()
-        sets = written(sets.join(alive, "doc_id", "left_semi"), "shingle-sets")
-        kept = open_.drop("small").join(commons(sets), "member").filter(F.col("common") * OF >= F.col("size") * SHARED)
-        open_ = still_open(kept)
+        sets = written(sets.join(open_.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi"), "shingle-sets")
+        open_ = still_open(with_commons(open_.drop("small"), sets))
         small, large = open_.filter("small"), open_.filter("NOT small")
-        links = written(links.union(compared(open_pairs(small, small), sets)), "shingle-links")
+        links = written(links.union(compared(open_pairs(small, small, True), sets).select("a", "b")), "shingle-links")
         if large.isEmpty():
             return links
         ranked = large.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("common"), "member")))
         most = HEADS << 2 * max(0, level - LEVELS)  # so that rounds on the last partition are few
         heads = written(ranked.filter(F.col("place") <= most).drop("place"), "shingle-heads")
-        links = written(links.union(compared(open_pairs(heads, large), sets)), "shingle-links")
+        links = written(links.union(compared(open_pairs(heads, large), sets).select("a", "b")), "shingle-links")
         level += 1
         if level <= LEVELS:
             alive = large.select(F.col("member").alias("doc_id")).distinct()
@@ -457,6 +490,7 @@ def links_of(docs: DataFrame) -> DataFrame:
         else:
             # The heads have met all they may link with in this bucket.
             rows = written(large.join(heads.select("bucket", "member"), ["bucket", "member"], "left_anti").select("bucket", "member", "size"), "shingle-rest")
+        rows = labelled(rows, links)
 
 
 def sets_and_classes(known: DataFrame) -> tuple[DataFrame, DataFrame]:
