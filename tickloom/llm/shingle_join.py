@@ -364,8 +364,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     with_b = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = with_b.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    found = map_batches(both.select("a", "b", "set_a", "set_b", "common"), step, "a bigint, b bigint, covers boolean")
-    return written(found.distinct(), "shingle-links")
+    return written(map_batches(both.select("a", "b", "set_a", "set_b", "common"), step, "a bigint, b bigint, covers boolean"), "shingle-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -437,16 +436,17 @@ def linkable(size_a: Column, common_a: Column, size_b: Column, common_b: Column)
 
 
 def head_pairs(rows: DataFrame) -> DataFrame:
-    """Of each bucket its head, a, with the members, b, of other groups that it may link with.
+    """Of each bucket its head, a, with the members, b, that it may link with.
 
     The head has the most shingles left to differ in: size / 9 less those that are common to none.
-    A set that covers another comes before it in this order, which is the same in all buckets.
+    A head may cover members with fewer common shingles, or as many and a larger id: never two each other.
     """
-    order = F.struct((2 * SHARED * F.col("size") - (OF + SHARED) * F.col("common")).alias("used"), "member", "size", "common", "label")
+    order = F.struct((2 * SHARED * F.col("size") - (OF + SHARED) * F.col("common")).alias("used"), "member", "size", "common")
     heads = rows.groupBy("bucket").agg(F.min(order).alias("head"))
-    met = rows.join(heads, "bucket").filter((F.col("member") != F.col("head.member")) & (F.col("label") != F.col("head.label")))
-    met = met.filter(linkable(F.col("size"), F.col("common"), F.col("head.size"), F.col("head.common")))
-    return met.select(F.col("head.member").alias("a"), F.col("member").alias("b"), "common").distinct()
+    met = rows.join(heads, "bucket").filter(
+        (F.col("member") != F.col("head.member")) & linkable(F.col("size"), F.col("common"), F.col("head.size"), F.col("head.common")))
+    may_cover = (F.col("head.common") > F.col("common")) | ((F.col("head.common") == F.col("common")) & (F.col("head.member") < F.col("member")))
+    return met.select(F.col("head.member").alias("a"), F.col("member").alias("b"), F.when(may_cover, F.col("common")).alias("common")).distinct()
 
 
 def open_pairs(first: DataFrame, second: DataFrame, ordered: bool = False) -> DataFrame:
@@ -462,10 +462,10 @@ def links_of(docs: DataFrame) -> DataFrame:
     """Links between documents: enough of them to connect every group."""
     rows = members(docs, recurring_signatures(docs))
     sets = sets_for(docs, rows.select(F.col("member").alias("doc_id")).distinct())
-    rows = rows.withColumn("label", F.col("member"))
     links, level = None, 0
     while True:
-        open_ = still_open(with_commons(rows, sets))
+        # Also members of one group: under another partition another head may cover them.
+        open_ = written(with_commons(rows, sets), "shingle-likely")
         of_heads = compared(head_pairs(open_), sets)
         links = of_heads.select("a", "b") if links is None else written(links.union(of_heads.select("a", "b")), "shingle-links")
         covered = of_heads.filter("covers").select(F.col("b").alias("member")).distinct()
@@ -490,7 +490,6 @@ def links_of(docs: DataFrame) -> DataFrame:
         else:
             # The heads have met all they may link with in this bucket.
             rows = written(large.join(heads.select("bucket", "member"), ["bucket", "member"], "left_anti").select("bucket", "member", "size"), "shingle-rest")
-        rows = labelled(rows, links)
 
 
 def sets_and_classes(known: DataFrame) -> tuple[DataFrame, DataFrame]:
